@@ -49,7 +49,9 @@ def outside(column: str, low=None, high=None) -> Column:
 def off_grid(value: str = "value", steps_per_unit: int = 4, tolerance: float = 1e-9) -> Column:
     """Not a multiple of 1 / steps_per_unit, up to float noise."""
     scaled = F.col(value) * steps_per_unit
-    return ~F.isnan(scaled) & (F.abs(scaled - F.round(scaled)) > tolerance)
+    distance = F.abs(scaled - F.round(scaled))
+    # NaN, and the NaN distance of an infinity, pass: no comparison with NaN holds.
+    return ~F.isnan(distance) & (distance > tolerance)
 
 
 # -- rules as rows ----------------------------------------------------------

@@ -76,6 +76,12 @@ def percent_change(
     return previous.withColumn("change", change).withColumn("change_pct", F.round(change * 100, 2))
 
 
+def change_over_limit(observations: DataFrame, limit: float = 0.10, **columns: str) -> DataFrame:
+    """Changes larger than ``limit`` either way. A zero predecessor and NaN pass."""
+    size = F.abs("change")
+    return percent_change(observations, **columns).filter(~F.isnan(size) & (size > limit))
+
+
 def gaps(
     observations: DataFrame,
     key: str = "series_code",

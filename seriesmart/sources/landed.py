@@ -1,7 +1,9 @@
-"""Landed raw files: read for replay, written per series, date and window.
+"""Landed raw files: read for replay, written per extraction date and window.
 
-Layout: ``series_name=<name>/extraction_date=<date>/window=<start_end or full>``.
-The window folder is always there, so partition discovery sees one layout.
+Layout: ``[series_name=<name>/]extraction_date=<date>/window=<start_end or full>``.
+The window folder is always there, so partition discovery sees one layout. A
+folder per series suits a few series landed one by one; with many, one batch
+lands all of them and the series is a column, sorted inside the files.
 """
 
 from __future__ import annotations
@@ -17,12 +19,15 @@ LANDING_KEYS = ("series_name", "extraction_date", "window")
 FULL_WINDOW = "full"
 
 
-def write_landed(long: DataFrame, path: str) -> None:
+def write_landed(long: DataFrame, path: str, per_series: bool = False) -> None:
     """Land rows as JSON lines. Only the folders present in ``long`` are
-    replaced, so windows landed on the same day live side by side."""
+    replaced, so windows landed on the same day live side by side. Without
+    ``per_series`` a folder holds one batch of all series."""
     rows = long.withColumn("window", F.coalesce("window", F.lit(FULL_WINDOW)))
-    # REBALANCE splits a hot series over several files.
-    rows.hint("rebalance", *LANDING_KEYS).write.partitionBy(*LANDING_KEYS).mode("overwrite").option(
+    folders = LANDING_KEYS if per_series else LANDING_KEYS[1:]
+    # REBALANCE splits a heavy folder over several files.
+    laid_out = rows.hint("rebalance", *folders).sortWithinPartitions(*folders, "series_name")
+    laid_out.write.partitionBy(*folders).mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).option("ignoreNullFields", "false").json(path)
 
@@ -33,7 +38,7 @@ def read_landed(spark: SparkSession, path: str, data: str = "observation_date da
     return spark.read.schema(f"{data}, {keys}").json(path)
 
 
-def read_table_json(spark: SparkSession, path: str) -> DataFrame:
+def read_table_json(spark: SparkSession, path: str, pattern: str = "data*.json") -> DataFrame:
     """Replay table-oriented artifacts: ``{"schema": ..., "data": [{index, series: value}]}``.
 
     Works for folders with and without window=; the series is the record's one
@@ -44,7 +49,7 @@ def read_table_json(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema("data array<map<string,string>>")
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", "data*.json")
+        .option("pathGlobFilter", pattern)
         .json(path)
         .withColumn("file_path", F.col("_metadata.file_path"))
     )

@@ -72,6 +72,13 @@ def clustered(df: DataFrame, partition_by: Sequence[str], cluster_by: Sequence[s
     return balanced.sortWithinPartitions(*partition_by, *cluster_by)
 
 
+def load(df: DataFrame, name: str, partition_by: Sequence[str] = (), cluster_by: Sequence[str] = ()) -> None:
+    """Insert into a table, laid out for its partitions and clustering."""
+    spark = df.sparkSession
+    ordered = clustered(df, partition_by, cluster_by) if (partition_by or cluster_by) else df
+    ordered.select(*spark.table(name).columns).write.insertInto(name)
+
+
 def append(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("append")
     (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
