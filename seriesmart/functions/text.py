@@ -46,15 +46,15 @@ def lenient_number(value: Column | str) -> Column:
 
     Spark also reads '1d', '1f' and 'NaN'; here they count as unreadable.
     """
-    text = _col(value).cast("string")
-    typed_suffix = text.rlike(r"(?i)[0-9.]\s*[df]\s*$")
-    nan = text.rlike(r"(?i)^\s*[+-]?nan\s*$")
-    return F.when(~typed_suffix & ~nan, text.try_cast("double"))
+    text = F.lower(F.trim(_col(value).cast("string"), F.lit(" \t\r\n")))
+    number = text.try_cast("double")
+    typed_suffix = F.substring(text, -1, 1).isin("d", "f") & ~text.endswith("inf")
+    return F.when(~F.isnan(number) & ~typed_suffix, number)
 
 
 def redact_tokens(text: Column | str) -> Column:
     """Replace the value of every ``token=...`` in a text by ``***``."""
-    return F.regexp_replace(_col(text), r"(?i)(token=)[^&\s'\"]+", "$1***")
+    return F.regexp_replace(_col(text), r"(?iU)(token=)[^&\s'\"]+", "$1***")
 
 
 def short_message(text: Column | str, limit: int = MESSAGE_LIMIT, suffix: str = MESSAGE_SUFFIX) -> Column:

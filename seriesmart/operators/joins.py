@@ -1,9 +1,9 @@
 """Joins of a large row set against lookups, history and other large row sets.
 
-Lookup joins pick their strategy by size. A lookup whose estimated size is
-under BROADCAST_BYTES is broadcast, so the large side is not moved at all. A
-larger one is shuffle-joined with the hot keys of the large side salted: rows of
-a key that holds more than 1 / HOT_SHARE of the large side are spread over SALTS
+Lookup joins pick their strategy by size. A lookup proven to stay under
+BROADCAST_BYTES is broadcast, so the large side is not moved at all. A larger
+one is shuffle-joined with the hot keys of the large side salted: rows of a key
+that holds more than 1 / HOT_SHARE of the large side are spread over SALTS
 partitions and only that key's lookup rows are repeated.
 """
 
@@ -18,17 +18,45 @@ HOT_SHARE = 500
 SALTS = 64
 
 
-def estimated_bytes(df: DataFrame) -> int | None:
-    """Catalyst's size estimate of a plan; None where no JVM plan is reachable."""
+def _sizes(df: DataFrame) -> tuple[int | None, int, int] | None:
+    """(size estimate, bytes of all inputs, bytes per row) of a plan.
+
+    The estimate is None where it would be no upper bound: rows that a
+    generator adds are not counted in it. None where no JVM plan is reachable.
+    """
     try:
-        return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+        plan = df._jdf.queryExecution().optimizedPlan()
     except AttributeError:
         return None
+    leaves = plan.collectLeaves()
+    inputs = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+    generates = "Generate " in plan.toString()
+    return (
+        None if generates else int(plan.stats().sizeInBytes()),
+        inputs,
+        df._jdf.schema().defaultSize() + 8,
+    )
 
 
 def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
-    size = estimated_bytes(df)
-    return size is not None and size <= (BROADCAST_BYTES if limit is None else limit)
+    """Whether a frame is known to be small enough to broadcast.
+
+    Catalyst's estimate decides where it is small. It multiplies the sizes of
+    joined inputs, so a small frame built by joins can look huge: if all inputs
+    together are small, computing it is cheap and a count bounded by a LIMIT
+    settles it.
+    """
+    limit = BROADCAST_BYTES if limit is None else limit
+    sizes = _sizes(df)
+    if sizes is None:
+        return False
+    estimate, inputs, row = sizes
+    if estimate is not None and estimate <= limit:
+        return True
+    if inputs > limit:
+        return False
+    most = limit // row
+    return df.limit(most + 1).count() <= most
 
 
 def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
@@ -45,16 +73,18 @@ def lookup_join(
     how: str = "left",
     condition: Column | None = None,
     limit: int | None = None,
+    bounded: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to a lookup keyed by ``on``.
 
     ``how`` is inner, left, left_semi or left_anti. ``condition`` is a residual
-    predicate over both sides' columns, on top of the equal keys.
+    predicate over both sides' columns, on top of the equal keys. ``bounded``
+    says that the lookup's size is bounded by its nature, as a calendar's is.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")
-    if fits_broadcast(lookup, limit):
+    if bounded or fits_broadcast(lookup, limit):
         return _join(rows, F.broadcast(lookup), on, how, condition)
     hot = F.broadcast(hot_keys(rows, on).withColumn("_hot", F.lit(True)))
     others = [c for c in rows.columns if c not in on] or on
@@ -83,10 +113,14 @@ def fact_with_dims(
     code: str = "series_code",
     day: str = "observation_date",
 ) -> DataFrame:
-    """Add series_key and date_key; a row without a match keeps NULL keys."""
+    """Add series_key and date_key; a row without a match keeps NULL keys.
+
+    The calendar has one row per day: all dates of years 1 to 9999 are 3.7
+    million rows of twelve bytes, whatever the number of observations.
+    """
     series = dim_series.select(code, "series_key")
     dates = dim_date.select(F.col("date_day").alias(day), "date_key")
-    return lookup_join(lookup_join(observations, series, code), dates, day)
+    return lookup_join(lookup_join(observations, series, code), dates, day, bounded=True)
 
 
 def missing_children(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

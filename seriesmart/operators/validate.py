@@ -12,7 +12,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.text import lenient_number, lenient_timestamp
-from .joins import lookup_join
+from .joins import fits_broadcast, lookup_join
 
 # What curated metadata must fill in.
 CURATED_REQUIRED = ("series_name", "category", "unit")
@@ -171,12 +171,19 @@ def series_columns(long: DataFrame, config: DataFrame, by: str = "series_name")
     )
 
 
-def gate(long: DataFrame, checked: DataFrame, by: str = "series_name") -> tuple[DataFrame, DataFrame]:
-    """(accepted, rejected) rows; a series without checks is rejected."""
+def gate(
+    long: DataFrame, checked: DataFrame, config: DataFrame, by: str = "series_name"
+) -> tuple[DataFrame, DataFrame]:
+    """(accepted, rejected) rows; a series without checks is rejected.
+
+    The passed names are some of the configured ones, so the configuration's
+    size bounds them and the checks need not be computed to know it.
+    """
     passed = checked.filter("passed").select(by)
+    bounded = fits_broadcast(config.select(by))
     return (
-        lookup_join(long, passed, by, "left_semi"),
-        lookup_join(long, passed, by, "left_anti"),
+        lookup_join(long, passed, by, "left_semi", bounded=bounded),
+        lookup_join(long, passed, by, "left_anti", bounded=bounded),
     )
 
 

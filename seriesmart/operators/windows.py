@@ -28,39 +28,41 @@ def shifted(
     next one if ``forward``, per ``keys`` in ``order``.
 
     ``bucket`` must not decrease along ``order``; the default is its year.
-    ``keys`` and ``order`` are required columns (no NULL), and (keys, order) is
-    the grain: with ties, which row comes first is as open as in any window.
+    ``order`` is required, and (keys, order) is the grain: with ties, which row
+    comes first is as open as in any window.
     """
     keys = list(keys)
-    bucketed = rows.withColumn("_bucket", F.year(order) if bucket is None else bucket)
-    # One explicit exchange, read by both branches below.
-    spread = bucketed.repartition(*keys, "_bucket")
-
-    within = Window.partitionBy(*keys, "_bucket").orderBy(order)
+    others = [c for c in rows.columns if c not in keys]
+    bucket = F.year(order) if bucket is None else bucket
+    part = F.struct(*keys, bucket.alias("_bucket")).alias("_part")
+    # One exchange, read by both branches below. The join on the struct keeps
+    # rows with a NULL key and adds no null filter that would set the branches
+    # apart; sorting starts with a hash because structs sort slowly.
+    spread = rows.select(part, *others).repartition("_part").withColumn("_hash", F.xxhash64("_part"))
+
+    within = Window.partitionBy("_hash", "_part").orderBy(order)
     shift, opposite = (F.lead, F.lag) if forward else (F.lag, F.lead)
     carried = F.struct(*[F.col(source).alias(name) for source, name in columns.items()])
     inside = spread.withColumn("_inside", shift(carried).over(within))
 
-    # The edge row of each bucket, whole, so that both branches ask the
-    # exchange for the same columns and it is run once.
-    whole = F.struct(*rows.columns)
+    # The edge row of each part, whole: both branches read the same columns.
     edges = (
-        spread.withColumn("_last", opposite(F.lit(1)).over(within).isNull())
-        .filter("_last")
-        .select(*keys, "_bucket", whole.alias("_row"))
+        spread.withColumn("_edge", opposite(F.lit(1)).over(within).isNull())
+        .filter("_edge")
+        .select("_part", F.struct(*others).alias("_row"))
     )
-    # One row per (key, bucket): as many rows as the calendar has buckets.
-    across = Window.partitionBy(*keys).orderBy("_bucket")
-    neighbours = edges.select(*keys, "_bucket", shift("_row").over(across).alias("_neighbour"))
+    # One row per part: per key, as many rows as the calendar has buckets.
+    across = Window.partitionBy(*[F.col("_part")[k] for k in keys]).orderBy(F.col("_part")["_bucket"])
+    neighbours = edges.select("_part", shift("_row").over(across).alias("_neighbour"))
 
-    joined = inside.join(neighbours, [*keys, "_bucket"], "left")
     outputs = [
         F.when(F.col("_inside").isNotNull(), F.col("_inside")[name])
         .otherwise(F.col("_neighbour")[source])
         .alias(name)
         for source, name in columns.items()
     ]
-    return joined.select(*rows.columns, *outputs)
+    originals = [F.col("_part")[c].alias(c) if c in keys else F.col(c) for c in rows.columns]
+    return inside.join(neighbours, "_part", "left").select(*originals, *outputs)
 
 
 def percent_change(
@@ -89,12 +91,8 @@ def gaps(
     frequency: str = "frequency",
     daily_limit: int = 7,
 ) -> DataFrame:
-    """Non-null observations preceded by a hole too wide for their frequency.
-
-    Equal (key, frequency, date) rows never differ in the answer, so they are
-    reduced before the window.
-    """
-    dates = observations.filter(F.col("value").isNotNull()).select(key, frequency, day).distinct()
+    """Non-null observations preceded by a hole too wide for their frequency."""
+    dates = observations.filter(F.col("value").isNotNull()).select(key, frequency, day)
     previous = shifted(dates, [key], day, {day: "previous_date"})
     too_wide = by_frequency(
         frequency,
@@ -122,6 +120,7 @@ def version_overlaps(
         [key],
         valid_from,
         {valid_from: "next_valid_from"},
+        bucket=F.trunc(valid_from, "month"),
         forward=True,
     )
     issue = (

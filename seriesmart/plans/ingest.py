@@ -42,7 +42,7 @@ def ingest_observations(
     explicit_window: bool = False,
 ) -> Ingested:
     checked = checks(profile(long, config, start, end), explicit_window)
-    accepted, rejected = gate(long, checked)
+    accepted, rejected = gate(long, checked, config)
     rows = canonical_observations(accepted, config, extracted_at, ingested_at, run_id, source)
     plan = merge_plan(target, rows, OBSERVATIONS_KEY)
     return Ingested(plan, rejected, checked, stage_counts(checked))

@@ -67,15 +67,17 @@ def incremental_fact(
     series: DataFrame,
     dates: DataFrame,
 ) -> DataFrame:
-    """The fact after one incremental build: merge the new rows, drop stale ones.
+    """The fact after one incremental build: drop stale rows, merge the new ones.
 
     Equals full_fact as long as every change arrives with a later extracted_at.
-    Rows without a series are dropped at once, as the stale delete would do.
+    New rows are never stale, so the stale delete runs first: its semi join and
+    the merge share one partitioning of the fact. Rows without a series are
+    dropped at once, as the stale delete would do.
     """
     news = fact_rows(since_high_water_mark(staging_observations, fact), series, dates)
     news = news.filter(F.col("series_key").isNotNull())
-    merged = merge_apply(merge_plan(fact, news, FACT_KEY, audit_columns=(), update="always"))
-    return delete_stale(merged, staging_observations, series)
+    survivors = delete_stale(fact, staging_observations, series)
+    return merge_apply(merge_plan(survivors, news, FACT_KEY, audit_columns=(), update="always"))
 
 
 def full_fact(staging_observations: DataFrame, series: DataFrame, dates: DataFrame) -> DataFrame:
