@@ -46,10 +46,10 @@ def lenient_number(value: Column | str) -> Column:
 
     Spark also reads '1d', '1f' and 'NaN'; here they count as unreadable.
     """
-    text = F.lower(F.trim(_col(value).cast("string"), F.lit(" \t\r\n")))
-    number = text.try_cast("double")
-    typed_suffix = F.substring(text, -1, 1).isin("d", "f") & ~text.endswith("inf")
-    return F.when(~F.isnan(number) & ~typed_suffix, number)
+    text = _col(value).cast("string")
+    end = F.lower(F.substring(F.rtrim(text, F.lit(" \t\r\n")), -3, 3))
+    typed_suffix = F.substring(end, -1, 1).isin("d", "f") & (end != "inf")
+    return F.when(~typed_suffix, F.nullif(text.try_cast("double"), F.lit(float("nan"))))
 
 
 def redact_tokens(text: Column | str) -> Column:

@@ -38,13 +38,13 @@ def _sizes(df: DataFrame) -> tuple[int | None, int, int] | None:
     )
 
 
-def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
+def fits_broadcast(df: DataFrame, limit: int | None = None, probe: bool = False) -> bool:
     """Whether a frame is known to be small enough to broadcast.
 
     Catalyst's estimate decides where it is small. It multiplies the sizes of
-    joined inputs, so a small frame built by joins can look huge: if all inputs
-    together are small, computing it is cheap and a count bounded by a LIMIT
-    settles it.
+    joined inputs, so a small frame built by joins can look huge: with
+    ``probe``, if all inputs together are small, computing it is cheap and a
+    count bounded by a LIMIT settles it.
     """
     limit = BROADCAST_BYTES if limit is None else limit
     sizes = _sizes(df)
@@ -53,7 +53,7 @@ def fits_broadcast(df: DataFrame, limit: int | None = None) -> bool:
     estimate, inputs, row = sizes
     if estimate is not None and estimate <= limit:
         return True
-    if inputs > limit:
+    if not probe or inputs > limit:
         return False
     most = limit // row
     return df.limit(most + 1).count() <= most
@@ -84,15 +84,20 @@ def lookup_join(
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")
-    if bounded or fits_broadcast(lookup, limit):
-        return _join(rows, F.broadcast(lookup), on, how, condition)
+    added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in on]
+    if bounded or fits_broadcast(lookup, limit, probe=True):
+        joined = _join(rows, F.broadcast(lookup), on, how, condition)
+        return joined.select(*rows.columns, *added)
     hot = F.broadcast(hot_keys(rows, on).withColumn("_hot", F.lit(True)))
-    others = [c for c in rows.columns if c not in on] or on
-    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64(*others), F.lit(SALTS)).cast("int")).otherwise(0)
+    # The partition number spreads exact copies; like the row's hash it is the
+    # same when a lost task is run again.
+    mixed = F.xxhash64(*[c for c in rows.columns if c not in on], F.spark_partition_id())
+    salt = F.when(F.col("_hot"), F.pmod(mixed, F.lit(SALTS)).cast("int")).otherwise(0)
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
     spread = rows.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
     repeated = lookup.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
-    return _join(spread, repeated, [*on, "_salt"], how, condition).drop("_salt")
+    joined = _join(spread, repeated, [*on, "_salt"], how, condition)
+    return joined.select(*rows.columns, *added)
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, condition: Column | None) -> DataFrame:

@@ -136,7 +136,7 @@ def delete_stale(
         "series_code",
         "inner",
     ).select("series_key", day)
-    return fact.join(present, ["series_key", day], "left_semi")
+    return fact.join(present, ["series_key", day], "left_semi").select(*fact.columns)
 
 
 def upsert_columns(
