@@ -115,6 +115,14 @@ def merge_counts(plan: DataFrame) -> DataFrame:
     return counted.withColumn("rows_changed", F.col("inserted") + F.col("updated") + F.col("deleted"))
 
 
+def unconfigured(target: DataFrame, allowed: DataFrame, key: str = "series_code") -> DataFrame:
+    """The rows prune would drop."""
+    keys = allowed.select(key).distinct()
+    if keys.isEmpty():
+        raise ValueError("refusing to prune: nothing is configured")
+    return lookup_join(target, keys, key, "left_anti")
+
+
 def prune(target: DataFrame, allowed: DataFrame, key: str = "series_code") -> DataFrame:
     """Target rows whose key is still configured; refuses an empty configuration."""
     keys = allowed.select(key).distinct()
@@ -123,6 +131,15 @@ def prune(target: DataFrame, allowed: DataFrame, key: str = "series_code") -> Da
     return lookup_join(target, keys, key, "left_semi")
 
 
+def _live_keys(staging: DataFrame, dim_series: DataFrame, day: str) -> DataFrame:
+    return lookup_join(
+        staging.filter(F.col("value").isNotNull()).select("series_code", day),
+        dim_series.select("series_code", "series_key"),
+        "series_code",
+        "inner",
+    ).select("series_key", day)
+
+
 def delete_stale(
     fact: DataFrame,
     staging: DataFrame,
@@ -130,13 +147,19 @@ def delete_stale(
     day: str = "observation_date",
 ) -> DataFrame:
     """Fact rows that still have a non-null staging observation."""
-    present = lookup_join(
-        staging.filter(F.col("value").isNotNull()).select("series_code", day),
-        dim_series.select("series_code", "series_key"),
-        "series_code",
-        "inner",
-    ).select("series_key", day)
-    return fact.join(present, ["series_key", day], "left_semi").select(*fact.columns)
+    live = _live_keys(staging, dim_series, day)
+    return fact.join(live, ["series_key", day], "left_semi").select(*fact.columns)
+
+
+def stale_rows(
+    fact: DataFrame,
+    staging: DataFrame,
+    dim_series: DataFrame,
+    day: str = "observation_date",
+) -> DataFrame:
+    """Fact rows without one: the complement of delete_stale."""
+    live = _live_keys(staging, dim_series, day)
+    return fact.join(live, ["series_key", day], "left_anti").select(*fact.columns)
 
 
 def upsert_columns(

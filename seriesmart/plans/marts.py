@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..functions.dates import date_key, day_name, is_weekend, month_name
 from ..functions.text import surrogate_key
 from ..operators.aggregates import bounds, high_water_mark
 from ..operators.joins import fact_with_dims
-from ..operators.merge import delete_stale, merge_apply, merge_plan
+from ..operators.merge import delete_stale, merge_apply, merge_plan, stale_rows
+from ..sources import tables
 
 FACT_KEY = ("series_key", "observation_date")
 
@@ -80,6 +81,31 @@ def incremental_fact(
     return merge_apply(merge_plan(survivors, news, FACT_KEY, audit_columns=(), update="always"))
 
 
+def build_fact_table(
+    spark: SparkSession,
+    path: str,
+    staging_observations: DataFrame,
+    series: DataFrame,
+    dates: DataFrame,
+) -> dict[str, int]:
+    """One incremental build of a stored fact; return its change counts.
+
+    Months without news or stale rows are neither rewritten nor, for the merge,
+    read. Same result as incremental_fact.
+    """
+    fact = tables.stored(spark, path).drop(tables.MONTH)
+    news = fact_rows(since_high_water_mark(staging_observations, fact), series, dates)
+    news = news.filter(F.col("series_key").isNotNull())
+    counts = tables.merge_into_path(
+        spark, path, news, FACT_KEY, audit_columns=(), update="always", cluster="series_key"
+    )
+    merged = tables.stored(spark, path).drop(tables.MONTH)
+    stale = stale_rows(merged, staging_observations, series)
+    counts["deleted"] = tables.delete_from_path(spark, path, stale, FACT_KEY, cluster="series_key")
+    counts["rows_changed"] += counts["deleted"]
+    return counts
+
+
 def full_fact(staging_observations: DataFrame, series: DataFrame, dates: DataFrame) -> DataFrame:
     rows = fact_rows(staging_observations, series, dates)
     return rows.filter(F.col("series_key").isNotNull())

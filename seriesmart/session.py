@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -44,11 +47,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return folder
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Cut the lineage by a reliable checkpoint in the shared folder.
+@contextmanager
+def staged(df: DataFrame) -> Iterator[DataFrame]:
+    """The frame written to the shared folder once and read back, for the length
+    of a ``with`` block.
 
-    Used where one plan feeds several actions, or where a table is rewritten
-    from a plan that reads it.
+    Cuts the lineage where one plan feeds several actions, or where a table is
+    rewritten from a plan that reads it. Unlike a recomputed plan the files have
+    a known size, and a count of one column reads only that column.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/staged/{uuid.uuid4().hex}"
+    try:
+        df.write.parquet(path)
+        yield spark.read.schema(df.schema).parquet(path)
+    finally:
+        remove_folder(spark, path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder of a shared file system, if it is there."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)

@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import date
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from ..operators.filters import in_window
 from ..operators.merge import KEEP, merge_apply, merge_counts, merge_plan
 from ..schemas import AUDIT_COLUMNS
-from ..session import materialized
+from ..session import remove_folder, staged
 
 MONTH = "observation_month"
 
@@ -95,6 +97,21 @@ def materialize(df: DataFrame, how: str, target: str) -> DataFrame:
     raise ValueError(f"unknown materialization: {how}")
 
 
+def stored(spark: SparkSession, path: str) -> DataFrame:
+    """A month-partitioned table; the partition column is text."""
+    table = spark.read.option("basePath", path).parquet(path)
+    return table.withColumn(MONTH, F.col(MONTH).cast("string"))
+
+
+def scan_window(
+    spark: SparkSession, path: str, start: date, end: date, day: str = "observation_date"
+) -> DataFrame:
+    """Rows of an inclusive window: other months' folders are not listed for
+    reading, other row groups are skipped by their statistics."""
+    months = F.col(MONTH).between(f"{start:%Y-%m}", f"{end:%Y-%m}")
+    return in_window(stored(spark, path).filter(months), start, end, day)
+
+
 def write_observations(df: DataFrame, path: str, cluster: str = "series_code") -> None:
     """First load of an observation table, partitioned by month."""
     dated = df.withColumn(MONTH, month_of("observation_date"))
@@ -103,6 +120,17 @@ def write_observations(df: DataFrame, path: str, cluster: str = "series_code") -
     ).parquet(path)
 
 
+def _replace_months(rows: DataFrame, path: str, cluster: str) -> None:
+    clustered(rows, [MONTH], [cluster]).write.partitionBy(MONTH).mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).parquet(path)
+
+
+def _months(rows: DataFrame) -> list[str]:
+    """Months present; their number is bounded by the calendar, not the data."""
+    return [row[0] for row in rows.select(MONTH).distinct().collect()]
+
+
 def merge_into_path(
     spark: SparkSession,
     path: str,
@@ -117,37 +145,44 @@ def merge_into_path(
 
     Only months the source touches are read, and of those only months holding a
     change are rewritten, so the cost follows the batch and not the table. The
-    plan is checkpointed once and feeds the counts and the write. A rerun after
-    a half-applied write converges, because unchanged rows are kept and changed
-    ones are set to the same values. One writer at a time.
+    source and the plan are each computed once. A rerun after a half-applied
+    write converges: unchanged rows are kept and changed ones are set to the
+    same values. One writer at a time.
     """
-    source = source.withColumn(MONTH, month_of(day))
-    # Bounded by the calendar, not by the data.
-    months = [row[0] for row in source.select(MONTH).distinct().collect()]
-    target = spark.read.option("basePath", path).parquet(path)
-    touched = target.filter(F.col(MONTH).cast("string").isin(months)).withColumn(
-        MONTH, F.col(MONTH).cast("string")
-    )
-    plan = materialized(merge_plan(touched, source.select(*touched.columns), keys, [*audit_columns, MONTH], update))
-    counts = merge_counts(plan).head().asDict()
-    if counts["rows_changed"]:
-        dirty = [r[0] for r in plan.filter(F.col("_action") != KEEP).select(MONTH).distinct().collect()]
-        rows = merge_apply(plan.filter(F.col(MONTH).isin(dirty)))
-        clustered(rows, [MONTH], [cluster]).write.partitionBy(MONTH).mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).parquet(path)
+    with staged(source.withColumn(MONTH, month_of(day))) as batch:
+        touched = stored(spark, path).filter(F.col(MONTH).isin(_months(batch)))
+        batch = batch.select(*touched.columns)
+        planned = merge_plan(touched, batch, keys, [*audit_columns, MONTH], update)
+        with staged(planned) as plan:
+            counts = merge_counts(plan).head().asDict()
+            if counts["rows_changed"]:
+                dirty = _months(plan.filter(F.col("_action") != KEEP))
+                _replace_months(merge_apply(plan.filter(F.col(MONTH).isin(dirty))), path, cluster)
     return counts
 
 
-def delete_from_path(spark: SparkSession, path: str, survivors: DataFrame, new_path: str) -> DataFrame:
-    """Write the surviving rows as a new version of the table next to the old.
+def delete_from_path(
+    spark: SparkSession,
+    path: str,
+    doomed: DataFrame,
+    keys: Sequence[str],
+    day: str = "observation_date",
+    cluster: str = "series_code",
+) -> int:
+    """Delete the rows whose keys are in ``doomed``; return how many went.
 
-    A dynamic overwrite would leave a month alone whose rows are all gone, so a
-    delete writes a new folder; the caller switches to it once it is complete.
+    Only months holding such a row are rewritten. A month left without rows is
+    dropped as a folder, which an overwrite would leave as it was.
     """
-    if new_path == path:
-        raise ValueError("a delete needs a new folder")
-    write_observations(survivors.drop(MONTH), new_path)
-    return spark.read.parquet(new_path)
-
-
+    with staged(doomed.select(*keys).withColumn(MONTH, month_of(day))) as gone:
+        months = _months(gone)
+        touched = stored(spark, path).filter(F.col(MONTH).isin(months))
+        survivors = touched.join(gone, [*keys, MONTH], "left_anti").select(*touched.columns)
+        with staged(survivors) as kept:
+            deleted = touched.count() - kept.count()
+            left = _months(kept)
+            if deleted:
+                _replace_months(kept, path, cluster)
+                for month in set(months) - set(left):
+                    remove_folder(spark, f"{path}/{MONTH}={month}")
+    return deleted

@@ -1,11 +1,13 @@
 """Upserts, deletes, history and the incremental fact: literal cases and invariants."""
 
+import os
 from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import collected
+from seriesmart import session
 from seriesmart.operators import merge, scd2
 from seriesmart.plans import ingest, marts
 from seriesmart.schemas import OBSERVATIONS, RUN_COMPLETION_COLUMNS, RUNS
@@ -284,6 +286,44 @@ def test_stored_merge_rewrites_only_changed_months(spark, rows, tmp_path):
     assert files() == unchanged
 
 
+def test_stored_delete_drops_emptied_months(spark, rows, tmp_path):
+    path = str(tmp_path / "observations")
+    tables.write_observations(rows(SCHEMA, ("a", D1, 1.0, "r"), ("a", D2, 2.0, "r"), ("a", D3, 3.0, "r")), path)
+    assert tables.delete_from_path(spark, path, rows("series_code string, observation_date date"), KEYS) == 0
+    doomed = rows("series_code string, observation_date date", ("a", D2), ("a", D3), ("zz", D1))
+    assert tables.delete_from_path(spark, path, doomed, KEYS) == 2
+    assert collected(tables.stored(spark, path), "observation_date") == [(D1,)]
+    assert not (tmp_path / "observations/observation_month=2026-02").exists()
+
+
+def test_stored_fact_build_equals_full_refresh(spark, rows, dim, tmp_path):
+    path = str(tmp_path / "fact")
+    before = staged(rows, ("a", D1, 1.0, T1, "r1"), ("a", D3, 2.0, T1, "r1"), ("b", D1, 3.0, T1, "r1"))
+    after = staged(rows, ("a", D1, 1.5, T2, "r2"), ("a", D3, None, T2, "r2"), ("b", D1, 3.0, T1, "r1"), ("b", D2, 4.0, T2, "r2"))
+    tables.write_observations(marts.full_fact(before, dim, marts.dim_date(before)), path, cluster="series_key")
+    dates = marts.dim_date(after)
+    counts = marts.build_fact_table(spark, path, after, dim, dates)
+    assert counts == {"inserted": 1, "updated": 1, "deleted": 1, "rows_changed": 3}
+    assert collected(tables.stored(spark, path).drop(tables.MONTH)) == collected(marts.full_fact(after, dim, dates))
+    assert marts.build_fact_table(spark, path, after, dim, dates)["rows_changed"] == 0
+
+
+def test_staged_files_are_removed(spark, rows):
+    with session.staged(rows("a int", (1,))) as frame:
+        files = frame.inputFiles()
+        assert collected(frame) == [(1,)]
+    assert not any(os.path.exists(f.removeprefix("file://")) for f in files)
+
+
+def test_window_scan_prunes_months(spark, rows, tmp_path):
+    path = str(tmp_path / "t")
+    tables.write_observations(rows(SCHEMA, ("a", D1, 1.0, "r1"), ("a", D2, 1.0, "r1"), ("a", D3, 3.0, "r1")), path)
+    scan = tables.scan_window(spark, path, D2, date(2026, 1, 31))
+    assert collected(scan, "observation_date") == [(D2,)]
+    plan = scan._jdf.queryExecution().executedPlan().toString()
+    assert "observation_month" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
 def test_window_filter_prunes_partitions_and_columns(spark, rows, tmp_path):
     path = str(tmp_path / "t")
     tables.write_observations(rows(SCHEMA, ("a", D1, 1.0, "r1"), ("a", D3, 3.0, "r1")), path)

@@ -116,14 +116,14 @@ def _(r):
     return merge.upsert_columns(started, done, RUNS_KEY, ["status", "exit_code"])
 
 
-@query(
-    "mrg_06_incremental_fact",
-    """
+FACT_BUILD_SQL = """
     SELECT s.series_key, d.date_key, o.observation_date, o.value, o.extracted_at, o.ingestion_run_id
     FROM retracted_obs o JOIN dim_series s USING (series_code) JOIN dim_date d ON o.observation_date = d.date_day
     WHERE o.value IS NOT NULL
-    """,
-)
+"""
+
+
+@query("mrg_06_incremental_fact", FACT_BUILD_SQL)
 def _(r):
     return marts.incremental_fact(r.old_fact, r.retracted_obs, r.dim_series, r.dim_date)
 

@@ -7,19 +7,25 @@ return what reading the files back gives.
 from __future__ import annotations
 
 import uuid
+from datetime import date
 
 from pyspark.sql import functions as F, types as T
 
 from seriesmart.operators import audit, merge, validate
+from seriesmart.plans import marts
 from seriesmart.schemas import OBSERVATIONS, OBSERVATIONS_KEY
 from seriesmart.session import ensure_checkpoint_dir
 from seriesmart.sources import config, landed, tables
 
 from .aggregates import ERROR_SQL, OUTCOME_SQL, RUN_ROLLUP_SQL
-from .merge import MERGE_SQL
+from .merge import FACT_BUILD_SQL, MERGE_SQL
 from .sql import query
 
 
+# Fixed values of the given tables.
+CATALOG_FREQUENCIES = ("DAILY", "MONTHLY", "QUARTERLY", "ANNUAL", "WEEKLY")
+
+
 def fresh_folder(r) -> str:
     return f"{ensure_checkpoint_dir(r.spark)}/workload/{uuid.uuid4().hex}"
 
@@ -83,20 +89,12 @@ def _(r):
 
 @query("src_05_catalog_union", "SELECT series_code, frequency_code, english_title FROM catalog")
 def _(r):
-    """One landed file per frequency, united."""
+    """One landed catalog per frequency, united."""
     path = fresh_folder(r)
     slim = r.catalog.select("series_code", "frequency_code", "english_title")
-    slim.write.partitionBy("frequency_code").parquet(path)
-    parts = [
-        r.spark.read.option("basePath", path).parquet(f"{path}/frequency_code={f}")
-        for f in _frequencies(r)
-    ]
-    return landed.catalog_union(parts)
-
-
-def _frequencies(r):
-    # A handful of codes, whatever the number of series.
-    return sorted(row[0] for row in r.catalog.select("frequency_code").distinct().limit(20).collect())
+    for frequency in CATALOG_FREQUENCIES:
+        slim.filter(F.col("frequency_code") == frequency).write.parquet(f"{path}/{frequency}")
+    return landed.catalog_union([r.spark.read.parquet(f"{path}/{f}") for f in CATALOG_FREQUENCIES])
 
 
 @query("src_06_series_config", "SELECT * FROM config WHERE coalesce(enabled, true)")
@@ -274,8 +272,7 @@ def _(r):
     path = fresh_folder(r)
     tables.write_observations(r.first_load, path)
     tables.merge_into_path(r.spark, path, r.second_load, OBSERVATIONS_KEY)
-    back = r.spark.read.option("basePath", path).parquet(path)
-    return back.withColumn(tables.MONTH, F.col(tables.MONTH).cast("string"))
+    return tables.stored(r.spark, path)
 
 
 @query(
@@ -286,7 +283,26 @@ def _(r):
 def _(r):
     path = fresh_folder(r)
     tables.write_observations(r.raw_observations, path)
-    stored = r.spark.read.parquet(path)
-    survivors = merge.prune(stored, config.enabled(r.config))
-    back = tables.delete_from_path(r.spark, path, survivors, f"{path}-pruned")
-    return back.withColumn(tables.MONTH, F.col(tables.MONTH).cast("string"))
+    doomed = merge.unconfigured(tables.stored(r.spark, path), config.enabled(r.config))
+    tables.delete_from_path(r.spark, path, doomed, OBSERVATIONS_KEY)
+    return tables.stored(r.spark, path)
+
+
+@query("mrg_06_incremental_fact_table", FACT_BUILD_SQL)
+def _(r):
+    """An incremental build of a stored fact: equals a full refresh."""
+    path = fresh_folder(r)
+    tables.write_observations(r.old_fact, path, cluster="series_key")
+    marts.build_fact_table(r.spark, path, r.retracted_obs, r.dim_series, r.dim_date)
+    return tables.stored(r.spark, path).drop(tables.MONTH)
+
+
+@query(
+    "flt_03_window_scan",
+    "SELECT *, strftime(observation_date, '%Y-%m') AS observation_month FROM raw_observations "
+    "WHERE observation_date BETWEEN DATE '1997-03-05' AND DATE '1997-07-20'",
+)
+def _(r):
+    path = fresh_folder(r)
+    tables.write_observations(r.raw_observations, path)
+    return tables.scan_window(r.spark, path, date(1997, 3, 5), date(1997, 7, 20))
