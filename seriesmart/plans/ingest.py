@@ -9,14 +9,15 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..functions.text import timestamp_run_id
 from ..operators.aggregates import first_seen_runs
 from ..operators.canonical import canonical_observations
-from ..operators.merge import backfill, evolve, merge_plan, register_runs
+from ..operators.merge import backfill, evolve, merge_plan, register_runs, unconfigured
 from ..operators.validate import checks, gate, profile, stage_counts
 from ..schemas import OBSERVATIONS, OBSERVATIONS_KEY
+from ..sources import tables
 
 
 @dataclass(frozen=True)
@@ -48,6 +49,39 @@ def ingest_observations(
     return Ingested(plan, rejected, checked, stage_counts(checked))
 
 
+def ingest_into_table(
+    spark: SparkSession,
+    path: str,
+    checks_path: str,
+    long: DataFrame,
+    config: DataFrame,
+    start: date,
+    end: date,
+    extracted_at: Column,
+    ingested_at: Column,
+    run_id: Column,
+    source: str,
+    explicit_window: bool = False,
+    prune: bool = False,
+) -> dict[str, int]:
+    """Ingest into a stored observation table; return its change counts.
+
+    The checks of all series are kept at ``checks_path``: evidence for the
+    rejected ones, and what the gate reads instead of profiling again. With
+    ``prune``, rows of series not in ``config`` are deleted afterwards.
+    """
+    checks(profile(long, config, start, end), explicit_window).write.mode("overwrite").parquet(checks_path)
+    accepted, _ = gate(long, spark.read.parquet(checks_path), config)
+    rows = canonical_observations(accepted, config, extracted_at, ingested_at, run_id, source)
+    counts = tables.merge_into_path(spark, path, rows, OBSERVATIONS_KEY)
+    if prune:
+        doomed = unconfigured(tables.stored(spark, path), config)
+        pruned = tables.delete_from_path(spark, path, doomed, OBSERVATIONS_KEY)
+        counts["deleted"] += pruned
+        counts["rows_changed"] += pruned
+    return counts
+
+
 def backfill_windows(
     config: DataFrame,
     observations: DataFrame,

@@ -308,6 +308,50 @@ def test_stored_fact_build_equals_full_refresh(spark, rows, dim, tmp_path):
     assert marts.build_fact_table(spark, path, after, dim, dates)["rows_changed"] == 0
 
 
+@pytest.mark.parametrize("thorough", [True, False])
+def test_recent_retractions_and_dropped_series_leave_the_fact(spark, rows, dim, tmp_path, thorough):
+    path = str(tmp_path / "fact")
+    before = staged(rows, ("a", D1, 1.0, T1, "r1"), ("a", D3, 2.0, T1, "r1"), ("b", D1, 3.0, T1, "r1"))
+    after = staged(rows, ("a", D1, 1.0, T1, "r1"), ("a", D3, None, T2, "r2"), ("b", D1, 3.0, T1, "r1"))
+    dates = marts.dim_date(before)
+    tables.write_observations(marts.full_fact(before, dim, dates), path, cluster="series_key")
+    kept = dim.filter("series_code = 'a'")
+    counts = marts.build_fact_table(spark, path, after, kept, dates, thorough=thorough)
+    assert counts == {"inserted": 0, "updated": 0, "deleted": 2, "rows_changed": 2}
+    assert collected(tables.stored(spark, path), "series_key", "observation_date") == [("ka", D1)]
+
+
+def test_ingestion_into_a_stored_table(spark, rows, tmp_path):
+    path, checks = str(tmp_path / "observations"), str(tmp_path / "checks")
+    config = rows(
+        "series_name string, series_code string, frequency string, unit string, max_null_ratio double, min_value double",
+        ("a", "A", "daily", "u", None, None),
+        ("low", "L", "daily", "u", None, 0.0),
+    )
+    at = F.lit(T1)
+
+    def ingest_rows(run, *data, config=config, **options):
+        long = rows("series_name string, observation_date date, value double", *data)
+        if not (tmp_path / "observations").exists():
+            columns = ingest.canonical_observations(long, config, at, at, F.lit("r0"), "bank")
+            tables.write_observations(columns, path)
+        return ingest.ingest_into_table(
+            spark, path, checks, long, config, D1, D3, at, at, F.lit(run), "bank", explicit_window=True, **options
+        )
+
+    assert ingest_rows("r1", ("a", D1, 1.0), ("low", D1, 1.0))["rows_changed"] == 0
+    counts = ingest_rows("r2", ("a", D1, 1.5), ("a", D2, 2.0), ("low", D1, -1.0))
+    assert counts == {"inserted": 1, "updated": 1, "deleted": 0, "rows_changed": 2}
+    assert collected(spark.read.parquet(checks), "series_name", "passed") == [("a", True), ("low", False)]
+    assert collected(tables.stored(spark, path), "series_code", "value", "ingestion_run_id") == [
+        ("A", 1.5, "r2"),
+        ("A", 2.0, "r2"),
+        ("L", 1.0, "r0"),
+    ]
+    pruned = ingest_rows("r3", config=config.filter("series_name = 'a'"), prune=True)
+    assert pruned == {"inserted": 0, "updated": 0, "deleted": 1, "rows_changed": 1}
+
+
 def test_staged_files_are_removed(spark, rows):
     with session.staged(rows("a int", (1,))) as frame:
         files = frame.inputFiles()

@@ -29,3 +29,25 @@ def test_query_matches_sql(spark, duck, name):
         spark, duck, FOLDER, entry_point.queries()[name], entry_point.oracle_sql().get(name)
     )
     assert problem in (None, MAY_BE_EMPTY)
+
+
+SALTED = [
+    "jon_01_fact_dim_left",
+    "jon_11_asof_snapshot",
+    "flt_04_range_predicate",
+    "mrg_02_merge_delete_unmatched",
+    "mrg_06_incremental_fact",
+    "dq_18_no_future_dates",
+    "val_13_quarantine",
+]
+
+
+@pytest.mark.parametrize("name", SALTED)
+def test_query_matches_sql_without_broadcasts(spark, duck, name, monkeypatch):
+    """The same answers when every lookup counts as too large to broadcast."""
+    from seriesmart.operators import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
+    monkeypatch.setattr(joins, "SALTS", 3)
+    build, sql = entry_point.queries()[name], entry_point.oracle_sql()[name]
+    assert difference(spark, duck, FOLDER, build, sql) is None
