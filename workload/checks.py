@@ -309,7 +309,7 @@ def _(r):
     return r.runs.filter(broken).select("run_id", "valid_rows", "loaded_rows")
 
 
-@query("dq_08_accepted_range", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem WHERE l_quantity < 5 OR l_quantity > 45")
+@query("dq_08_accepted_range", "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_quantity FROM lineitem WHERE l_quantity < 5 OR l_quantity > 45")
 def _(r):
     return r.table("lineitem").filter(quality.outside("l_quantity", 5, 45)).select(
         "l_orderkey", "l_linenumber", "l_quantity"

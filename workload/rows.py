@@ -311,7 +311,7 @@ def _(r):
 
 @query(
     "scl_11_safe_divide",
-    "SELECT l_orderkey, l_linenumber, l_extendedprice, l_discount, "
+    "SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_extendedprice, l_discount, "
     "CASE WHEN l_discount <> 0 THEN l_extendedprice / l_discount END AS ratio FROM lineitem",
 )
 def _(r):
@@ -394,7 +394,7 @@ def _(r):
 @query(
     "scl_18_lenient_parsing",
     """
-    SELECT l_orderkey, l_linenumber,
+    SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber,
       CASE WHEN l_orderkey % 211 <> 0 THEN CAST(l_shipdate AS DATE) END AS parsed_date,
       CASE l_partkey % 4 WHEN 0 THEN l_quantity WHEN 3 THEN 100.0 END AS parsed_number
     FROM lineitem
