@@ -6,7 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import piece_bpe
+from . import minhash_docs, piece_bpe
+from .staging import ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -24,6 +25,7 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -45,3 +47,8 @@ def op9_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.col("tokens").cast("array<string>"), " "), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+@query("op1_minhash_near_dedup")
+def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_docs.near_duplicates(table(spark, sf_dir, "documents"))

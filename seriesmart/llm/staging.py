@@ -2,14 +2,34 @@
 
 from __future__ import annotations
 
+import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.window import Window
 
 from ..session import ensure_checkpoint_dir, remove_folder
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give the executors this package, as a zip that Spark hands out; once a session."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parent.parent
+    target = Path(tempfile.mkdtemp(prefix="ship-")) / f"{package.name}.zip"
+    with zipfile.ZipFile(target, "w") as archive:
+        for file in sorted(package.rglob("*.py")):
+            archive.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(target))
+    _SHIPPED.add(context.applicationId)
+
+
 def shared_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the checkpoint folder that driver and executors share."""
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -70,37 +90,28 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
 
     Alternating large-star and small-star steps: each id's neighbours are tied to
     the smallest of them. Every step is a partial aggregate and an equi-join, so a
-    hub's neighbours are never gathered. Rounds end when the edges stop changing;
-    chains shrink exponentially, so ``rounds`` is a guard that raises.
+    hub's neighbours are never gathered. One job a round, written to the shared
+    folder; rounds end when the edges stop changing. Paths shrink exponentially,
+    so ``rounds`` is a guard that raises.
     """
     clean = edges.where(F.col(a).isNotNull() & F.col(b).isNotNull() & (F.col(a) != F.col(b)))
-    current = staged(
-        clean.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).distinct(), "edges"
-    )
-    seen = _digest(current)
+    current, seen = _staged_edges(clean.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")))
     for _ in range(rounds):
         if not seen[0]:
             break
         both = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        lowest = staged(
-            both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m")), "lowest"
-        )
+        lowest = both.groupBy("u").agg(F.least(F.min("v"), F.col("u")).alias("m"))
         large = (
             both.where("v > u").join(lowest, "u")
             .where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         )
-        large = staged(large, "large")
-        small_lowest = staged(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
-        small = large.join(small_lowest, "u")
-        after = staged(
-            small.where("v != m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            .union(small_lowest.select("u", F.col("m").alias("v")))
-            .distinct(),
-            "edges",
-        )
-        now = _digest(after)
-        for old in (current, lowest, large, small_lowest):
-            drop_staged(old)
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(lowest, "u").select(
+            F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")),
+                              F.struct(F.col("u").alias("u"), F.col("m").alias("v")))).alias("e")
+        ).select("e.u", "e.v").where("u != v")
+        after, now = _staged_edges(small)
+        drop_staged(current)
         current = after
         if now == seen:
             break
@@ -112,11 +123,20 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 60) -
     )
 
 
-def _digest(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(
-        F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")
-    ).first()
-    return row["n"], row["x"] or 0
+def _staged_edges(edges: DataFrame) -> tuple[DataFrame, tuple[int, int]]:
+    """Distinct edges in the shared folder, their number and a digest."""
+    seen = Observation()
+    written = staged(
+        edges.distinct().observe(seen, F.count("*").alias("n"), F.expr("bit_xor(xxhash64(u, v))").alias("x")), "edges"
+    )
+    return written, (seen.get["n"], seen.get["x"] or 0)
+
+
+def staged_count(df: DataFrame, name: str) -> tuple[DataFrame, int]:
+    """``staged``, and how many rows were written."""
+    seen = Observation()
+    written = staged(df.observe(seen, F.count("*").alias("n")), name)
+    return written, seen.get["n"]
 
 
 def fresh_name(base: str, taken: list[str]) -> str:
