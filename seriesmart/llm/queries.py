@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import minhash_docs, piece_bpe
-from .staging import ship
+from . import minhash_docs, piece_bpe, sharding, training_order, unigram_count
+from .staging import numbered, shared_path, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -52,3 +52,66 @@ def op9_piece_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op1_minhash_near_dedup")
 def op1_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_docs.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op5_unigram_counts")
+def op5_unigram_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return unigram_count.count_tokens(docs, vocabulary("piece_bpe_32k.model")).select("doc_id", "n_tokens")
+
+
+@query("op2_training_order")
+def op2_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per written sequence, with the digest of its record as read from the
+    shard file and the ids of the documents it holds."""
+    import public_tokenizers
+
+    path = shared_path(spark, "training-order")
+    places = training_order.materialise(
+        table(spark, sf_dir, "documents").select("doc_id", "text"),
+        path, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+    )
+    held = places.groupBy("slot").agg(
+        F.first("seq").alias("seq"),
+        F.sum("n").alias("n_tokens"),
+        F.transform(F.sort_array(F.collect_list(F.struct("place", "doc_id"))), lambda x: x["doc_id"]).alias("doc_ids"),
+    )
+    records = training_order.read_slots(spark, path).select(
+        "slot", "shard", "byte_offset", F.crc32("ids").alias("ids_crc32")
+    )
+    return records.join(held, "slot").select("slot", "shard", "byte_offset", "seq", "n_tokens", "doc_ids", "ids_crc32")
+
+
+_DIGEST = "CAST(('0x' || substr(md5(doc_id || ':' || {s}), 1, 13)) AS BIGINT)"
+
+
+def _rendezvous_sql(shards: int) -> str:
+    """The shard of the largest digest: of equal weights it has the largest score."""
+    listed = ", ".join(f"{{'d': {_DIGEST.format(s=s)}, 's': {-s}}}" for s in range(shards))
+    return f"CAST(-list_max([{listed}]).s AS INTEGER)"
+
+
+@query(
+    "op3_rendezvous_shards",
+    f"""
+WITH sharded AS (
+  SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size, 'key' AS law,
+    {_rendezvous_sql(8)} AS shard, {_rendezvous_sql(9)} AS grown_shard
+  FROM documents)
+SELECT doc_id, size, law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
+FROM sharded""",
+)
+def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    text = F.coalesce("text", F.lit(""))
+    sharded = docs.select(
+        "doc_id",
+        (F.octet_length(text) + 1).cast("long").alias("size"),
+        F.crc32(text.cast("binary")).cast("long").alias("text_crc32"),
+        F.lit("key").alias("law"),
+        sharding.shard_of(F.col("doc_id"), [1.0] * 8).alias("shard"),
+        sharding.shard_of(F.col("doc_id"), [1.0] * 9).alias("grown_shard"),
+    )
+    return numbered(sharded, ["doc_id"], "shard", "slot", "shards").select(
+        "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
+    )
