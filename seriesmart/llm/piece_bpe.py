@@ -15,6 +15,7 @@ from functools import lru_cache
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
 import sentencepiece
 from pyspark.sql import DataFrame, types as T
@@ -22,8 +23,8 @@ from pyspark.sql import DataFrame, types as T
 from .staging import fresh_name
 
 SPACE = "▁"
-CACHED_CHUNKS = 300_000
-CACHED_PAIRS = 2_000_000
+CACHED_CHUNKS = 200_000
+CACHED_PAIRS = 1_000_000
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -205,16 +206,18 @@ class PieceBpe:
 
 
 class _Chunks(dict):
-    """Ids by word, kept up to a fixed number of words."""
+    """Ids by word: the latest words, and those that were the latest before."""
 
     def __init__(self, coder: PieceBpe):
         super().__init__()
         self.coder = coder
+        self.before: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= CACHED_CHUNKS:
+            self.before = dict(self)
             self.clear()
-        ids = self.coder.chunk_ids(SPACE + word)
+        ids = self.before.get(word) or self.coder.chunk_ids(SPACE + word)
         if len(word) <= 40:
             self[word] = ids
         return ids
@@ -271,12 +274,21 @@ def decode(df: DataFrame, model_path: str, tokens: str = "tokens", text: str = "
         model = coder(model_path)
         for whole in batches:
             for batch in parts(whole, tokens):
-                out = pa.array((model.decode(x or []) for x in batch[tokens].to_pylist()), pa.string())
+                out = pa.array((model.decode(x) for x in _lists(batch[tokens])), pa.string())
                 yield pa.RecordBatch.from_arrays([*batch.columns, out], [*batch.schema.names, name])
 
     return df.mapInArrow(run, schema)
 
 
+def _lists(column: pa.ListArray) -> Iterator[list[int]]:
+    """The lists of a column, one by one; a null gives an empty list."""
+    flat, ends = column.flatten(), np.cumsum(np.asarray(column.value_lengths().fill_null(0)))
+    values, start = flat.to_numpy(zero_copy_only=False), 0
+    for end in ends.tolist():
+        yield values[start:end].tolist()
+        start = end
+
+
 def parts(batch: pa.RecordBatch, column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """Slices of a batch whose ``column`` holds about ``most`` bytes, one row at least."""
     rows, size = batch.num_rows, max(batch[column].nbytes, 1)
