@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from . import minhash_docs, piece_bpe, sharding, training_order, unigram_count
+from . import minhash_docs, piece_bpe, sharding, spaced_seeds, training_order, unigram_count, url_templates
 from .staging import numbered, shared_path, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -115,3 +115,24 @@ def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return numbered(sharded, ["doc_id"], "shard", "slot", "shards").select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"
     )
+
+
+URL_RULES = [
+    url_templates.Rule("allow", "com/"),
+    url_templates.Rule("block", "example.com/en/"),
+    url_templates.Rule("allow", "www.example.com/en/"),
+    url_templates.Rule("block", "net/es/"),
+    url_templates.Rule("block", "net/fr/"),
+]
+
+
+@query("op7_url_templates")
+def op7_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_templates.judge(table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+
+
+@query("op8_spaced_seeds")
+def op8_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per document: whether it holds benchmark text, of which items, and how much."""
+    docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return spaced_seeds.contaminated(docs, items)
