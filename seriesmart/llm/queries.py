@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import minhash_docs, piece_bpe, sharding, spaced_seeds, training_order, unigram_count, url_templates
+from . import minhash_docs, piece_bpe, sharding, spaced_seeds, toxicity, training_order, unigram_count, url_templates
 from .staging import numbered, shared_path, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -136,3 +136,21 @@ def op8_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per document: whether it holds benchmark text, of which items, and how much."""
     docs, items = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
     return spaced_seeds.contaminated(docs, items)
+
+
+def held_out(doc_id: str = "doc_id") -> Column:
+    """The third of the ids of which no label is learnt."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(3)) == 1
+
+
+@query("op6_toxicity")
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    index = toxicity.learn(docs, labels, ~held_out())
+    return toxicity.score(docs, index).select(
+        "doc_id",
+        F.coalesce(held_out(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= 0.7).cast("int").alias("predicted"),
+        F.transform("evidence", lambda e: e["doc_id"]).alias("evidence"),
+    )
