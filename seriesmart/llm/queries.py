@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import minhash_docs, piece_bpe, sharding, spaced_seeds, toxicity, training_order, unigram_count, url_templates
+from . import fuzzy_lines, minhash_docs, piece_bpe, sharding, spaced_seeds, toxicity, training_order, unigram_count, url_templates
 from .staging import numbered, shared_path, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -154,3 +154,12 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.7).cast("int").alias("predicted"),
         F.transform("evidence", lambda e: e["doc_id"]).alias("evidence"),
     )
+
+
+@query("op10_fuzzy_lines")
+def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per document its lines, the numbers of those dropped, and the text that stays."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return fuzzy_lines.dedup_lines(docs).select(
+        "doc_id", "n_lines", "dropped", F.octet_length("text").cast("long").alias("kept_bytes"), F.md5("text").alias("kept_md5")
+    )
