@@ -105,7 +105,13 @@ def overlaps(found: DataFrame, docs: DataFrame, items: DataFrame, window: int =
     )
 
 
-def contaminated(
+def contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text: str = "text") -> DataFrame:
+    """doc_id, contaminated, item_ids, matched of every row; see ``flagged``."""
+    picked = docs.select(F.col(id_col).alias("doc_id"), F.col(text).alias("text"))
+    return flagged(picked, items).select("doc_id", "contaminated", "item_ids", "matched")
+
+
+def flagged(
     docs: DataFrame,
     items: DataFrame,
     id_col: str = "doc_id",
@@ -113,31 +119,32 @@ def contaminated(
     item_col: str = "item_id",
     item_text: str = "text",
 ) -> DataFrame:
-    """doc_id, contaminated, item_ids (sorted), matched (most equal tokens) per row of ``docs``.
+    """``docs`` with contaminated, item_ids (sorted) and matched (most equal tokens).
 
     Null and empty texts hold nothing; items without tokens are in no document.
     Rows of one id share a verdict; rows without an id are judged by their text.
-    Repeated items count once each id. Extra columns are not read. An item that a
-    third of the documents hold gives one row per document, item and diagonal
-    before anything is shuffled by document.
+    Repeated items count once each id. Extra columns stay; columns of the new names
+    are replaced. An item that a third of the documents hold gives one row per
+    document, item and diagonal before anything is shuffled by document.
     """
     key = F.coalesce(F.col(id_col).cast("string"), F.concat(F.lit("text:"), F.md5(F.coalesce(F.col(text), F.lit("")))))
-    source = docs.select(F.col(id_col).alias("doc_id"), key.alias("key"), F.col(text).alias("text"))
-    cut = source.select("key", tokens(F.col("text")).alias("words"))
+    source = docs.drop("contaminated", "item_ids", "matched").withColumn("__key", key)
+    cut = source.select(F.col("__key").alias("key"), tokens(F.col(text)).alias("words"))
     bench = staged(
-        items.select(F.col(item_col).alias("item"), tokens(F.col(item_text)).alias("words")).where("size(words) > 0").distinct(),
+        items.select(F.col(item_col).alias("item"), tokens(F.col(item_text)).alias("words"))
+        .where("size(words) > 0 AND item IS NOT NULL").distinct(),
         "benchmark",
     )
     lengths = [r[0] for r in bench.where(F.size("words") < SPAN).select(F.size("words")).distinct().collect()]  # 11 at most
     found = staged(hits(cut, bench, sorted(lengths)), "hits")
     holding = staged(cut.join(found.select("key").distinct(), "key", "left_semi").distinct(), "holding")
     proven = overlaps(found, holding, bench)
-    verdicts = proven.groupBy("key").agg(
+    verdicts = proven.groupBy(F.col("key").alias("__key")).agg(
         F.sort_array(F.collect_set("item")).alias("item_ids"), F.max("matched").cast("long").alias("matched")
     )
-    return source.select("doc_id", "key").join(staged(verdicts, "verdicts"), "key", "left").select(
-        "doc_id",
-        F.col("item_ids").isNotNull().alias("contaminated"),
-        F.coalesce("item_ids", F.array().cast("array<long>")).alias("item_ids"),
-        F.coalesce("matched", F.lit(0)).cast("long").alias("matched"),
+    return (
+        source.join(staged(verdicts, "verdicts"), "__key", "left").drop("__key")
+        .withColumn("contaminated", F.col("item_ids").isNotNull())
+        .withColumn("item_ids", F.coalesce("item_ids", F.array().cast("array<long>")))
+        .withColumn("matched", F.coalesce("matched", F.lit(0)).cast("long"))
     )

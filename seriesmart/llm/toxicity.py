@@ -22,7 +22,7 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from .piece_bpe import parts
 from .staging import staged
@@ -312,25 +312,40 @@ def _example_counts(examples: DataFrame, vocabulary: dict[str, int]) -> list[tup
 
 
 def score(docs: DataFrame, index: Index, neighbours: int = Limits.neighbours, id_col: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, score, evidence for every row of ``docs``.
+    """doc_id, score, evidence for every row of ``docs``; see ``annotate``."""
+    picked = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return annotate(picked, index, neighbours, "text").select(
+        "doc_id", F.col("toxicity").alias("score"), F.col("toxicity_evidence").alias("evidence")
+    )
+
 
-    ``score`` is the calibrated share of the positive label among the nearest
-    examples; ``evidence`` holds the nearest three as (doc_id, label, cosine). A text
+def annotate(docs: DataFrame, index: Index, neighbours: int = Limits.neighbours, text: str = "text") -> DataFrame:
+    """``docs`` with toxicity and toxicity_evidence, every row.
+
+    ``toxicity`` is the calibrated share of the positive label among the nearest
+    examples; the evidence holds the nearest three as (doc_id, label, cosine). A text
     without any learnt term, null and empty ones too, gets the smoothed rate of
     such texts and no evidence. Without labels every score is 0.5. Only the text is
-    looked at. No shuffle: the bounded index is broadcast.
+    looked at. Other columns stay; columns of the new names are replaced. No
+    shuffle: the bounded index is broadcast.
     """
     shared = docs.sparkSession.sparkContext.broadcast(index)
-    schema = "doc_id long, score double, evidence array<struct<doc_id:long,label:int,cosine:double>>"
+    base = docs.drop("toxicity", "toxicity_evidence")
+    evidence_type = T.ArrayType(T.StructType([
+        T.StructField("doc_id", T.LongType()), T.StructField("label", T.IntegerType()), T.StructField("cosine", T.DoubleType()),
+    ]))
+    schema = T.StructType([
+        *base.schema.fields, T.StructField("toxicity", T.DoubleType()), T.StructField("toxicity_evidence", evidence_type),
+    ])
     kind = pa.list_(pa.struct([("doc_id", pa.int64()), ("label", pa.int32()), ("cosine", pa.float64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index, cache = shared.value, {}
         known = Known(index.vocabulary)
         for whole in batches:
-            for batch in parts(whole, "text"):
+            for batch in parts(whole, text):
                 scores, evidence = [], []
-                for t in batch["text"].to_pylist():
+                for t in batch[text].to_pylist():
                     counts = known.counts(t)
                     key = tuple(sorted(counts.items()))
                     if key not in cache:
@@ -343,7 +358,8 @@ def score(docs: DataFrame, index: Index, neighbours: int = Limits.neighbours, id
                     scores.append(cache[key][0])
                     evidence.append(cache[key][1])
                 yield pa.RecordBatch.from_arrays(
-                    [batch["id"], pa.array(scores, pa.float64()), pa.array(evidence, kind)], ["doc_id", "score", "evidence"]
+                    [*batch.columns, pa.array(scores, pa.float64()), pa.array(evidence, kind)],
+                    [*batch.schema.names, "toxicity", "toxicity_evidence"],
                 )
 
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text).alias("text")).mapInArrow(run, schema)
+    return base.mapInArrow(run, schema)
