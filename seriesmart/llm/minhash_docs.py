@@ -6,9 +6,11 @@
 3. Within each band bucket, members are paired with the bucket's smallest id, not
    with each other. Pairs are verified on full shingle sets and joined into
    components.
-4. Where a bucket still holds several components, links that a pair with the
-   smallest member did not show are looked for: by a second hub, then by a prefix
-   filter over those buckets' documents, which finds every remaining link.
+4. Where a bucket still holds several components, its members meet again in finer
+   buckets, of pairs of bands, each with a hub of its own: there the members agree in
+   twice as many slots, so a hub is likely linked to all that are linked at all. Turns
+   over different pairs of bands go on until two in a row find no new link. Every turn
+   compares a member with one hub a bucket, so work stays in proportion to the members.
 """
 
 from __future__ import annotations
@@ -18,8 +20,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.window import Window
+from pyspark.sql import Column, DataFrame, functions as F
 
 from .piece_bpe import parts
 from .shingles import mixed, shingle_sets
@@ -137,32 +138,16 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
     return joined.mapInArrow(run, "a long, b long")
 
 
-def prefixes(texts: DataFrame, size: int, percent: int) -> DataFrame:
-    """For each text the shingles of which a similar text must share one: the rarest
-    ``n - ceil(n * percent / 100) + 1`` by their frequency among these texts."""
+def finer_keys(banded: DataFrame, shifts: tuple[int, ...]) -> DataFrame:
+    """id, component and one key for each pair of bands (i, i + shift): documents that
+    agree in twice as many slots."""
 
-    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in parts(whole, "text"):
-                sets = shingle_sets(batch["text"].to_pylist(), size)
-                ids = np.repeat(np.array(batch["id"].to_pylist(), np.int64), [len(s) for s in sets])
-                flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
-                for start in range(0, len(ids), 1 << 18):
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[start : start + (1 << 18)]), pa.array(flat[start : start + (1 << 18)])],
-                        ["id", "s"],
-                    )
-
-    grams = staged(texts.select("id", "text").mapInArrow(hashed, "id long, s long").distinct(), "grams")
-    often = staged(grams.groupBy("s").agg(F.count("*").alias("f")).where("f > 1"), "often")
-    ranked = grams.join(often, "s", "left").select(
-        "id", "s", F.coalesce("f", F.lit(1)).alias("f"),
-        F.row_number().over(Window.partitionBy("id").orderBy(F.coalesce("f", F.lit(1)), "s")).alias("r"),
-        F.count("*").over(Window.partitionBy("id")).alias("n"),
-    )
-    return ranked.where((F.col("f") > 1) & (F.col("r") <= F.col("n") - F.ceil(F.col("n") * percent / 100) + 1)).select(
-        "id", "s"
-    )
+    def shifted(d: int) -> Column:
+        other = lambda i: F.get(F.col("bands"), (i + d) % F.size("bands"))
+        return F.transform("bands", lambda key, i: F.xxhash64(key, other(i), i, F.lit(d)))
+
+    pairs = [shifted(d) for d in shifts]
+    return banded.select("id", "component", F.explode(F.array_distinct(F.flatten(F.array(*pairs)))).alias("key"))
 
 
 def near_duplicates(
@@ -224,31 +209,35 @@ def near_duplicates(
         """Members of buckets that hold several components, with their component."""
         now = members.join(grouped, "id", "left").withColumn("component", F.coalesce("component", "id"))
         span = now.groupBy("key").agg(
-            F.min("component").alias("c0"), F.max("component").alias("c1"), F.max("id").alias("top")
+            F.min("component").alias("c0"), F.max("component").alias("c1")
         ).where("c0 != c1")
-        return now.join(span.select("key", "top"), "key")
-
-    # Buckets of more than one component: the largest id as a second hub.
-    members, n = staged_count(in_mixed_buckets(held.select("key", "id")), "open")
-    if n:
-        tops = members.where("id = top").select("key", F.col("component").alias("top_component")).distinct()
-        second = (
-            members.join(tops, "key").where("component != top_component AND id != top")
-            .select(F.col("top").alias("a"), F.col("id").alias("b")).distinct()
-        )
-        done = tried.select(F.col("a").alias("b"), F.col("b").alias("a"))
-        second = near_in_size(second).join(done, ["a", "b"], "left_anti")
-        grouped = joined(verified(second, texts, size, percent))
-        members, n = staged_count(in_mixed_buckets(members.select("key", "id")).select("id", "component").distinct(), "rest")
-    if n:
-        # What is left: every link among documents of buckets that still hold several components.
-        rest_texts = texts.join(members.select("id").distinct(), "id", "left_semi")
-        marks = staged(prefixes(rest_texts, size, percent).join(members, "id").join(sizes, "id"), "prefixes")
-        left = marks.select(F.col("id").alias("a"), "s", F.col("component").alias("ca"), F.col("n_shingles").alias("na"))
-        right = marks.select(F.col("id").alias("b"), "s", F.col("component").alias("cb"), F.col("n_shingles").alias("nb"))
-        similar = F.expr(f"a < b AND ca != cb AND 100 * least(na, nb) >= {percent} * greatest(na, nb)")
-        third = left.join(right, "s").where(similar).select("a", "b").distinct().join(tried, ["a", "b"], "left_anti")
-        grouped = joined(verified(third, texts, size, percent))
+        return now.join(span.select("key"), "key", "left_semi")
+
+    # Buckets of more than one component: their members meet in finer buckets.
+    open_members = staged(in_mixed_buckets(held.select("key", "id")).select("id").distinct(), "open")
+    open_bands = staged(heads.join(open_members, "id", "left_semi").select("id", "bands").distinct(), "open-bands")
+    shifts = list(range(1, slots // rows // 2 + 1))
+    idle = 0
+    for turn in range(0, len(shifts), 2):
+        labelled = open_bands.join(grouped, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        fine = finer_keys(labelled, tuple(shifts[turn : turn + 2]))
+        # The hub is of the bucket's smallest component, in the next turn of its largest.
+        pick = F.min_by if turn % 4 == 0 else F.max_by
+        hubs = fine.groupBy("key").agg(
+            F.min("component").alias("c0"), F.max("component").alias("c1"),
+            pick("id", "component").alias("a"), (F.min if turn % 4 == 0 else F.max)("component").alias("hub_component"),
+        ).where("c0 != c1").select("key", "a", "hub_component")
+        pairs = fine.join(hubs, "key").where("component != hub_component").select(
+            F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")
+        ).distinct()
+        fresh = staged(near_in_size(pairs).join(tried, ["a", "b"], "left_anti"), "pairs")
+        more, n = staged_count(verified(fresh, texts, size, percent), "links")
+        tried = staged(tried.union(fresh), "tried")
+        idle = 0 if n else idle + 1
+        if n:
+            grouped = joined(more)
+        if idle == 2:
+            break
 
     placed = classes.join(grouped, classes["rep"] == grouped["id"], "left").select(
         "set_id", F.coalesce("component", "rep").alias("component_id")
