@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from . import fuzzy_lines, minhash_docs, piece_bpe, sharding, spaced_seeds, toxicity, training_order, unigram_count, url_templates
+from . import fuzzy_lines, minhash_docs, neighbour_graph, piece_bpe, sharding, spaced_seeds, toxicity, training_order, unigram_count, url_templates
 from .staging import numbered, shared_path, ship
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -163,3 +163,9 @@ def op10_fuzzy_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fuzzy_lines.dedup_lines(docs).select(
         "doc_id", "n_lines", "dropped", F.octet_length("text").cast("long").alias("kept_bytes"), F.md5("text").alias("kept_md5")
     )
+
+
+@query("op4_neighbour_graph")
+def op4_neighbour_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return neighbour_graph.nearest(vectors, F.col("id") % 20 == 0)
