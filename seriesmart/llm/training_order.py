@@ -19,7 +19,6 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import tiktoken
 from pyspark import TaskContext
@@ -30,7 +29,7 @@ from .shingles import mixed
 from .staging import staged
 
 CLOSING = "\r\n"
-CACHED_CHUNKS = 400_000
+CACHED_CHUNKS = 120_000
 ROUNDS = 6
 
 
@@ -113,9 +112,9 @@ def feistel(index: np.ndarray, count: int, key: int, inverse: bool = False) -> n
 def permuted(index: Column, count: int, key: int, inverse: bool = False) -> Column:
     """``feistel`` of a column, by Arrow batches."""
 
-    @F.pandas_udf("long")
-    def slot(x: pd.Series) -> pd.Series:
-        return pd.Series(feistel(x.to_numpy(), count, key, inverse))
+    @F.arrow_udf("long")
+    def slot(x: pa.Array) -> pa.Array:
+        return pa.array(feistel(x.to_numpy(zero_copy_only=False), count, key, inverse))
 
     return slot(index)
 
