@@ -80,7 +80,7 @@ def failure_text() -> Column:
     return F.concat(
         F.coalesce(F.col("series_name"), F.lit("None")),
         F.lit(": "),
-        F.col("status"),
+        F.coalesce(F.col("status"), F.lit("None")),
         F.lit(" ("),
         reason,
         F.lit(")"),
@@ -96,7 +96,7 @@ def error_messages(results: DataFrame, by: str = "run_id", position: str = "posi
     groups first, so a run with very many failures is not sorted in one task.
     """
     enough = MESSAGE_LIMIT // 8 + 1
-    failed = results.filter(F.col("status") != "success").select(
+    failed = results.filter(~F.col("status").eqNullSafe("success")).select(
         by,
         position,
         failure_text().alias("_text"),
@@ -114,8 +114,9 @@ def error_messages(results: DataFrame, by: str = "run_id", position: str = "posi
 
 
 def outcome(results: DataFrame, by: str | None = "run_id") -> DataFrame:
-    """Exit code per run: 0, 75 if every failure may be retried, else 1."""
-    failed = F.col("status") != "success"
+    """Exit code per run: 0, 75 if every failure may be retried, else 1. A NULL
+    status is a failure."""
+    failed = ~F.col("status").eqNullSafe("success")
     code = (
         F.when(F.count_if(failed) == 0, OUTCOME_SUCCESS)
         .when(
@@ -130,10 +131,12 @@ def outcome(results: DataFrame, by: str | None = "run_id") -> DataFrame:
 
 
 def combined_outcome(steps: DataFrame, by: str, code: str = "exit_code") -> DataFrame:
-    """The worst code of several steps: permanent, then transient, then success."""
+    """The worst code of several steps: permanent, then transient, then success. A
+    step without a code failed for good."""
+    known = F.coalesce(F.col(code), F.lit(OUTCOME_FAILURE))
     combined = (
-        F.when(F.count_if(F.col(code) != OUTCOME_SUCCESS) == 0, OUTCOME_SUCCESS)
-        .when(F.count_if(~F.col(code).isin(OUTCOME_SUCCESS, OUTCOME_RETRY)) == 0, OUTCOME_RETRY)
+        F.when(F.count_if(known != OUTCOME_SUCCESS) == 0, OUTCOME_SUCCESS)
+        .when(F.count_if(~known.isin(OUTCOME_SUCCESS, OUTCOME_RETRY)) == 0, OUTCOME_RETRY)
         .otherwise(OUTCOME_FAILURE)
         .cast("long")
         .alias(code)
@@ -152,9 +155,18 @@ def status_counts(
     statuses: Sequence[str] = ("pass", "warn", "error"),
     status: str = "status",
 ) -> DataFrame:
-    """One column per status, zero where none occurred; the list is fixed, so
-    no extra job is needed to find it."""
-    return results.groupBy(by).agg(*[F.count_if(F.col(status) == s).alias(s) for s in statuses])
+    """One row per group and status with its count: every status that occurs, NULL
+    included, and zero rows for those of ``statuses`` that do not."""
+    counted = results.groupBy(by, status).agg(F.count(F.lit(1)).alias("n"))
+    expected = F.explode(F.array(*[F.lit(s) for s in statuses])).alias("_status")
+    zeros = results.select(by).distinct().select(F.col(by).alias("_by"), expected)
+    missing = zeros.join(
+        counted.select(F.col(by).alias("_known"), F.col(status).alias("_seen")),
+        F.col("_by").eqNullSafe(F.col("_known")) & (F.col("_status") == F.col("_seen")), "left_anti",
+    )
+    return counted.unionByName(
+        missing.select(F.col("_by").alias(by), F.col("_status").alias(status), F.lit(0).cast("long").alias("n"))
+    )
 
 
 def first_seen_runs(

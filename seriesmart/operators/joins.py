@@ -1,10 +1,8 @@
 """Joins of a large row set against lookups, history and other large row sets.
 
-Lookup joins pick their strategy by size. A lookup proven to stay under
-BROADCAST_BYTES is broadcast, so the large side is not moved at all. A larger
-one is shuffle-joined with the hot keys of the large side salted: rows of a key
-that holds more than 1 / HOT_SHARE of the large side are spread over SALTS
-partitions and only that key's lookup rows are repeated.
+Lookup joins are plain equi-joins: adaptive execution broadcasts a lookup that was
+measured to be small and splits skewed keys of the large side. What it cannot do is
+spread rows whose key is NULL, as they match nothing; they get a number of their own.
 """
 
 from __future__ import annotations
@@ -13,58 +11,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-BROADCAST_BYTES = 16 * 1024 * 1024
-HOT_SHARE = 500
-SALTS = 64
-
-
-def _sizes(df: DataFrame) -> tuple[int | None, int, int] | None:
-    """(size estimate, bytes of all inputs, bytes per row) of a plan.
-
-    The estimate is None where it would be no upper bound: rows that a
-    generator adds are not counted in it. None where no JVM plan is reachable.
-    """
-    try:
-        plan = df._jdf.queryExecution().optimizedPlan()
-    except AttributeError:
-        return None
-    leaves = plan.collectLeaves()
-    inputs = sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-    generates = "Generate " in plan.toString()
-    return (
-        None if generates else int(plan.stats().sizeInBytes()),
-        inputs,
-        df._jdf.schema().defaultSize() + 8,
-    )
-
-
-def fits_broadcast(df: DataFrame, limit: int | None = None, probe: bool = False) -> bool:
-    """Whether a frame is known to be small enough to broadcast.
-
-    Catalyst's estimate decides where it is small. It multiplies the sizes of
-    joined inputs, so a small frame built by joins can look huge: with
-    ``probe``, if all inputs together are small, computing it is cheap and a
-    count bounded by a LIMIT settles it.
-    """
-    limit = BROADCAST_BYTES if limit is None else limit
-    sizes = _sizes(df)
-    if sizes is None:
-        return False
-    estimate, inputs, row = sizes
-    if estimate is not None and estimate <= limit:
-        return True
-    if not probe or inputs > limit:
-        return False
-    most = limit // row
-    return df.limit(most + 1).count() <= most
-
-
-def hot_keys(df: DataFrame, on: Sequence[str], share: int = HOT_SHARE) -> DataFrame:
-    """Keys holding more than 1/share of all rows: fewer than ``share`` of them."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.select(F.count(F.lit(1))).scalar()
-    return counts.filter(F.col("_rows") * share > total).select(*on)
-
 
 def lookup_join(
     rows: DataFrame,
@@ -72,32 +18,31 @@ def lookup_join(
     on: Sequence[str] | str,
     how: str = "left",
     condition: Column | None = None,
-    limit: int | None = None,
-    bounded: bool = False,
 ) -> DataFrame:
     """Join ``rows`` to a lookup keyed by ``on``.
 
     ``how`` is inner, left, left_semi or left_anti. ``condition`` is a residual
-    predicate over both sides' columns, on top of the equal keys. ``bounded``
-    says that the lookup's size is bounded by its nature, as a calendar's is.
+    predicate over both sides' columns, on top of the equal keys. The large side
+    is read once. For left and left_anti, rows with a NULL key are dealt out by
+    their other columns instead of meeting in one task.
     """
     on = [on] if isinstance(on, str) else list(on)
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"unsupported lookup join: {how}")
     added = [] if how in ("left_semi", "left_anti") else [c for c in lookup.columns if c not in on]
-    if bounded or fits_broadcast(lookup, limit, probe=True):
-        joined = _join(rows, F.broadcast(lookup), on, how, condition)
-        return joined.select(*rows.columns, *added)
-    hot = F.broadcast(hot_keys(rows, on).withColumn("_hot", F.lit(True)))
-    # The partition number spreads exact copies; like the row's hash it is the
-    # same when a lost task is run again.
-    mixed = F.xxhash64(*[c for c in rows.columns if c not in on], F.spark_partition_id())
-    salt = F.when(F.col("_hot"), F.pmod(mixed, F.lit(SALTS)).cast("int")).otherwise(0)
-    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
-    spread = rows.join(hot, on, "left").withColumn("_salt", salt).drop("_hot")
-    repeated = lookup.join(hot, on, "left").withColumn("_salt", F.explode(salts)).drop("_hot")
-    joined = _join(spread, repeated, [*on, "_salt"], how, condition)
-    return joined.select(*rows.columns, *added)
+    keys = on
+    left, right = rows, lookup
+    types = [{f.name: f.dataType for f in frame.schema.fields} for frame in (rows, lookup)]
+    others = [c for c in rows.columns if c not in on]
+    # Both sides hash their keys, so the optimizer cannot fold the extra key away.
+    if how in ("left", "left_anti") and others and all(types[0][c] == types[1][c] for c in on):
+        unkeyed = F.lit(False)
+        for c in on:
+            unkeyed = unkeyed | F.col(c).isNull()
+        left = rows.withColumn("_spread", F.when(unkeyed, F.xxhash64(*others)).otherwise(F.xxhash64(*on)))
+        right = lookup.withColumn("_spread", F.xxhash64(*on))
+        keys = [*on, "_spread"]
+    return _join(left, right, keys, how, condition).select(*rows.columns, *added)
 
 
 def _join(left: DataFrame, right: DataFrame, on: list[str], how: str, condition: Column | None) -> DataFrame:
@@ -118,14 +63,10 @@ def fact_with_dims(
     code: str = "series_code",
     day: str = "observation_date",
 ) -> DataFrame:
-    """Add series_key and date_key; a row without a match keeps NULL keys.
-
-    The calendar has one row per day: all dates of years 1 to 9999 are 3.7
-    million rows of twelve bytes, whatever the number of observations.
-    """
+    """Add series_key and date_key; a row without a match keeps NULL keys."""
     series = dim_series.select(code, "series_key")
     dates = dim_date.select(F.col("date_day").alias(day), "date_key")
-    return lookup_join(lookup_join(observations, series, code), dates, day, bounded=True)
+    return lookup_join(lookup_join(observations, series, code), dates, day)
 
 
 def missing_children(parents: DataFrame, children: DataFrame, key: str) -> DataFrame:

@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from ..schemas import AUDIT_COLUMNS
-from .joins import fits_broadcast, lookup_join
+from .joins import lookup_join
 from .sets import union_all
 
 INSERT, UPDATE, DELETE, KEEP = "insert", "update", "delete", "keep"
@@ -41,18 +41,14 @@ def changed(columns: Sequence[str], left: str = "_t", right: str = "_s") -> Colu
 def paired(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full outer pairing on the keys as structs ``_t`` and ``_s``.
 
-    A source small enough to broadcast leaves the target where it is: the
-    target is left-joined, and source rows without a partner are found against
-    the distinct matched keys. Otherwise one exchange per side.
+    One exchange per side on the same keys; adaptive execution splits none of a full
+    outer join's keys, but a key has one source row, and one target row in a table
+    that merges keep.
     """
     keys = list(keys)
     t = target.select(*keys, F.struct(*target.columns).alias("_t"))
     s = source.select(*keys, F.struct(*source.columns).alias("_s"))
-    if not fits_broadcast(source):
-        return t.join(s, keys, "full_outer")
-    matched = target.select(*keys).join(F.broadcast(source.select(*keys)), keys, "left_semi").distinct()
-    new = s.join(matched, keys, "left_anti").withColumn("_t", F.lit(None).cast(t.schema["_t"].dataType))
-    return t.join(F.broadcast(s), keys, "left").unionByName(new)
+    return t.join(s, keys, "full_outer")
 
 
 def merge_plan(

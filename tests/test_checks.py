@@ -422,10 +422,21 @@ def test_strict_sum(rows):
     assert collected(got) == [("a", 6), ("b", None)]
 
 
-def test_status_counts_are_zero_filled(rows):
-    got = aggregates.status_counts(rows("command string, status string", ("test", "pass"), ("test", "pass")), "command")
-    assert got.columns == ["command", "pass", "warn", "error"]
-    assert collected(got) == [("test", 2, 0, 0)]
+def test_status_counts_are_zero_filled_and_keep_other_statuses(rows):
+    got = aggregates.status_counts(
+        rows("command string, status string", ("test", "pass"), ("test", "pass"), ("test", "runtime error"), ("test", None)),
+        "command",
+    )
+    assert collected(got, "status", "n") == sorted(
+        [("pass", 2), ("warn", 0), ("error", 0), ("runtime error", 1), (None, 1)], key=repr
+    )
+
+
+def test_a_missing_code_or_status_is_a_failure(rows):
+    steps = rows("run string, exit_code long", ("a", 0), ("a", None), ("b", 0), ("b", 75))
+    assert collected(aggregates.combined_outcome(steps, "run")) == [("a", 1), ("b", 75)]
+    results = rows("run_id string, status string, retryable boolean", ("a", "success", None), ("a", None, None))
+    assert collected(aggregates.outcome(results)) == [("a", 1)]
 
 
 def test_run_life_cycle(rows):

@@ -1,6 +1,7 @@
 """Every join strategy, and the split windows, against brute force."""
 
 import random
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 import pytest
@@ -23,12 +24,20 @@ def skewed(spark):
     return data, rows, lookup
 
 
-@pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "salted"])
+@pytest.fixture(params=["broadcast", "shuffle"])
+def strategy(request, spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    if request.param == "shuffle":
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_lookup_join_strategies_agree(skewed, limit, how):
+def test_lookup_join_strategies_agree(skewed, strategy, how):
     data, rows, lookup = skewed
     known = {"hot": 10, "a": 20, "b": 30, "c": 40}
-    got = collected(joins.lookup_join(rows, lookup, "k", how, limit=limit))
+    got = collected(joins.lookup_join(rows, lookup, "k", how))
     if how == "inner":
         expected = [(k, i, v, known[k], known[k] * 10) for k, i, v in data if k in known]
     elif how == "left":
@@ -42,20 +51,38 @@ def test_lookup_join_strategies_agree(skewed, limit, how):
     assert got == sorted(expected, key=repr)
 
 
-@pytest.mark.parametrize("limit", [None, 0], ids=["broadcast", "salted"])
-def test_lookup_join_residual_condition(skewed, limit):
+def test_lookup_join_residual_condition(skewed, strategy):
     data, rows, lookup = skewed
     known = {"hot": 100, "a": 200, "b": 300, "c": 400}
-    joined = joins.lookup_join(rows, lookup, ["k"], "inner", condition=F.col("id") < F.col("top"), limit=limit)
+    joined = joins.lookup_join(rows, lookup, ["k"], "inner", condition=F.col("id") < F.col("top"))
     assert joined.columns == ["k", "id", "v", "w", "top"]
     assert collected(joined, "k", "id") == sorted(
         ((k, i) for k, i, _ in data if k in known and i < known[k]), key=repr
     )
 
 
-def test_salting_spreads_the_hot_key(skewed):
-    _, rows, _ = skewed
-    assert [r.k for r in joins.hot_keys(rows, ["k"], share=4).collect()] == ["hot"]
+def test_lookup_join_reads_the_large_side_once(skewed, tmp_path, spark):
+    _, rows, lookup = skewed
+    rows.write.parquet(str(tmp_path / "rows"))
+    plan = joins.lookup_join(spark.read.parquet(str(tmp_path / "rows")), lookup, "k")._jdf.queryExecution().optimizedPlan()
+    assert plan.toString().count("Relation") == 1
+
+
+def test_null_keys_do_not_meet_in_one_task(spark):
+    rows = spark.range(4000).select(F.expr("if(id % 10 = 0, 'a', null)").alias("k"), "id")
+    lookup = spark.createDataFrame([("a", 1)], "k string, w int")
+    threshold, coalesce = "spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = {name: spark.conf.get(name) for name in (threshold, coalesce)}
+    spark.conf.set(threshold, "-1")
+    spark.conf.set(coalesce, "false")
+    try:
+        joined = joins.lookup_join(rows, lookup, "k")
+        placed = joined.select("k", F.spark_partition_id().alias("p")).collect()
+        sizes = Counter(r.p for r in placed if r.k is None).values()
+    finally:
+        for name, value in before.items():
+            spark.conf.set(name, value)
+    assert sum(sizes) == 3600 and max(sizes) < 1800
 
 
 def test_unknown_join_type(skewed):
@@ -64,19 +91,6 @@ def test_unknown_join_type(skewed):
         joins.lookup_join(rows, lookup, "k", "full_outer")
 
 
-def test_broadcast_needs_a_proof(spark):
-    small = spark.range(10)
-    exploded = spark.range(1).select(F.explode(F.sequence(F.lit(1), F.lit(1000))).alias("id"))
-    assert joins.fits_broadcast(small)
-    # rows a generator adds are not in the estimate: only a count can tell
-    assert not joins.fits_broadcast(exploded)
-    assert joins.fits_broadcast(exploded, probe=True)
-    assert not joins.fits_broadcast(exploded, limit=100, probe=True)
-    crossed = small.join(spark.range(10).withColumnRenamed("id", "b"), F.col("id") == F.col("b"))
-    assert not joins.fits_broadcast(crossed, limit=1000)
-    assert joins.fits_broadcast(crossed, limit=1000, probe=True)
-
-
 def test_as_of_join_picks_one_version(rows):
     history = rows(
         "k string, valid_from timestamp, valid_to timestamp, x int",

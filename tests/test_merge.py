@@ -20,11 +20,13 @@ D1, D2, D3 = date(2026, 1, 1), date(2026, 1, 2), date(2026, 2, 1)
 
 
 @pytest.fixture(params=["broadcast", "shuffle"])
-def strategy(request, monkeypatch):
-    """Run a test under both pairing strategies."""
+def strategy(request, spark):
+    """Run a test with and without broadcasts."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     if request.param == "shuffle":
-        monkeypatch.setattr(merge, "fits_broadcast", lambda *_a, **_k: False)
-    return request.param
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    yield request.param
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
 
 
 @pytest.fixture

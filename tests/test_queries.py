@@ -31,7 +31,7 @@ def test_query_matches_sql(spark, duck, name):
     assert problem in (None, MAY_BE_EMPTY)
 
 
-SALTED = [
+SHUFFLED = [
     "jon_01_fact_dim_left",
     "jon_11_asof_snapshot",
     "flt_04_range_predicate",
@@ -42,12 +42,13 @@ SALTED = [
 ]
 
 
-@pytest.mark.parametrize("name", SALTED)
-def test_query_matches_sql_without_broadcasts(spark, duck, name, monkeypatch):
-    """The same answers when every lookup counts as too large to broadcast."""
-    from seriesmart.operators import joins
-
-    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
-    monkeypatch.setattr(joins, "SALTS", 3)
-    build, sql = entry_point.queries()[name], entry_point.oracle_sql()[name]
-    assert difference(spark, duck, FOLDER, build, sql) is None
+@pytest.mark.parametrize("name", SHUFFLED)
+def test_query_matches_sql_without_broadcasts(spark, duck, name):
+    """The same answers when no lookup is small enough to broadcast."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        build, sql = entry_point.queries()[name], entry_point.oracle_sql()[name]
+        assert difference(spark, duck, FOLDER, build, sql) is None
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)

@@ -437,9 +437,8 @@ def _(r):
     "dq_11_results_rollup",
     RULES_SQL
     + """
-    SELECT tag, count(*) FILTER (status = 'pass') AS "pass", count(*) FILTER (status = 'warn') AS "warn",
-      count(*) FILTER (status = 'error') AS "error"
-    FROM rule_results GROUP BY 1
+    SELECT tag, s AS status, count(*) FILTER (status = s) AS n
+    FROM rule_results CROSS JOIN (VALUES ('pass'), ('warn'), ('error')) AS listed(s) GROUP BY 1, 2
     """,
 )
 def _(r):
