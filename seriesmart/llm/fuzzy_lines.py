@@ -22,6 +22,8 @@ from .staging import components, drop_staged, staged, staged_count
 
 WIDTH = 16
 BANDS, ROWS = 8, 3
+#: Keys that are broadcast at most: about 50 bytes each in a task's hash table.
+BROADCAST_KEYS = 2_000_000
 _IDEOGRAPHS = r"⺀-鿿가-힯"
 
 
@@ -56,7 +58,7 @@ def lines_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 
 def signatures(lines: DataFrame) -> DataFrame:
-    """key and its band keys, one row per band and distinct line."""
+    """key and its band keys (array), one row per distinct line."""
     at = F.col("at")
     shingled = (
         lines.select("key", _starts(F.col("line")).alias("parts"))
@@ -66,7 +68,7 @@ def signatures(lines: DataFrame) -> DataFrame:
     minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(_constants(BANDS * ROWS))]
     signed = shingled.groupBy("key").agg(*minima)
     bands = [F.xxhash64(F.lit(b), *[F.col(f"m{b * ROWS + r}") for r in range(ROWS)]) for b in range(BANDS)]
-    return signed.select("key", F.explode(F.array(*bands)).alias("band"))
+    return signed.select("key", F.array(*bands).alias("bands"))
 
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -83,14 +85,17 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
     """id, component for every distinct line (by key) that is linked to another one."""
-    banded = staged(signatures(lines), "bands")
+    signed = staged(signatures(lines), "bands")
+    banded = signed.select("key", F.explode("bands").alias("band"))
     buckets = staged(
         banded.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high"), "buckets"
     )
     held = staged(banded.join(buckets, "band"), "members")
-    drop_staged(banded)
+    drop_staged(signed)
     at = lambda i: _shingle(F.col("parts"), i)
-    chosen = lines.join(held.select("key").distinct(), "key", "left_semi").dropDuplicates(["key"])
+    wanted, n = staged_count(held.select("key").distinct(), "wanted")
+    # Lines travel to their keys, or the keys to the lines where they are proven few enough.
+    chosen = lines.join(F.broadcast(wanted) if n <= BROADCAST_KEYS else wanted, "key", "left_semi").dropDuplicates(["key"])
     sets = staged(
         chosen.select("key", _starts(F.col("line")).alias("parts")).select(
             "key", F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("parts") - 1), lambda i: F.xxhash64(at(i)))).alias("set")
