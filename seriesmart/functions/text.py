@@ -34,22 +34,25 @@ def run_id(started_at: Column | str) -> Column:
 
 def lenient_date(value: Column | str) -> Column:
     """Date of a text or timestamp column, NULL where it cannot be read."""
-    return _col(value).try_cast("timestamp").cast("date")
+    return lenient_timestamp(value).cast("date")
 
 
 def lenient_timestamp(value: Column | str) -> Column:
-    return _col(value).try_cast("timestamp")
+    """Instant, NULL where it cannot be read. A time of day without a date, which
+    Spark reads as today, counts as unreadable."""
+    dated = _col(value).cast("string").rlike(r"^\s*[+-]?\d{4}")
+    return F.when(dated, _col(value).try_cast("timestamp"))
 
 
 def lenient_number(value: Column | str) -> Column:
     """Number in a text column, NULL where it cannot be read.
 
-    Spark also reads '1d', '1f' and 'NaN'; here they count as unreadable.
+    Spark also reads '1d', '1f', '0x1p3' and 'NaN'; here they count as unreadable.
     """
     text = _col(value).cast("string")
     end = F.lower(F.substring(F.rtrim(text, F.lit(" \t\r\n")), -3, 3))
     typed_suffix = F.substring(end, -1, 1).isin("d", "f") & (end != "inf")
-    return F.when(~typed_suffix, F.nullif(text.try_cast("double"), F.lit(float("nan"))))
+    return F.when(~typed_suffix & ~text.rlike("(?i)0x"), F.nullif(text.try_cast("double"), F.lit(float("nan"))))
 
 
 def redact_tokens(text: Column | str) -> Column:

@@ -38,7 +38,7 @@ def canonical_observations(
     """
     stamped = long.select(
         "series_name",
-        F.to_date("observation_date").alias("observation_date"),
+        lenient_date("observation_date").alias("observation_date"),
         "value",
         F.to_date(extracted_at).alias("extraction_date"),
         extracted_at.alias("extracted_at"),

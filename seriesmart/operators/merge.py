@@ -158,27 +158,28 @@ def stale_rows(
     return fact.join(live, ["series_key", day], "left_anti").select(*fact.columns)
 
 
-def recently_stale_rows(
+def differing_months(
     fact: DataFrame,
     staging: DataFrame,
     dim_series: DataFrame,
-    since: Column,
     day: str = "observation_date",
 ) -> DataFrame:
-    """Stale fact rows that can be told without comparing everything.
+    """Months (yyyy-MM) whose fact keys are not those staging calls for.
 
-    Observations retracted to NULL by a row extracted after ``since``, and rows
-    of series no longer in the dimension. Misses observations deleted one by
-    one from staging, which only stale_rows finds; costs a scan of the fact and
-    no shuffle of it while the retractions are few.
+    Keys are counted and hashed per month on either side, combined before the
+    shuffle; a month's key sets are equal where both agree.
     """
-    series = dim_series.select("series_code", "series_key")
-    nulled = staging.filter(F.col("value").isNull() & (F.col("extracted_at") > since))
-    retracted = lookup_join(nulled.select("series_code", day), series, "series_code", "inner")
-    gone = lookup_join(fact, retracted.select("series_key", day), ["series_key", day], "left_semi")
-    dropped = lookup_join(fact, series.select("series_key"), "series_key", "left_anti")
-    # Retractions are of known series, so no row is in both.
-    return gone.unionByName(dropped)
+    live = _live_keys(staging, dim_series, day)
+
+    def digest(keys: DataFrame, name: str) -> DataFrame:
+        return keys.groupBy(F.date_format(day, "yyyy-MM").alias("month")).agg(
+            F.struct(
+                F.count(F.lit(1)).alias("n"), F.expr(f"bit_xor(xxhash64(series_key, {day}))").alias("h")
+            ).alias(name)
+        )
+
+    both = digest(fact, "_fact").join(digest(live, "_live"), "month", "full_outer")
+    return both.filter(~F.col("_fact").eqNullSafe(F.col("_live"))).select("month")
 
 
 def upsert_columns(

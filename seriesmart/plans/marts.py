@@ -8,10 +8,13 @@ from ..functions.dates import date_key, day_name, is_weekend, month_name
 from ..functions.text import surrogate_key
 from ..operators.aggregates import bounds, high_water_mark
 from ..operators.joins import fact_with_dims
-from ..operators.merge import delete_stale, merge_apply, merge_plan, recently_stale_rows, stale_rows
+from ..operators.merge import delete_stale, differing_months, merge_apply, merge_plan, stale_rows
+from ..session import folder_names
 from ..sources import tables
 
 FACT_KEY = ("series_key", "observation_date")
+# Beside the month folders; readers pass over names that start with an underscore.
+MARK = "_mark"
 
 
 def dim_series(staging_series: DataFrame) -> DataFrame:
@@ -87,33 +90,43 @@ def build_fact_table(
     staging_observations: DataFrame,
     series: DataFrame,
     dates: DataFrame,
-    thorough: bool = True,
 ) -> dict[str, int]:
     """One incremental build of a stored fact; return its change counts.
 
-    Months without news or stale rows are neither rewritten nor, for the merge,
-    read. ``thorough`` compares the whole fact with staging to find stale rows,
-    as incremental_fact does; without it only recently_stale_rows go, so the
-    cost follows the news.
+    What is news is told by a mark kept beside the table's months, the latest
+    arrival of the last build that was finished. It moves after the merge and the
+    delete, so a build that was broken off at any point is made good by the next
+    one. Without a mark everything is compared. Months without news or stale rows
+    are neither rewritten nor, for the merge, read; stale rows are looked for in
+    months whose keys differ from staging's.
     """
-    fact = tables.stored(spark, path).drop(tables.MONTH)
-    # One instant, fixed before the fact changes.
-    mark = F.lit(high_water_mark(fact).head()[0])
-    recent = staging_observations.filter(F.col("extracted_at") > mark)
+    mark = _mark(spark, path)
+    latest = high_water_mark(staging_observations).head()[0]
+    recent = staging_observations
+    if mark is not None:
+        recent = staging_observations.filter(F.col("extracted_at") > F.lit(mark))
     news = fact_rows(recent, series, dates).filter(F.col("series_key").isNotNull())
     counts = tables.merge_into_path(
-        spark, path, news, FACT_KEY, audit_columns=(), update="always", cluster="series_key"
+        spark, path, news, FACT_KEY, audit_columns=(), update="changed", cluster="series_key"
     )
-    merged = tables.stored(spark, path).drop(tables.MONTH)
-    if thorough:
-        stale = stale_rows(merged, staging_observations, series)
-    else:
-        stale = recently_stale_rows(merged, staging_observations, series, mark)
+    merged = tables.stored(spark, path, news.schema)
+    months = [r[0] for r in differing_months(merged.drop(tables.MONTH), staging_observations, series).collect()]
+    touched = merged.filter(F.col(tables.MONTH).isin(months)).drop(tables.MONTH)
+    live = staging_observations.filter(F.date_format("observation_date", "yyyy-MM").isin(months))
+    stale = stale_rows(touched, live, series)
     counts["deleted"] = tables.delete_from_path(spark, path, stale, FACT_KEY, cluster="series_key")
     counts["rows_changed"] += counts["deleted"]
+    spark.createDataFrame([(latest,)], "mark timestamp").coalesce(1).write.mode("overwrite").parquet(f"{path}/{MARK}")
     return counts
 
 
+def _mark(spark: SparkSession, path: str):
+    """The mark of the last finished build; None if there is none to be read."""
+    if "_SUCCESS" not in folder_names(spark, f"{path}/{MARK}"):
+        return None
+    return spark.read.schema("mark timestamp").parquet(f"{path}/{MARK}").head()[0]
+
+
 def full_fact(staging_observations: DataFrame, series: DataFrame, dates: DataFrame) -> DataFrame:
     rows = fact_rows(staging_observations, series, dates)
     return rows.filter(F.col("series_key").isNotNull())

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -31,8 +33,9 @@ def build_session(app: str = "seriesmart", master: str | None = None, **conf: st
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Point checkpoints at the folder the cluster names.
 
-    ``spark.checkpoint.dir`` wins. Only a local master may fall back to a
-    temporary folder: on a cluster a lost executor would take it along.
+    ``spark.checkpoint.dir`` wins. Only a session whose executors are threads of this
+    process may fall back to a temporary folder, which goes when the process ends: on
+    a cluster a lost executor would take it along.
     """
     context = spark.sparkContext
     current = context.getCheckpointDir()
@@ -40,9 +43,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        if not context.master.startswith("local"):
+        if context.master != "local" and not context.master.startswith("local["):
             raise RuntimeError("Set spark.checkpoint.dir to a folder all executors share.")
         folder = tempfile.mkdtemp(prefix="seriesmart-checkpoint-")
+        atexit.register(shutil.rmtree, folder, ignore_errors=True)
     context.setCheckpointDir(folder)
     return folder
 
@@ -65,6 +69,15 @@ def staged(df: DataFrame) -> Iterator[DataFrame]:
         remove_folder(spark, path)
 
 
+def folder_names(spark: SparkSession, path: str) -> list[str]:
+    """Names of what lies directly in a folder; none if there is no such folder."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    system = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not system.exists(target):
+        return []
+    return [status.getPath().getName() for status in system.listStatus(target)]
+
+
 def remove_folder(spark: SparkSession, path: str) -> None:
     """Delete a folder of a shared file system, if it is there."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

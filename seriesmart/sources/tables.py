@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from ..operators.filters import in_window
 from ..operators.merge import KEEP, merge_apply, merge_counts, merge_plan
 from ..schemas import AUDIT_COLUMNS
-from ..session import remove_folder, staged
+from ..session import folder_names, remove_folder, staged
 
 MONTH = "observation_month"
 
@@ -97,12 +97,28 @@ def materialize(df: DataFrame, how: str, target: str) -> DataFrame:
     raise ValueError(f"unknown materialization: {how}")
 
 
-def stored(spark: SparkSession, path: str) -> DataFrame:
-    """A month-partitioned table; the partition column is text."""
+def stored(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """A month-partitioned table; the partition column is text.
+
+    With a ``schema`` (without the month) a table that is missing or has no month
+    left reads as empty.
+    """
+    if schema is not None and not any(n.startswith(f"{MONTH}=") for n in folder_names(spark, path)):
+        fields = [f for f in schema.fields if f.name != MONTH]
+        return spark.createDataFrame([], T.StructType([*fields, T.StructField(MONTH, T.StringType())]))
     table = spark.read.option("basePath", path).parquet(path)
     return table.withColumn(MONTH, F.col(MONTH).cast("string"))
 
 
+def keyed(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows, failing the job at a NULL in a key column."""
+    missing = F.lit(False)
+    for key in keys:
+        missing = missing | F.col(key).isNull()
+    message = F.concat(F.lit("NULL in merge key: "), F.to_json(F.struct(*keys)))
+    return rows.filter(F.when(missing, F.raise_error(message).cast("boolean")).otherwise(True))
+
+
 def scan_window(
     spark: SparkSession, path: str, start: date, end: date, day: str = "observation_date"
 ) -> DataFrame:
@@ -147,10 +163,10 @@ def merge_into_path(
     change are rewritten, so the cost follows the batch and not the table. The
     source and the plan are each computed once. A rerun after a half-applied
     write converges: unchanged rows are kept and changed ones are set to the
-    same values. One writer at a time.
+    same values. A missing table is created; a NULL key fails. One writer at a time.
     """
-    with staged(source.withColumn(MONTH, month_of(day))) as batch:
-        touched = stored(spark, path).filter(F.col(MONTH).isin(_months(batch)))
+    with staged(keyed(source, [*keys, day]).withColumn(MONTH, month_of(day))) as batch:
+        touched = stored(spark, path, batch.schema).filter(F.col(MONTH).isin(_months(batch)))
         batch = batch.select(*touched.columns)
         planned = merge_plan(touched, batch, keys, [*audit_columns, MONTH], update)
         with staged(planned) as plan:
@@ -176,6 +192,8 @@ def delete_from_path(
     """
     with staged(doomed.select(*keys).withColumn(MONTH, month_of(day))) as gone:
         months = _months(gone)
+        if not months or not any(n.startswith(f"{MONTH}=") for n in folder_names(spark, path)):
+            return 0
         touched = stored(spark, path).filter(F.col(MONTH).isin(months))
         survivors = touched.join(gone, [*keys, MONTH], "left_anti").select(*touched.columns)
         with staged(survivors) as kept:

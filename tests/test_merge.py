@@ -310,19 +310,68 @@ def test_stored_fact_build_equals_full_refresh(spark, rows, dim, tmp_path):
     assert marts.build_fact_table(spark, path, after, dim, dates)["rows_changed"] == 0
 
 
-@pytest.mark.parametrize("thorough", [True, False])
-def test_recent_retractions_and_dropped_series_leave_the_fact(spark, rows, dim, tmp_path, thorough):
+def test_recent_retractions_and_dropped_series_leave_the_fact(spark, rows, dim, tmp_path):
     path = str(tmp_path / "fact")
     before = staged(rows, ("a", D1, 1.0, T1, "r1"), ("a", D3, 2.0, T1, "r1"), ("b", D1, 3.0, T1, "r1"))
     after = staged(rows, ("a", D1, 1.0, T1, "r1"), ("a", D3, None, T2, "r2"), ("b", D1, 3.0, T1, "r1"))
     dates = marts.dim_date(before)
     tables.write_observations(marts.full_fact(before, dim, dates), path, cluster="series_key")
     kept = dim.filter("series_code = 'a'")
-    counts = marts.build_fact_table(spark, path, after, kept, dates, thorough=thorough)
+    counts = marts.build_fact_table(spark, path, after, kept, dates)
     assert counts == {"inserted": 0, "updated": 0, "deleted": 2, "rows_changed": 2}
     assert collected(tables.stored(spark, path), "series_key", "observation_date") == [("ka", D1)]
 
 
+def broken_off(monkeypatch, name, when):
+    """Let a function of ``tables`` fail as soon as ``when`` holds for its calls."""
+    real, calls = getattr(tables, name), []
+
+    def stop(*args, **options):
+        calls.append(args)
+        if when(calls):
+            raise RuntimeError("broken off")
+        return real(*args, **options)
+
+    monkeypatch.setattr(tables, name, stop)
+
+
+@pytest.mark.parametrize("at", ["half the months", "before the delete"])
+def test_a_broken_build_is_made_good(spark, rows, dim, tmp_path, monkeypatch, at):
+    path = str(tmp_path / "fact")
+    before = staged(rows, ("a", D1, 1.0, T1, "r1"), ("a", D3, 2.0, T1, "r1"), ("b", D1, 3.0, T1, "r1"))
+    marts.build_fact_table(spark, path, before, dim, marts.dim_date(before))
+    after = staged(rows, ("a", D1, 1.5, T2, "r2"), ("a", D3, None, T2, "r2"), ("b", D1, 3.0, T1, "r1"), ("b", D3, 4.0, T2, "r2"))
+    dates = marts.dim_date(after)
+    if at == "half the months":
+        # Only February's rows of the batch get into the table.
+        part = marts.fact_rows(after, dim, dates).filter(F.col("observation_date") == F.lit(D3))
+        tables.merge_into_path(spark, path, part, marts.FACT_KEY, (), "changed", cluster="series_key")
+    else:
+        with monkeypatch.context() as patched:
+            broken_off(patched, "delete_from_path", lambda calls: True)
+            with pytest.raises(RuntimeError):
+                marts.build_fact_table(spark, path, after, dim, dates)
+    marts.build_fact_table(spark, path, after, dim, dates)
+    assert collected(tables.stored(spark, path).drop(tables.MONTH)) == collected(marts.full_fact(after, dim, dates))
+    assert marts.build_fact_table(spark, path, after, dim, dates)["rows_changed"] == 0
+
+
+def test_first_merge_creates_the_table_and_an_emptied_one_is_filled(spark, rows, tmp_path):
+    path = str(tmp_path / "new")
+    news = rows(SCHEMA, ("a", D1, 1.0, "r1"), ("a", D3, 3.0, "r1"))
+    assert tables.merge_into_path(spark, path, news, KEYS)["inserted"] == 2
+    assert tables.delete_from_path(spark, path, news.select(*KEYS), KEYS) == 2
+    assert tables.delete_from_path(spark, path, news.select(*KEYS), KEYS) == 0
+    assert tables.merge_into_path(spark, path, news, KEYS)["inserted"] == 2
+    assert collected(tables.stored(spark, path), "observation_date") == [(D1,), (D3,)]
+
+
+@pytest.mark.parametrize("row", [("a", None, 1.0, "r"), (None, D1, 1.0, "r")])
+def test_a_null_key_fails(spark, rows, tmp_path, row):
+    with pytest.raises(Exception, match="NULL in merge key"):
+        tables.merge_into_path(spark, str(tmp_path / "t"), rows(SCHEMA, row), KEYS)
+
+
 def test_ingestion_into_a_stored_table(spark, rows, tmp_path):
     path, checks = str(tmp_path / "observations"), str(tmp_path / "checks")
     config = rows(
