@@ -170,7 +170,8 @@ CHANGE_SQL = """
         lag(observation_date) OVER w AS previous_date, lag(value) OVER w AS previous_value
       FROM obs WHERE value IS NOT NULL WINDOW w AS (PARTITION BY series_code ORDER BY observation_date))
     SELECT series_code, previous_date, previous_value, observation_date, value,
-      CASE WHEN previous_value <> 0 THEN (value - previous_value) / previous_value END AS change
+      CASE WHEN previous_value <> 0 THEN (value - previous_value) / previous_value END AS change,
+      round(CASE WHEN previous_value <> 0 THEN (value - previous_value) / previous_value END * 100, 2) AS change_pct
     FROM lagged
 """
 
@@ -178,22 +179,28 @@ CHANGE_SQL = """
 @query("win_01_pct_change", CHANGE_SQL)
 def _(r):
     return windows.percent_change(r.obs).select(
-        "series_code", "previous_date", "previous_value", "observation_date", "value", "change"
+        "series_code", "previous_date", "previous_value", "observation_date", "value", "change", "change_pct"
     )
 
 
+# A hole is wide if the period of a date lies further than allowed behind the latest earlier one.
 GAPS_SQL = """
-    dated AS (
-      SELECT o.series_code, s.frequency, o.observation_date,
-        lag(o.observation_date) OVER (PARTITION BY o.series_code ORDER BY o.observation_date) AS previous_date
-      FROM obs o JOIN series s USING (series_code) WHERE o.value IS NOT NULL)
+    allowances(frequency, allowed) AS (VALUES ('daily', 7), ('monthly', 1), ('quarterly', 1), ('annual', 1)),
+    placed AS (
+      SELECT series_code, frequency, allowed, observation_date,
+        CASE frequency WHEN 'daily' THEN observation_date - DATE '1970-01-01'
+          WHEN 'monthly' THEN 12 * year(observation_date) + month(observation_date)
+          WHEN 'quarterly' THEN 4 * year(observation_date) + quarter(observation_date)
+          ELSE year(observation_date) END AS period
+      FROM obs JOIN series USING (series_code) JOIN allowances USING (frequency) WHERE value IS NOT NULL),
+    reached AS (
+      SELECT *, max(period) OVER earlier AS last_period, max(observation_date) OVER earlier AS previous_date
+      FROM placed
+      WINDOW earlier AS (PARTITION BY series_code ORDER BY period, observation_date
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
     SELECT series_code, frequency, previous_date, observation_date,
-      date_diff('day', previous_date, observation_date) AS gap_days
-    FROM dated
-    WHERE CASE frequency WHEN 'daily' THEN date_diff('day', previous_date, observation_date) > 7
-      WHEN 'monthly' THEN date_diff('month', previous_date, observation_date) > 1
-      WHEN 'quarterly' THEN date_diff('quarter', previous_date, observation_date) > 1
-      WHEN 'annual' THEN date_diff('year', previous_date, observation_date) > 1 END
+      CAST(observation_date - previous_date AS BIGINT) AS gap_days
+    FROM reached WHERE period > last_period + allowed
 """
 
 
@@ -207,14 +214,19 @@ def _(r):
     return gaps_of(r)
 
 
+# Each version beside the one numbered after it; one query for each kind of issue.
 OVERLAP_SQL = """
-    led AS (
-      SELECT *, lead(valid_from) OVER (PARTITION BY series_code ORDER BY valid_from) AS next_valid_from FROM versions)
-    SELECT series_code, valid_from, valid_to, next_valid_from,
-      CASE WHEN valid_to <= valid_from THEN 'ends before it starts'
-        WHEN valid_to IS NULL THEN 'superseded version still current' ELSE 'overlaps next version' END AS issue
-    FROM led
-    WHERE valid_to <= valid_from OR (next_valid_from IS NOT NULL AND valid_to IS NULL) OR valid_to > next_valid_from
+    numbered AS (SELECT *, row_number() OVER (PARTITION BY series_code ORDER BY valid_from) AS n FROM versions),
+    beside AS (
+      SELECT v.series_code, v.valid_from, v.valid_to, f.valid_from AS next_valid_from
+      FROM numbered v LEFT JOIN numbered f ON f.series_code = v.series_code AND f.n = v.n + 1),
+    backwards AS (SELECT * FROM beside WHERE valid_to <= valid_from),
+    forwards AS (SELECT * FROM beside WHERE valid_to IS NULL OR valid_to > valid_from)
+    SELECT *, 'ends before it starts' AS issue FROM backwards
+    UNION ALL
+    SELECT *, 'superseded version still current' FROM forwards WHERE valid_to IS NULL AND next_valid_from IS NOT NULL
+    UNION ALL
+    SELECT *, 'overlaps next version' FROM forwards WHERE next_valid_from < valid_to
 """
 
 
@@ -223,18 +235,24 @@ def _(r):
     return windows.version_overlaps(r.versions)
 
 
-# Days with an order at all, so the calendar may have holes.
+# Days with an order; those at every so many days are moved on, so the calendar has holes.
 SEQUENTIAL_SQL = """
-    days AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS date_day FROM orders WHERE o_orderpriority = '1-URGENT'),
+    ordered AS (SELECT DISTINCT CAST(o_orderdate AS DATE) AS d FROM orders),
+    days AS (SELECT DISTINCT d + CASE WHEN (d - DATE '1970-01-01') % {every} = 0 THEN 1 ELSE 0 END AS date_day FROM ordered),
     lagged AS (SELECT date_day, lag(date_day) OVER (ORDER BY date_day) AS previous_day FROM days)
     SELECT date_day, previous_day FROM lagged WHERE date_day <> previous_day + 1
 """
 
 
-@query("win_04_sequential_values", SEQUENTIAL_SQL)
+def holed_days(r, every):
+    day = F.to_date("o_orderdate")
+    moved = F.when(F.unix_date(day) % every == 0, F.date_add(day, 1)).otherwise(day)
+    return r.table("orders").select(moved.alias("date_day")).distinct()
+
+
+@query("win_04_sequential_values", SEQUENTIAL_SQL.format(every=13))
 def _(r):
-    urgent = r.table("orders").filter("o_orderpriority = '1-URGENT'")
-    return windows.not_sequential(urgent.select(F.to_date("o_orderdate").alias("date_day")).distinct())
+    return windows.not_sequential(holed_days(r, 13))
 
 
 @query(

@@ -12,7 +12,7 @@ from seriesmart.operators.merge import merge_counts
 from seriesmart.plans import ingest
 from seriesmart.schemas import RUN_STATUSES
 
-from .aggregates import CHANGE_SQL, GAPS_SQL, HISTORY_SQL, OVERLAP_SQL, SEQUENTIAL_SQL, gaps_of, run_history
+from .aggregates import CHANGE_SQL, GAPS_SQL, HISTORY_SQL, OVERLAP_SQL, SEQUENTIAL_SQL, gaps_of, holed_days, run_history
 from .joins import COVERAGE_SQL, UNMONITORED_SQL, keyed, reconcile_sql
 from .rows import RANGE_SQL
 from .sql import query
@@ -316,10 +316,9 @@ def _(r):
     )
 
 
-@query("dq_09_sequential_values", SEQUENTIAL_SQL.replace("1-URGENT", "5-LOW"))
+@query("dq_09_sequential_values", SEQUENTIAL_SQL.format(every=17))
 def _(r):
-    low = r.table("orders").filter("o_orderpriority = '5-LOW'")
-    return windows.not_sequential(low.select(F.to_date("o_orderdate").alias("date_day")).distinct())
+    return windows.not_sequential(holed_days(r, 17))
 
 
 def rule_set(r) -> quality.RuleSet:
@@ -353,17 +352,15 @@ def rule_set(r) -> quality.RuleSet:
     return rules
 
 
+# How far a series may lie behind the start of the current period.
 STALE_SQL = """
-    latest AS (
-      SELECT series_code, series_name, frequency, max(observation_date) AS latest_observation_date
-      FROM obs JOIN series USING (series_code) WHERE value IS NOT NULL GROUP BY 1, 2, 3),
-    thresholds AS (
-      SELECT *, CASE frequency WHEN 'daily' THEN DATE '{today}' - 7
-        WHEN 'monthly' THEN CAST(date_trunc('month', DATE '{today}') - INTERVAL 3 MONTH AS DATE)
-        WHEN 'quarterly' THEN CAST(date_trunc('quarter', DATE '{today}') - INTERVAL 6 MONTH AS DATE)
-        WHEN 'annual' THEN CAST(date_trunc('year', DATE '{today}') - INTERVAL 2 YEAR AS DATE) END AS stale_before
-      FROM latest),
-    stale AS (SELECT * FROM thresholds WHERE latest_observation_date < stale_before)
+    slack(frequency, unit, back) AS (VALUES ('daily', 'day', INTERVAL 7 DAY), ('monthly', 'month', INTERVAL 3 MONTH),
+      ('quarterly', 'quarter', INTERVAL 6 MONTH), ('annual', 'year', INTERVAL 24 MONTH)),
+    limits_ AS (SELECT frequency, CAST(date_trunc(unit, DATE '{today}') - back AS DATE) AS stale_before FROM slack),
+    stale AS (
+      SELECT series_code, series_name, frequency, max(observation_date) AS latest_observation_date, stale_before
+      FROM series JOIN limits_ USING (frequency) JOIN obs USING (series_code) WHERE value IS NOT NULL
+      GROUP BY ALL HAVING latest_observation_date < stale_before)
 """
 
 INVARIANTS_SQL = """
@@ -490,26 +487,32 @@ def _(r):
 @query("dq_17_pct_change_limit", f"changes AS (WITH {CHANGE_SQL.strip()}) SELECT * FROM changes WHERE abs(change) > 0.10")
 def _(r):
     return windows.change_over_limit(r.obs, 0.10).select(
-        "series_code", "previous_date", "previous_value", "observation_date", "value", "change"
+        "series_code", "previous_date", "previous_value", "observation_date", "value", "change", "change_pct"
     )
 
 
-@query(
-    "dq_18_no_future_dates",
-    """
-    dated AS (
-      SELECT series_code, frequency, observation_date, value, o.extracted_at,
-        CAST((o.extracted_at AT TIME ZONE 'UTC') AT TIME ZONE 'America/Santiago' AS DATE) AS extracted_date
-      FROM obs o JOIN series USING (series_code))
-    SELECT series_code, frequency, observation_date, value, extracted_at,
-      CASE WHEN extracted_at > TIMESTAMP '2001-10-01 00:00:00' THEN 'extracted_at in the future'
-        ELSE 'observation_date after it could be published' END AS issue
-    FROM dated
-    WHERE extracted_at > TIMESTAMP '2001-10-01 00:00:00' OR CASE frequency
-      WHEN 'daily' THEN observation_date > extracted_date + 4
-      WHEN 'monthly' THEN observation_date >= date_trunc('month', extracted_date) ELSE observation_date > extracted_date END
-    """,
-)
+# One query for each way to be too early, and one for a clock ahead of the check.
+FUTURE_SQL = """
+    local AS (
+      SELECT o.series_code, s.frequency, o.observation_date, o.value, o.extracted_at,
+        CAST(timezone('America/Santiago', timezone('UTC', o.extracted_at)) AS DATE) AS taken_on
+      FROM obs o JOIN series s ON s.series_code = o.series_code),
+    ahead AS (
+      SELECT * FROM local WHERE frequency = 'daily' AND observation_date - taken_on > 4
+      UNION ALL
+      SELECT * FROM local WHERE frequency = 'monthly'
+        AND strftime(observation_date, '%Y-%m') >= strftime(taken_on, '%Y-%m')
+      UNION ALL
+      SELECT * FROM local WHERE frequency IN ('quarterly', 'annual') AND observation_date > taken_on)
+    SELECT * EXCLUDE (taken_on), 'extracted_at in the future' AS issue FROM local
+    WHERE extracted_at > TIMESTAMP '2001-10-01 00:00:00'
+    UNION ALL
+    SELECT * EXCLUDE (taken_on), 'observation_date after it could be published' FROM ahead
+    WHERE extracted_at <= TIMESTAMP '2001-10-01 00:00:00'
+"""
+
+
+@query("dq_18_no_future_dates", FUTURE_SQL)
 def _(r):
     return quality.future_dates(r.obs, r.series, F.lit("2001-10-01 00:00:00").cast("timestamp"))
 

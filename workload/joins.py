@@ -63,19 +63,24 @@ def _(r):
 
 
 def reconcile_sql(expected: str, actual: str) -> str:
+    """Both sides as marked rows, grouped by key; a group that is not whole and equal is an issue."""
     return f"""
-    expected AS (SELECT s.series_key, o.observation_date, o.value, o.ingestion_run_id
-      FROM {expected} o JOIN dim_series s USING (series_code) WHERE o.value IS NOT NULL),
-    actual AS ({actual})
-    SELECT coalesce(e.series_key, a.series_key) AS series_key,
-      coalesce(e.observation_date, a.observation_date) AS observation_date,
-      e.value AS expected_value, a.value AS actual_value,
-      e.ingestion_run_id AS expected_lineage, a.ingestion_run_id AS actual_lineage,
-      CASE WHEN a.series_key IS NULL THEN 'missing from fact' WHEN e.series_key IS NULL THEN 'not in staging'
-        WHEN e.value <> a.value THEN 'value differs' ELSE 'ingestion run differs' END AS issue
-    FROM expected e FULL JOIN actual a ON e.series_key = a.series_key AND e.observation_date = a.observation_date
-    WHERE e.series_key IS NULL OR a.series_key IS NULL OR e.value <> a.value
-      OR e.ingestion_run_id IS DISTINCT FROM a.ingestion_run_id
+    sides AS (
+      SELECT md5(series_code) AS series_key, observation_date, value, ingestion_run_id, true AS called_for
+      FROM {expected} WHERE value IS NOT NULL AND series_code IN (SELECT series_code FROM dim_series)
+      UNION ALL SELECT series_key, observation_date, value, ingestion_run_id, false FROM ({actual})),
+    grouped_sides AS (
+      SELECT series_key, observation_date, count(*) FILTER (called_for) AS e, count(*) FILTER (NOT called_for) AS a,
+        any_value(value) FILTER (called_for) AS expected_value, any_value(value) FILTER (NOT called_for) AS actual_value,
+        any_value(ingestion_run_id) FILTER (called_for) AS expected_lineage,
+        any_value(ingestion_run_id) FILTER (NOT called_for) AS actual_lineage
+      FROM sides GROUP BY ALL),
+    judged_sides AS (
+      SELECT * EXCLUDE (e, a), CASE e - a WHEN 1 THEN 'missing from fact' WHEN -1 THEN 'not in staging'
+        ELSE if(expected_value = actual_value, if(expected_lineage IS NOT DISTINCT FROM actual_lineage, NULL,
+          'ingestion run differs'), 'value differs') END AS issue
+      FROM grouped_sides)
+    SELECT * FROM judged_sides WHERE issue IS NOT NULL
     """
 
 
