@@ -94,11 +94,21 @@ def _rendezvous_sql(shards: int) -> str:
 @query(
     "op3_rendezvous_shards",
     f"""
-WITH sharded AS (
-  SELECT doc_id, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size, 'key' AS law,
+WITH crc_table AS (
+  SELECT list(c ORDER BY n) AS t FROM (
+    SELECT n, list_reduce([n] || range(8), lambda c, i:
+      CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+    FROM range(256) AS r(n))),
+bytes AS (
+  SELECT *, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+    lambda h: CAST('0x' || h AS BIGINT)) AS b
+  FROM documents),
+sharded AS (
+  SELECT doc_id, xor(list_reduce([4294967295] || b, lambda c, x: xor(c >> 8, t[(xor(c, x) & 255) + 1])), 4294967295)
+      AS text_crc32, CAST(coalesce(octet_length(encode(text)), 0) + 1 AS BIGINT) AS size, 'key' AS law,
     {_rendezvous_sql(8)} AS shard, {_rendezvous_sql(9)} AS grown_shard
-  FROM documents)
-SELECT doc_id, size, law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
+  FROM bytes, crc_table)
+SELECT doc_id, size, text_crc32, law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id) - 1 AS slot, grown_shard
 FROM sharded""",
 )
 def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
