@@ -23,39 +23,58 @@ from pyspark.sql import DataFrame, types as T
 from .staging import fresh_name
 
 SPACE = "▁"
-CACHED_CHUNKS = 200_000
-CACHED_PAIRS = 1_000_000
+CACHED_CHUNKS = 100_000
+CACHED_PAIRS = 300_000
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
-class PieceBpe:
-    """Encoder and decoder over the pieces and scores of a SentencePiece BPE file."""
+class Decoder:
+    """Texts of ids, from the pieces of a SentencePiece file."""
 
-    def __init__(self, model_path: str):
-        file = sentencepiece.SentencePieceProcessor(model_file=model_path)
+    def __init__(self, file: sentencepiece.SentencePieceProcessor):
         size = file.vocab_size()
-        self.eos = file.eos_id()
         self.unknown = file.unk_id()
-        self.ids: dict[str, int] = {}
-        self.score: dict[str, float] = {}
-        self.bytes_to_id: dict[int, int] = {}
-        self.raw: list[bytes] = []
         self.is_byte = [file.is_byte(i) for i in range(size)]
         self.control = {i for i in range(size) if file.is_control(i)}
+        self.raw: list[bytes] = []
         for i in range(size):
             piece = file.id_to_piece(i)
-            if file.is_byte(i):
-                self.bytes_to_id[int(piece[3:5], 16)] = i
+            if self.is_byte[i]:
                 self.raw.append(bytes([int(piece[3:5], 16)]))
             elif i in self.control:
                 self.raw.append(b"")
             elif file.is_unknown(i):
                 self.raw.append(" ⁇ ".encode())
             else:
+                self.raw.append(piece.replace(SPACE, " ").encode())
+
+    def decode(self, ids: list[int]) -> str:
+        """Text of ids: control ids vanish, one leading space goes, bad bytes become U+FFFD each."""
+        joined = b"".join(map(self.raw.__getitem__, ids))
+        first = next((i for i in ids if i not in self.control), None)
+        if first is not None and not self.is_byte[first] and first != self.unknown and joined[:1] == b" ":
+            joined = joined[1:]
+        return joined.decode("utf-8", "each_byte")
+
+
+class PieceBpe(Decoder):
+    """Encoder and decoder over the pieces and scores of a SentencePiece BPE file."""
+
+    def __init__(self, model_path: str):
+        file = sentencepiece.SentencePieceProcessor(model_file=model_path)
+        super().__init__(file)
+        self.eos = file.eos_id()
+        self.ids: dict[str, int] = {}
+        self.score: dict[str, float] = {}
+        self.bytes_to_id: dict[int, int] = {}
+        for i in range(file.vocab_size()):
+            piece = file.id_to_piece(i)
+            if self.is_byte[i]:
+                self.bytes_to_id[self.raw[i][0]] = i
+            elif i not in self.control and i != self.unknown:
                 self.ids[piece] = i
                 self.score[piece] = file.get_score(i)
-                self.raw.append(piece.replace(SPACE, " ").encode())
         counted: dict[float, int] = {}
         for piece, value in self.score.items():
             if len(piece) > 1:
@@ -196,14 +215,6 @@ class PieceBpe:
             out.append(self.eos)
         return out
 
-    def decode(self, ids: list[int]) -> str:
-        """Text of ids: control ids vanish, one leading space goes, bad bytes become U+FFFD each."""
-        joined = b"".join(map(self.raw.__getitem__, ids))
-        first = next((i for i in ids if i not in self.control), None)
-        if first is not None and not self.is_byte[first] and first != self.unknown and joined[:1] == b" ":
-            joined = joined[1:]
-        return joined.decode("utf-8", "each_byte")
-
 
 class _Chunks(dict):
     """Ids by word: the latest words, and those that were the latest before."""
@@ -213,6 +224,10 @@ class _Chunks(dict):
         self.coder = coder
         self.before: dict[str, tuple[int, ...]] = {}
 
+    def forget(self) -> None:
+        self.clear()
+        self.before = {}
+
     def __missing__(self, word: str) -> tuple[int, ...]:
         if len(self) >= CACHED_CHUNKS:
             self.before = dict(self)
@@ -242,6 +257,12 @@ def coder(model_path: str) -> PieceBpe:
     return PieceBpe(model_path)
 
 
+@lru_cache(maxsize=2)
+def decoder(model_path: str) -> Decoder:
+    """One decoder a Python worker."""
+    return Decoder(sentencepiece.SentencePieceProcessor(model_file=model_path))
+
+
 def encode(
     docs: DataFrame, model_path: str, text: str = "text", tokens: str = "tokens", eos: bool = True
 ) -> DataFrame:
@@ -261,6 +282,7 @@ def encode(
             for batch in parts(whole, text):
                 ids = pa.array((model.encode(x, eos) for x in batch[text].to_pylist()), kind)
                 yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
+        model.chunks.forget()  # the worker lives on and may do other work
 
     return docs.mapInArrow(run, schema)
 
@@ -271,7 +293,7 @@ def decode(df: DataFrame, model_path: str, tokens: str = "tokens", text: str = "
     schema = T.StructType([*df.schema.fields, T.StructField(name, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = coder(model_path)
+        model = decoder(model_path)
         for whole in batches:
             for batch in parts(whole, tokens):
                 out = pa.array((model.decode(x) for x in _lists(batch[tokens])), pa.string())

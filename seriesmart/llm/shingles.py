@@ -7,7 +7,7 @@ from itertools import chain
 import numpy as np
 import xxhash
 
-CACHED_WORDS = 500_000
+CACHED_WORDS = 100_000
 _MULTIPLIERS = np.array(
     [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F],
     dtype=np.uint64,

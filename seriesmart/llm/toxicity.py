@@ -29,8 +29,8 @@ from .staging import staged
 
 _WORD = re.compile(r"[^\W_]+")
 BLOCK = 64
-CACHED_QUERIES = 50_000
-CACHED_WORDS = 300_000
+CACHED_QUERIES = 20_000
+CACHED_WORDS = 100_000
 # Lengths of word beginnings that are terms of their own.
 STEMS = (4, 6)
 

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, types as T
 from .piece_bpe import SPACE, parts
 from .staging import fresh_name
 
-CACHED_CHUNKS = 500_000
+CACHED_CHUNKS = 250_000
 # Fixed value: what an unknown character costs below the lowest score.
 UNKNOWN_PENALTY = 10.0
 
