@@ -139,3 +139,8 @@ def test_each_landed_file_is_merged_once(spark, rows, tmp_path):
         (date(2026, 1, 1), 1.0, "r0"),
         (date(2026, 1, 2), 2.5, "r1"),
     ]
+    # Two extractions of one day in one batch: the later window counts.
+    landed.write_landed(rows(LANDED, ("a", D, "w3", date(2026, 1, 2), 3.0)), landing)
+    landed.write_landed(rows(LANDED, ("a", D, "w4", date(2026, 1, 2), 4.0)), landing)
+    assert drain() == [1]
+    assert collected(spark.read.parquet(table), "observation_date", "value")[1] == (date(2026, 1, 2), 4.0)

@@ -369,10 +369,19 @@ def _(r):
     return r.table("events").select("event_id", text.timestamp_run_id(F.col("ts").cast("timestamp")).alias("run_id"))
 
 
-@query("scl_16_run_id")
+@query(
+    "scl_16_run_id",
+    "SELECT strftime(ts, '%Y%m%dT%H%M%S') AS second, count(*) AS n, count(*) AS n_different, true AS well_formed "
+    "FROM events GROUP BY 1",
+)
 def _(r):
-    """Random by design: no SQL can give the same ids."""
-    return r.table("events").select("event_id", text.run_id(F.col("ts").cast("timestamp")).alias("run_id"))
+    """The random part cannot be checked by value: its form and that ids differ can."""
+    ids = r.table("events").select(text.run_id(F.col("ts").cast("timestamp")).alias("run_id"))
+    return ids.groupBy(F.substring("run_id", 1, 15).alias("second")).agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_distinct("run_id").alias("n_different"),
+        F.bool_and(F.col("run_id").rlike("^[0-9]{8}T[0-9]{12}Z-[0-9a-f]{8}$")).alias("well_formed"),
+    )
 
 
 @query(
