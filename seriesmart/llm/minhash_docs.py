@@ -61,7 +61,7 @@ def superminhash(sets: list[np.ndarray], slots: int = 128) -> np.ndarray:
         kept = going[owner]
         if order is None:
             pick = pick[kept]
-            order = np.tile(np.arange(slots, dtype=np.uint16), (len(pick), 1))
+            order = np.tile(np.arange(slots, dtype=np.uint8 if slots <= 256 else np.uint16), (len(pick), 1))
             rows = np.arange(len(pick))
             order[rows, pick], order[:, 0] = 0, pick
         elif not kept.all():
@@ -92,7 +92,7 @@ def signatures(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in parts(whole, "text"):
+            for batch in parts(whole, "text", 2 << 20):
                 sets = shingle_sets(batch["text"].to_pylist(), size)
                 full = [s for s in sets if len(s)]
                 keys = iter(band_keys(superminhash(full, slots), rows)) if full else iter(())
