@@ -11,6 +11,8 @@
    twice as many slots, so a hub is likely linked to all that are linked at all. Turns
    over different pairs of bands go on until two in a row find no new link. Every turn
    compares a member with one hub a bucket, so work stays in proportion to the members.
+5. Documents of buckets that hold several components even then go through an exact
+   prefix join, which finds every link that is left between two components.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, functions as F
 
 from .piece_bpe import parts
+from .prefix_join import candidates
 from .shingles import mixed, shingle_sets
 from .staging import components, drop_staged, staged, staged_count
 
@@ -150,6 +153,23 @@ def finer_keys(banded: DataFrame, shifts: tuple[int, ...]) -> DataFrame:
     return banded.select("id", "component", F.explode(F.array_distinct(F.flatten(F.array(*pairs)))).alias("key"))
 
 
+def shingle_rows(texts: DataFrame, size: int) -> DataFrame:
+    """(id, s): one row for each distinct shingle of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in parts(whole, "text"):
+                sets = shingle_sets(batch["text"].to_pylist(), size)
+                ids = np.repeat(np.array(batch["id"].to_pylist(), np.int64), [len(s) for s in sets])
+                flat = np.concatenate([*sets, np.empty(0, np.uint64)]).view(np.int64)
+                for start in range(0, len(ids), 1 << 18):
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[start : start + (1 << 18)]), pa.array(flat[start : start + (1 << 18)])], ["id", "s"]
+                    )
+
+    return texts.select("id", "text").mapInArrow(run, "id long, s long").distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -239,6 +259,15 @@ def near_duplicates(
         if idle == 2:
             break
 
+    # What is left: every link between components among documents of mixed buckets.
+    rest, n = staged_count(in_mixed_buckets(held.select("key", "id")).select("id", "component").distinct(), "rest")
+    if n:
+        rest_texts = texts.join(rest.select("id"), "id", "left_semi")
+        last = candidates(shingle_rows(rest_texts, size), rest, percent).join(tried, ["a", "b"], "left_anti")
+        more, n = staged_count(verified(staged(last, "pairs"), texts, size, percent), "links")
+        if n:
+            grouped = joined(more)
+
     placed = classes.join(grouped, classes["rep"] == grouped["id"], "left").select(
         "set_id", F.coalesce("component", "rep").alias("component_id")
     )

@@ -239,6 +239,30 @@ def test_near_duplicates_match_brute_force(docs):
     assert all(r.kept == (r.component_id == i) for i, r in got.items())
 
 
+@pytest.mark.parametrize("seed, rate, copies", [(11, 0.019, 1500)])
+def test_links_between_documents_that_are_no_hub(docs, seed, rate, copies):
+    """A large family near the threshold, against all pairs."""
+    rng = random.Random(seed)
+    base = [f"w{rng.randrange(4000)}" for _ in range(300)]
+    rows = [" ".join(f"x{rng.random()}" if rng.random() < rate else w for w in base) for _ in range(copies)]
+    sets = [shingle_set(t) for t in rows]
+    number = {s: k for k, s in enumerate(sorted(set().union(*sets)))}
+    held = np.zeros((copies, len(number)), np.float32)
+    for i, s in enumerate(sets):
+        held[i, [number[x] for x in s]] = 1
+    common, sizes = held @ held.T, held.sum(1)
+    near = 100 * common >= 75 * (sizes[:, None] + sizes[None, :] - common)
+    expected = np.arange(copies)
+    while True:
+        lower = np.where(near, expected[None, :], copies).min(1)
+        if (lower == expected).all():
+            break
+        expected = lower
+    got = {r.doc_id: r.component_id for r in minhash_docs.near_duplicates(docs(*rows)).collect()}
+    assert [got[i] for i in range(copies)] == expected.tolist()
+    assert len(set(expected.tolist())) > 20
+
+
 def test_near_duplicates_of_odd_tables(docs):
     out = minhash_docs.near_duplicates(docs((None, "a b"), (3, "a b"), (3, "a b"), (None, "a b"))).collect()
     assert sorted((r.doc_id is None, r.component_id, r.kept) for r in out if r.doc_id) == [(False, 3, True)] * 2
