@@ -1,15 +1,14 @@
 """Line de-duplication by MinHash over character shingles, DataFrame functions only.
 
-A line's shingles are strings of up to 16 characters that start at each word and run
-over at most three words; an ideograph, and every 16th character of a longer unbroken
-run, counts as a word's start. So every character is inside a shingle, and the number
-of shingles follows the words.
-
-Equal lines meet by a 64-bit hash of their words. The signature, 24 minima in 8 bands
-of 3, is one aggregate over exploded shingles: minima of the shingle hash exclusive-or
-a constant each. Members of a band bucket are compared with the bucket's smallest
-line, later with its largest; pairs are verified by exact Jaccard similarity of their
-shingle sets, and linked lines form components, of which the first line stays.
+A line's shingles are the strings of ``WIDTH`` characters at every position of the
+lower-cased line; a shorter line is one shingle. Equal lines meet by a 64-bit hash
+of their words, and only distinct lines are cut into shingles.
+
+The signature, 24 minima in 8 bands of 3, is one aggregate over exploded shingles:
+minima of the shingle hash exclusive-or a constant each. Members of a band bucket are
+compared with the bucket's smallest line, later with its largest; pairs are verified by
+exact Jaccard similarity of their shingle sets. Linked lines form components, of
+which the first line stays.
 """
 
 from __future__ import annotations
@@ -20,11 +19,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 from .shingles import mixed
 from .staging import components, drop_staged, staged, staged_count
 
-WIDTH = 16
+WIDTH = 5
+#: Characters of a line that are cut at a time: finding a character takes time by its place.
+PIECE = 256
 BANDS, ROWS = 8, 3
-#: Keys that are broadcast at most: about 50 bytes each in a task's hash table.
-BROADCAST_KEYS = 2_000_000
-_IDEOGRAPHS = r"⺀-鿿가-힯"
 
 
 def _constants(n: int) -> list[int]:
@@ -37,14 +35,16 @@ def words(line: Column) -> Column:
     return F.split(F.lower(F.trim(line)), " ")
 
 
-def _starts(line: Column) -> Column:
-    """``words``, with ideographs and 16-character stretches of long runs apart."""
-    odd = line.rlike(rf"[^ ]{{{WIDTH + 1}}}|[{_IDEOGRAPHS}]")
-    return words(F.when(odd, F.regexp_replace(line, rf"([^ ]{{{WIDTH}}}|[{_IDEOGRAPHS}])", "$1 ")).otherwise(line))
+def _pieces(line: Column) -> Column:
+    """The lower-cased line in pieces that share ``WIDTH - 1`` characters, so that every
+    shingle lies in just one of them."""
+    cut = F.split(F.regexp_replace(F.lower(F.trim(line)), rf"(?s)(.{{{PIECE}}})(?=.)", "$1\n"), "\n")
+    joined = F.transform(cut, lambda x, i: F.concat(x, F.coalesce(F.substring(F.get(cut, i + 1), 1, WIDTH - 1), F.lit(""))))
+    return F.filter(joined, lambda x, i: (i == 0) | (F.length(x) >= WIDTH))
 
 
-def _shingle(parts: Column, at: Column) -> Column:
-    return F.substring(F.concat_ws(" ", F.get(parts, at), F.get(parts, at + 1), F.get(parts, at + 2)), 1, WIDTH)
+def _places(piece: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.length(piece) - (WIDTH - 1), F.lit(1)))
 
 
 def lines_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -59,11 +59,10 @@ def lines_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
 
 def signatures(lines: DataFrame) -> DataFrame:
     """key and its band keys (array), one row per distinct line."""
-    at = F.col("at")
     shingled = (
-        lines.select("key", _starts(F.col("line")).alias("parts"))
-        .select("key", "parts", F.explode(F.sequence(F.lit(0), F.size("parts") - 1)).alias("at"))
-        .select("key", F.hash(_shingle(F.col("parts"), at)).alias("h"))
+        lines.select("key", F.explode(_pieces(F.col("line"))).alias("piece"))
+        .select("key", "piece", F.explode(_places(F.col("piece"))).alias("at"))
+        .select("key", F.hash(F.substring(F.col("piece"), F.col("at"), F.lit(WIDTH))).alias("h"))
     )
     minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(_constants(BANDS * ROWS))]
     signed = shingled.groupBy("key").agg(*minima)
@@ -85,39 +84,46 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
     """id, component for every distinct line (by key) that is linked to another one."""
-    signed = staged(signatures(lines), "bands")
+    distinct = staged(lines.select("key", "line").dropDuplicates(["key"]), "distinct")
+    signed = staged(signatures(distinct), "bands")
     banded = signed.select("key", F.explode("bands").alias("band"))
     buckets = staged(
         banded.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high"), "buckets"
     )
     held = staged(banded.join(buckets, "band"), "members")
     drop_staged(signed)
-    at = lambda i: _shingle(F.col("parts"), i)
-    wanted, n = staged_count(held.select("key").distinct(), "wanted")
-    # Lines travel to their keys, or the keys to the lines where they are proven few enough.
-    chosen = lines.join(F.broadcast(wanted) if n <= BROADCAST_KEYS else wanted, "key", "left_semi").dropDuplicates(["key"])
+    shingle = lambda p: F.transform(_places(p), lambda i: F.xxhash64(F.substring(p, i, F.lit(WIDTH))))
     sets = staged(
-        chosen.select("key", _starts(F.col("line")).alias("parts")).select(
-            "key", F.array_distinct(F.transform(F.sequence(F.lit(0), F.size("parts") - 1), lambda i: F.xxhash64(at(i)))).alias("set")
+        distinct.join(held.select("key").distinct(), "key", "left_semi").select(
+            "key", F.array_distinct(F.flatten(F.transform(_pieces(F.col("line")), shingle))).alias("set")
         ),
         "sets",
     )
     pairs = staged(held.where("key != low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
     grouped = staged(components(verified(pairs, sets, percent)), "components")
-    # Buckets that hold several components: their members against the largest one too.
-    labelled = held.join(grouped.withColumnRenamed("id", "key"), "key", "left").withColumn(
-        "component", F.coalesce("component", "key")
-    )
-    spans = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
+
+    def mixed_buckets() -> DataFrame:
+        """Members of buckets that hold several components, with their component."""
+        labelled = held.join(grouped.withColumnRenamed("id", "key"), "key", "left").withColumn(
+            "component", F.coalesce("component", "key")
+        )
+        spans = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
+        return labelled.join(spans.select("band"), "band", "left_semi")
+
+    def joined(more: DataFrame) -> DataFrame:
+        """Components after the links among further pairs."""
+        stars = grouped.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
+        return staged(components(stars.union(verified(more, sets, percent))), "components")
+
+    # Their members against the largest line too.
     more, n = staged_count(
-        labelled.join(spans.select("band"), "band", "left_semi").where("key != high")
+        mixed_buckets().where("key != high")
         .select(F.col("high").alias("a"), F.col("key").alias("b")).distinct()
         .join(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"),
         "pairs",
     )
     if n:
-        stars = grouped.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        grouped = staged(components(stars.union(verified(more, sets, percent))), "components")
+        grouped = joined(more)
     return grouped
 
 

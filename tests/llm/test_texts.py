@@ -397,3 +397,48 @@ def test_lines_of_odd_tables(docs):
 def test_op10_on_whole_documents(spark):
     got = {r.doc_id: r.dropped for r in queries.QUERIES["op10_fuzzy_lines"](spark, FOLDER).collect()}
     assert got == brute_dropped(texts())
+
+
+def dense_dropped(rows, percent=80):
+    """dropped of each row, from the 5-character strings at every position of its lines."""
+    places = defaultdict(list)
+    for i, text in enumerate(rows):
+        for n, line in enumerate(text.split("\n")):
+            places[line.strip(" ").lower()].append((i, n))
+    lines = sorted(places)
+    sets = [{line[i : i + 5] for i in range(max(1, len(line) - 4))} for line in lines]
+    number = {s: k for k, s in enumerate(sorted(set().union(*sets)))}
+    held = np.zeros((len(lines), len(number)), np.float32)
+    for i, s in enumerate(sets):
+        held[i, [number[x] for x in s]] = 1
+    common, sizes = held @ held.T, held.sum(1)
+    near = 100 * common >= percent * (sizes[:, None] + sizes[None, :] - common)
+    label = np.arange(len(lines))
+    while True:
+        lower = np.where(near, label[None, :], len(lines)).min(1)
+        if (lower == label).all():
+            break
+        label = lower
+    grouped, out = defaultdict(list), defaultdict(list)
+    for line, c in zip(lines, label.tolist(), strict=True):
+        grouped[c] += places[line]
+    for found in grouped.values():
+        for i, n in sorted(found)[1:]:
+            out[i].append(n)
+    return {i: sorted(out[i]) for i in range(len(rows))}
+
+
+def test_lines_with_one_letter_changed(docs):
+    rng = random.Random(20)
+    word = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(3, 9)))
+    rows = []
+    for n in range(40):
+        line = " ".join(word() for _ in range(rng.randint(8, 24)))
+        at = rng.randrange(len(line))
+        rows.append(line + "\n" + line[:at] + "#" + line[at + 1 :])
+    run = "".join(rng.choice("abcdefgh0123/=") for _ in range(900))
+    rows += [run + "\n0" + run, run[:256], run[:257] + "\n" + run[:259] + "\n" + run[:260] + "\n" + run[:261]]
+    expected = dense_dropped(rows)
+    got = {r.doc_id: r.dropped for r in fuzzy_lines.dedup_lines(docs(*rows)).collect()}
+    assert got == expected
+    assert sum(map(len, expected.values())) > 30
