@@ -7,8 +7,9 @@ of their words, and only distinct lines are cut into shingles.
 The signature, 24 minima in 8 bands of 3, is one aggregate over exploded shingles:
 minima of the shingle hash exclusive-or a constant each. Members of a band bucket are
 compared with the bucket's smallest line, later with its largest; pairs are verified by
-exact Jaccard similarity of their shingle sets. Linked lines form components, of
-which the first line stays.
+exact Jaccard similarity of their shingle sets. Lines of buckets that hold several
+components even then go through an exact prefix join. Linked lines form components,
+of which the first line stays.
 """
 
 from __future__ import annotations
@@ -16,6 +17,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .prefix_join import candidates
 from .shingles import mixed
 from .staging import components, drop_staged, staged, staged_count
 
@@ -124,6 +126,15 @@ def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
     )
     if n:
         grouped = joined(more)
+    # What is left: every link between components among the lines of mixed buckets.
+    rest, n = staged_count(mixed_buckets().select(F.col("key").alias("id"), "component").distinct(), "rest")
+    if n:
+        grams = sets.join(rest.select(F.col("id").alias("key")), "key", "left_semi").select(
+            F.col("key").alias("id"), F.explode("set").alias("s")
+        )
+        last, n = staged_count(candidates(grams, rest, percent), "pairs")
+        if n:
+            grouped = joined(last)
     return grouped
 
 

@@ -442,3 +442,11 @@ def test_lines_with_one_letter_changed(docs):
     got = {r.doc_id: r.dropped for r in fuzzy_lines.dedup_lines(docs(*rows)).collect()}
     assert got == expected
     assert sum(map(len, expected.values())) > 30
+
+
+def test_links_between_lines_that_are_no_hub(docs):
+    rng = random.Random(21)
+    base = [f"word{rng.randrange(4000)}" for _ in range(40)]
+    rows = [" ".join(f"x{rng.randrange(10**7)}" if rng.random() < 0.06 else w for w in base) for _ in range(600)]
+    got = {r.doc_id: r.dropped for r in fuzzy_lines.dedup_lines(docs(*rows)).collect()}
+    assert got == dense_dropped(rows)
