@@ -404,7 +404,8 @@ def dense_dropped(rows, percent=80):
     places = defaultdict(list)
     for i, text in enumerate(rows):
         for n, line in enumerate(text.split("\n")):
-            places[line.strip(" ").lower()].append((i, n))
+            if line.strip():
+                places[line.strip(" ").lower()].append((i, n))
     lines = sorted(places)
     sets = [{line[i : i + 5] for i in range(max(1, len(line) - 4))} for line in lines]
     number = {s: k for k, s in enumerate(sorted(set().union(*sets)))}
@@ -450,3 +451,9 @@ def test_links_between_lines_that_are_no_hub(docs):
     rows = [" ".join(f"x{rng.randrange(10**7)}" if rng.random() < 0.06 else w for w in base) for _ in range(600)]
     got = {r.doc_id: r.dropped for r in fuzzy_lines.dedup_lines(docs(*rows)).collect()}
     assert got == dense_dropped(rows)
+
+
+def test_lines_of_whole_documents_against_dense_shingles(docs):
+    rows = [t or "" for _, t in sorted(texts().items())]
+    got = {r.doc_id: r.dropped for r in fuzzy_lines.dedup_lines(docs(*rows)).collect()}
+    assert got == dense_dropped(rows)
