@@ -28,9 +28,3 @@ def rows(spark):
         return spark.createDataFrame(list(data), schema)
 
     return build
-
-
-def collected(df, *columns):
-    """Rows as sorted tuples."""
-    picked = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in picked.collect()), key=repr)

@@ -5,7 +5,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import collected
+from collecting import collected
 from seriesmart.functions.text import MESSAGE_SUFFIX
 from seriesmart.operators import aggregates, audit, canonical, filters, freshness, quality, sets, validate
 from seriesmart.schemas import OBSERVATIONS, SERIES, required_columns

@@ -7,7 +7,7 @@ from datetime import date, datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import collected
+from collecting import collected
 from seriesmart.operators import joins, windows
 
 

@@ -6,7 +6,7 @@ from datetime import date, datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import collected
+from collecting import collected
 from seriesmart import session
 from seriesmart.operators import merge, scd2
 from seriesmart.plans import ingest, marts

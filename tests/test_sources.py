@@ -6,7 +6,7 @@ from datetime import date, datetime
 
 from pyspark.sql import functions as F
 
-from conftest import collected
+from collecting import collected
 from seriesmart.operators import validate
 from seriesmart.schemas import OBSERVATIONS
 from seriesmart.sources import landed, tables
