@@ -333,13 +333,8 @@ def test_op8_finds_planted_passages(spark):
 
 
 def line_set(line):
-    import re
-
-    marks = r"⺀-鿿가-힯"
-    if re.search(rf"[^ ]{{17}}|[{marks}]", line):
-        line = re.sub(rf"([^ ]{{16}}|[{marks}])", r"\1 ", line)
-    words = line.strip(" ").lower().split(" ")
-    return frozenset(" ".join(words[i : i + 3])[:16] for i in range(len(words)))
+    """The 5-character strings at every position of a line."""
+    return frozenset(line[i : i + 5] for i in range(max(1, len(line) - 4)))
 
 
 def brute_dropped(known, percent=80):
