@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, types as T
 
 from .staging import fresh_name, ship
@@ -67,7 +68,7 @@ def annotate(docs: DataFrame, text: str = "text", batch_bytes: int = BATCH_BYTES
 
 def _slices(column: pa.Array, most: int) -> Iterator[tuple[int, int]]:
     """(first, count) of stretches of rows of at most ``most`` bytes, or of one row."""
-    sizes = pa.compute.fill_null(pa.compute.binary_length(column.cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
+    sizes = pc.fill_null(pc.binary_length(column.cast(pa.binary())), 0).to_numpy(zero_copy_only=False)
     first, held = 0, 0
     for i, size in enumerate(sizes.tolist()):
         if i > first and held + size > most:
