@@ -46,15 +46,21 @@ class Template:
     def controls(self) -> tuple[str, ...]:
         return (self.head, self.body, self.tail, *self.others)
 
-    def _inside(self, between: str) -> str:
-        """A pattern of what stands right behind the first character of a control string."""
-        return "|".join(f"(?<={re.escape(c[0])}){between}(?=\\\\*{re.escape(c[1:])})" for c in self.controls)
+    def _pattern(self, between: str) -> str:
+        """First characters of control strings, with ``between`` right behind them."""
+        rests = {c[0]: "|".join(re.escape(x[1:]) for x in self.controls if x[0] == c[0]) for c in self.controls}
+        return "|".join(rf"({re.escape(first)}){between}(?=\\*(?:{rest}))" for first, rest in rests.items())
+
+    @property
+    def _firsts(self) -> str:
+        """All groups of the pattern, of which one matched."""
+        return "".join(f"${k}" for k in range(1, len({c[0] for c in self.controls}) + 1))
 
     def escape(self, text: Column) -> Column:
-        return F.regexp_replace(text, self._inside(""), r"\\")
+        return F.regexp_replace(text, self._pattern(""), self._firsts + r"\\")
 
     def unescape(self, text: Column) -> Column:
-        return F.regexp_replace(text, self._inside(r"\\"), "")
+        return F.regexp_replace(text, self._pattern(r"\\"), self._firsts)
 
     def write(self, role: Column, text: Column) -> Column:
         return F.concat(F.lit(self.head), self.escape(role), F.lit(self.body), self.escape(text), F.lit(self.tail))
