@@ -145,7 +145,7 @@ def branches(links: DataFrame) -> DataFrame:
 
 
 def conversations(
-    messages: DataFrame, score: str | None = None, best: int | None = None, template: Template = LLAMA
+    messages: DataFrame, score: str | None = None, best: int | None = None, template: Template = LLAMA, repeats: bool = True
 ) -> DataFrame:
     """One formatted conversation a branch of (tree, node, parent, role, text).
 
@@ -154,26 +154,30 @@ def conversations(
     score of a branch is the sum over its messages of the column ``score``, NULL being
     0; equal ones are ranked by leaf. ``best`` keeps that many branches a tree, None
     keeps all. NULL roles and texts are empty. Of rows with the same tree and node the
-    smallest (by parent, score, role, text) counts. Other columns are not read; an empty
-    table has no conversations. What else holds of links stands at ``branches``.
+    smallest (by parent, score, role, text) counts; ``repeats=False`` says that there are
+    none, as in ``chains``, and spares an exchange of the texts. Other columns are not
+    read; an empty table has no conversations. What else holds of links stands at
+    ``branches``.
     """
     points = F.lit(0.0) if score is None else F.coalesce(F.col(score).cast("double"), F.lit(0.0))
-    row = F.struct("parent", points.alias("score"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"))
-    unique = messages.groupBy("tree", "node").agg(F.min(row).alias("row"))
-    unique = staged(unique.select("tree", "node", "row.*"), "reply-messages")
+    row = ["parent", points.alias("score"), F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text")]
+    if repeats:
+        unique = messages.groupBy("tree", "node").agg(F.min(F.struct(*row)).alias("row")).select("tree", "node", "row.*")
+    else:
+        unique = messages.select("tree", "node", *row)
+    unique = staged(unique, "reply-messages")
     walks = branches(unique.select("tree", "node", "parent", "score"))
     scored = walks.groupBy("tree", "leaf").agg(F.sum("score").alias("score")).withColumn("less", -F.col("score"))
     ranked = numbered(scored, ["less", "leaf"], "tree", "rank", "reply-ranks").select(
-        "tree", "leaf", (F.col("rank") + 1).alias("rank"), "score"
+        F.col("tree").alias("t"), F.col("leaf").alias("l"), (F.col("rank") + 1).alias("rank"), F.col("score").alias("total")
     )
     if best is not None:
         ranked = ranked.where(F.col("rank") <= best)
-        chosen = ranked.select(F.col("tree").alias("t"), F.col("leaf").alias("l"))
-        walks = walks.join(chosen, F.col("tree").eqNullSafe(F.col("t")) & (F.col("leaf") == F.col("l")), "left_semi")
+    chosen = walks.drop("score").join(ranked, F.col("tree").eqNullSafe(F.col("t")) & (F.col("leaf") == F.col("l"))).drop("t", "l")
 
     texts = unique.select(F.col("tree").alias("t"), F.col("node").alias("n"), "role", "text")
-    turns = walks.join(texts, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))).select(
-        "tree", "leaf", (-F.col("steps")).alias("turn"), template.write(F.col("role"), F.col("text")).alias("piece"),
+    turns = chosen.join(texts, F.col("tree").eqNullSafe(F.col("t")) & (F.col("node") == F.col("n"))).select(
+        "tree", "leaf", "rank", "total", (-F.col("steps")).alias("turn"), template.write(F.col("role"), F.col("text")).alias("piece"),
         (F.col("role") == template.learnt_role).alias("learnt"),
         (F.char_length(template.escape(F.col("role"))) + len(template.head) + len(template.body)).cast("long").alias("before"),
     )
@@ -181,15 +185,12 @@ def conversations(
     start = F.col("after") - F.char_length("piece") + F.col("before")
     length = F.col("after") - len(template.tail) - start
     span = F.when(F.col("learnt"), F.struct("turn", start.alias("start"), length.alias("length")))
-    joined = turns.withColumn("after", after).groupBy("tree", "leaf").agg(
-        F.count("*").alias("n_turns"),
+    return turns.withColumn("after", after).groupBy("tree", "leaf").agg(
+        F.first("rank").alias("rank"), F.first("total").alias("score"), F.count("*").alias("n_turns"),
         F.sort_array(F.collect_list(F.struct("turn", "piece"))).alias("pieces"),
         F.sort_array(F.collect_list(span)).alias("spans"),
     ).select(
-        F.col("tree").alias("t"), F.col("leaf").alias("l"), "n_turns",
+        "tree", "leaf", "rank", "score", "n_turns",
         F.array_join(F.transform("pieces", lambda p: p["piece"]), "").alias("formatted"),
         F.transform("spans", lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length"))).alias("loss"),
     )
-    return joined.join(ranked, F.col("t").eqNullSafe(F.col("tree")) & (F.col("l") == F.col("leaf"))).select(
-        "tree", "leaf", "rank", "score", "n_turns", "formatted", "loss"
-    )
