@@ -90,24 +90,6 @@ def orphans(
     return lookup_join(children.filter(F.col(child_key).isNotNull()), known, child_key, "left_anti")
 
 
-def as_of_join(
-    rows: DataFrame,
-    history: DataFrame,
-    key: str,
-    at: str,
-    valid_from: str = "valid_from",
-    valid_to: str = "valid_to",
-    how: str = "left",
-) -> DataFrame:
-    """Attach the version of ``history`` valid at each row's ``at`` instant.
-
-    Validity is [valid_from, valid_to); NULL valid_to means still current.
-    """
-    instant = F.col(at).cast("timestamp")
-    valid = (F.col(valid_from) <= instant) & (F.col(valid_to).isNull() | (instant < F.col(valid_to)))
-    return lookup_join(rows, history, key, how, condition=valid)
-
-
 def reconcile(
     expected: DataFrame,
     actual: DataFrame,

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from collecting import collected
-from seriesmart.operators import joins, windows
+from seriesmart.operators import asof, digests, joins, scd2, windows
 
 
 @pytest.fixture(scope="module")
@@ -105,7 +105,7 @@ def test_as_of_join_picks_one_version(rows):
         ("a", datetime(2021, 1, 1)),
         ("b", datetime(2023, 1, 1)),
     )
-    got = joins.as_of_join(seen, history, "k", "at")
+    got = asof.as_of_join(seen, history, "k", "at")
     assert collected(got, "k", "x") == sorted([("a", None), ("a", 1), ("a", 2), ("b", None)], key=repr)
 
 

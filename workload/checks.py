@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from seriesmart.functions.text import not_finite, surrogate_key
-from seriesmart.operators import aggregates, audit, filters, freshness, joins, quality, sets, validate, windows
+from seriesmart.operators import aggregates, audit, digests, filters, freshness, joins, quality, sets, validate, windows
 from seriesmart.operators.merge import merge_counts
 from seriesmart.plans import ingest
 from seriesmart.schemas import RUN_STATUSES
@@ -542,6 +542,14 @@ def _(r):
     )
 
 
+@query("dq_21_digest_reconcile", reconcile_sql("retracted_obs", FACT_SQL))
+def _(r):
+    """Retractions are everywhere here, so every range differs and all rows are joined after all."""
+    return digests.reconcile(
+        keyed(r, r.retracted_obs), r.fact, ["series_key", "observation_date"], "value", "ingestion_run_id", day="observation_date"
+    )
+
+
 @query("dq_22_versions_no_overlap", OVERLAP_SQL)
 def _(r):
     return windows.version_overlaps(r.versions)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from seriesmart.operators import joins, sets
+from seriesmart.operators import asof, digests, joins, sets, windows
 from seriesmart.operators.freshness import cadence_rules
 from seriesmart.operators.validate import series_columns
 
@@ -106,6 +106,32 @@ def _(r):
     )
 
 
+def second_tree(r):
+    return keyed(r, r.second_load), keyed(r, r.first_load), ["series_key", "observation_date"]
+
+
+@query("jon_05_digest_reconcile", reconcile_sql("second_load", FIRST_FACT_SQL))
+def _(r):
+    """The same issues, of which only rows in differing months and key ranges are joined."""
+    return digests.reconcile(*second_tree(r), "value", "ingestion_run_id", day="observation_date")
+
+
+@query(
+    "jon_05_month_digests",
+    f"""
+    issues AS (WITH {reconcile_sql("second_load", FIRST_FACT_SQL)}),
+    months AS (
+      SELECT strftime(observation_date, '%Y-%m') AS month, count(*) FILTER (side = 0) AS n_expected, count(*) FILTER (side = 1) AS n_actual
+      FROM (SELECT observation_date, 0 AS side FROM second_load WHERE value IS NOT NULL AND series_code IN (SELECT series_code FROM dim_series)
+            UNION ALL SELECT observation_date, 1 FROM ({FIRST_FACT_SQL})) GROUP BY 1)
+    SELECT *, month IN (SELECT strftime(observation_date, '%Y-%m') FROM issues) AS differs FROM months
+    """,
+)
+def _(r):
+    expected, actual, keys = second_tree(r)
+    return digests.month_summary(digests.tree(expected, actual, keys, ["value", "ingestion_run_id"], "observation_date"))
+
+
 COVERAGE_SQL = """
     SELECT series_code, observation_date, value, first_observation_date
     FROM obs JOIN series USING (series_code) WHERE observation_date < first_observation_date
@@ -176,7 +202,63 @@ def _(r):
 def _(r):
     rows = r.obs.select("series_code", "observation_date", "extracted_at")
     history = history_after_second(r).select("series_code", "category", "valid_from", "valid_to")
-    return joins.as_of_join(rows, history, "series_code", "extracted_at").drop("valid_to")
+    return asof.as_of_join(rows, history, "series_code", "extracted_at").drop("valid_to")
+
+
+# Five keys with thousands of versions each; some versions end before the next one starts.
+QUOTES_SQL = """
+    days AS (SELECT o_orderpriority AS desk, o_orderdate AS valid_from, max(o_orderkey) AS quote FROM orders GROUP BY 1, 2),
+    quotes AS (
+      SELECT desk, valid_from, quote, CASE WHEN quote % 10 = 0 THEN valid_from + INTERVAL 1 HOUR
+        ELSE lead(valid_from) OVER (PARTITION BY desk ORDER BY valid_from) END AS valid_to FROM days),
+    asked AS (
+      SELECT o_orderkey AS order_id, CASE WHEN o_orderkey % 50 <> 0 THEN o_orderpriority END AS desk,
+        CASE WHEN o_orderkey % 70 <> 1 THEN o_orderdate + to_hours(CAST(o_orderkey % 960 - 480 AS INTEGER)) END AS asked_at FROM orders)
+"""
+
+
+def quotes(r):
+    days = r.table("orders").groupBy(F.col("o_orderpriority").alias("desk"), F.col("o_orderdate").cast("timestamp").alias("valid_from")).agg(
+        F.max("o_orderkey").alias("quote")
+    )
+    following = windows.shifted(days, ["desk"], "valid_from", {"valid_from": "following"}, bucket=F.trunc("valid_from", "month"), forward=True)
+    end = F.when(F.expr("quote % 10 = 0"), F.expr("valid_from + INTERVAL 1 HOUR")).otherwise(F.col("following"))
+    return following.withColumn("valid_to", end).drop("following")
+
+
+def asked(r):
+    hours = F.expr("cast(o_orderkey % 960 - 480 AS int)")
+    return r.table("orders").select(
+        F.col("o_orderkey").alias("order_id"),
+        F.expr("CASE WHEN o_orderkey % 50 <> 0 THEN o_orderpriority END").alias("desk"),
+        F.when(F.expr("o_orderkey % 70 <> 1"), F.timestamp_add("HOUR", hours, F.col("o_orderdate").cast("timestamp"))).alias("asked_at"),
+    )
+
+
+@query(
+    "jon_11_asof_many_versions",
+    QUOTES_SQL
+    + """
+    SELECT order_id, a.desk, asked_at, quote, valid_from
+    FROM asked a LEFT JOIN quotes q ON a.desk = q.desk AND valid_from <= asked_at AND (valid_to IS NULL OR asked_at < valid_to)
+    """,
+)
+def _(r):
+    return asof.as_of_join(asked(r), quotes(r), "desk", "asked_at").drop("valid_to")
+
+
+@query(
+    "jon_11_asof_inner",
+    QUOTES_SQL
+    + """
+    SELECT a.desk, year(valid_from) AS "year", count(*) AS orders, sum(quote) AS quotes
+    FROM asked a JOIN quotes q ON a.desk = q.desk AND valid_from <= asked_at AND (valid_to IS NULL OR asked_at < valid_to)
+    GROUP BY 1, 2
+    """,
+)
+def _(r):
+    held = asof.as_of_join(asked(r), quotes(r), "desk", "asked_at", how="inner", bucket="day")
+    return held.groupBy("desk", F.year("valid_from").alias("year")).agg(F.count("*").alias("orders"), F.sum("quote").alias("quotes"))
 
 
 # -- set operations ------------------------------------------------------------
@@ -241,3 +323,16 @@ def _(r):
     catalog_only = sets.except_codes(r.catalog, r.curated).withColumn("side", F.lit("catalog only"))
     curated_only = sets.except_codes(r.curated, r.catalog).withColumn("side", F.lit("curated only"))
     return sets.union_all([catalog_only, curated_only])
+
+
+@query(
+    "set_05_digest_symmetric_diff",
+    """
+    SELECT coalesce(a.series_code, b.series_code) AS series_code, CASE WHEN b.series_code IS NULL THEN 'left' ELSE 'right' END AS side
+    FROM (SELECT DISTINCT series_code FROM catalog) a FULL JOIN (SELECT DISTINCT series_code FROM curated) b
+      ON a.series_code = b.series_code
+    WHERE a.series_code IS NULL OR b.series_code IS NULL
+    """,
+)
+def _(r):
+    return digests.symmetric_difference(r.catalog, r.curated, "series_code")
