@@ -84,6 +84,19 @@ def change_over_limit(observations: DataFrame, limit: float = 0.10, **columns: s
     return percent_change(observations, **columns).filter(~F.isnan(size) & (size > limit))
 
 
+def too_wide(frequency: str, day: str, previous: str, daily_limit: int = 7) -> Column:
+    """Whether the period of ``day`` lies further behind ``previous`` than its frequency allows."""
+    return by_frequency(
+        frequency,
+        {
+            "daily": periods_between(day, previous, "day") > daily_limit,
+            "monthly": periods_between(day, previous, "month") > 1,
+            "quarterly": periods_between(day, previous, "quarter") > 1,
+            "annual": periods_between(day, previous, "year") > 1,
+        },
+    )
+
+
 def gaps(
     observations: DataFrame,
     key: str = "series_code",
@@ -94,16 +107,7 @@ def gaps(
     """Non-null observations preceded by a hole too wide for their frequency."""
     dates = observations.filter(F.col("value").isNotNull()).select(key, frequency, day)
     previous = shifted(dates, [key], day, {day: "previous_date"})
-    too_wide = by_frequency(
-        frequency,
-        {
-            "daily": periods_between(day, "previous_date", "day") > daily_limit,
-            "monthly": periods_between(day, "previous_date", "month") > 1,
-            "quarterly": periods_between(day, "previous_date", "quarter") > 1,
-            "annual": periods_between(day, "previous_date", "year") > 1,
-        },
-    )
-    return previous.filter(too_wide).withColumn(
+    return previous.filter(too_wide(frequency, day, "previous_date", daily_limit)).withColumn(
         "gap_days", periods_between(day, "previous_date", "day")
     )
 
