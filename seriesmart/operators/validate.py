@@ -26,11 +26,17 @@ def profile(
     by: str = "series_name",
     day: str = "observation_date",
     value: str = "value",
+    delivered: str | None = None,
 ) -> DataFrame:
     """Quality metrics of each configured series, empty ones included.
 
     ``config`` may carry max_null_ratio (default 1.0), require_numeric (true),
     allow_duplicate_dates (false) and min_value (none).
+
+    An extraction may hand over other columns than the one asked for. ``delivered``
+    names the column of ``long`` that says which column a row came in; NULL is the
+    expected one. Then ``delivered_columns`` lists them, the metrics are those of the
+    expected column, and ``row_count`` is that of all rows where it is missing.
     """
     lower = (start if isinstance(start, Column) else F.lit(start)).cast("timestamp")
     upper = (end if isinstance(end, Column) else F.lit(end)).cast("timestamp")
@@ -41,13 +47,21 @@ def profile(
         number = F.when(~F.isnan(value), F.col(value).cast("double"))
     else:
         number = lenient_number(text)
+    came_in = F.coalesce(F.col(delivered).cast("string"), F.col(by)) if delivered else F.col(by)
     rows = lookup_join(long, config.select(by, "min_value"), by, "left").select(
         by,
+        came_in.alias("_came_in"),
         lenient_timestamp(day).alias("_at"),
         raw_null.alias("_null"),
         number.alias("_number"),
         "min_value",
     )
+    if delivered:
+        # A frame has few columns, so the names that came for one series are few.
+        names = rows.groupBy(by).agg(
+            F.array_sort(F.collect_set("_came_in")).alias("delivered_columns"), F.count(F.lit(1)).alias("_all_rows")
+        )
+        rows = rows.filter(F.col("_came_in") == F.col(by))
     measured = rows.groupBy(by).agg(
         F.count(F.lit(1)).alias("row_count"),
         F.count_if("_null").alias("null_count"),
@@ -71,9 +85,10 @@ def profile(
         "non_numeric_count",
         "below_minimum_count",
     )
-    return config.join(metrics, by, "left").withColumn(
-        "row_count", F.coalesce(F.col("row_count"), F.lit(0).cast("long"))
-    )
+    whole = config.join(metrics, by, "left")
+    if delivered:
+        whole = whole.join(names, by, "left").withColumn("row_count", F.coalesce("row_count", "_all_rows")).drop("_all_rows")
+    return whole.withColumn("row_count", F.coalesce(F.col("row_count"), F.lit(0).cast("long")))
 
 
 def _check(name: str, passed: Column, message: Column) -> Column:
@@ -88,11 +103,17 @@ def _setting(profiled: DataFrame, name: str, default) -> Column:
     return F.coalesce(F.col(name), F.lit(default)) if name in profiled.columns else F.lit(default)
 
 
-def checks(profiled: DataFrame, explicit_window: bool = False) -> DataFrame:
+def _quoted(names: Column) -> Column:
+    return F.concat(F.lit("["), F.array_join(F.transform(names, lambda n: F.concat(F.lit("'"), n, F.lit("'"))), ", "), F.lit("]"))
+
+
+def checks(profiled: DataFrame, explicit_window: bool = False, by: str = "series_name") -> DataFrame:
     """Add ``checks`` (array of name, passed, message) and ``passed``.
 
     An empty series has only the not_empty check; with an explicit window an
-    empty series is a valid answer and passes without any check.
+    empty series is a valid answer and passes without any check. Of a profile that
+    knows the delivered columns, two checks look at them, and a series whose column
+    was not delivered has no further ones.
     """
     counted = lambda name: _labelled(name, F.col(name))
     max_ratio = _setting(profiled, "max_null_ratio", 1.0)
@@ -132,7 +153,17 @@ def checks(profiled: DataFrame, explicit_window: bool = False) -> DataFrame:
             ),
         ),
     ]
-    listed = F.when(F.col("row_count") > 0, F.array_compact(F.array(*full))).otherwise(
+    present = F.lit(True)
+    if "delivered_columns" in profiled.columns:
+        held = F.col("delivered_columns")
+        present = F.array_contains(held, F.col(by))
+        others = F.filter(held, lambda n: n != F.col(by))
+        full[1:1] = [
+            _check("expected_column_present", present, F.concat(F.lit("expected="), F.col(by), F.lit(", actual="), _quoted(held))),
+            _check("no_unexpected_columns", F.size(others) == 0, F.concat(F.lit("unexpected_columns="), _quoted(others))),
+        ]
+    some = F.when(present, F.array_compact(F.array(*full))).otherwise(F.array_compact(F.array(*full[:3])))
+    listed = F.when(F.col("row_count") > 0, some).otherwise(
         F.array_compact(F.array(F.when(F.lit(not explicit_window), not_empty)))
     )
     return profiled.withColumn("checks", listed).withColumn(

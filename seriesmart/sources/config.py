@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators.sets import union_all
+from ..session import ensure_checkpoint_dir
 
 CONFIG_SCHEMA = (
     "series_name string, series_code string, start_date date, frequency string, unit string, "
@@ -58,9 +60,18 @@ def curated_problems(curated: DataFrame) -> DataFrame:
     return union_all([nameless, _repeated(curated.filter(F.col("series_code") != ""), "series_code")])
 
 
-def checked(config: DataFrame, problems: DataFrame) -> DataFrame:
-    """The configuration, or ValueError naming the first few problems."""
-    found = problems.limit(20).collect()
+def checked(config: DataFrame, problems: DataFrame, report: str | None = None) -> DataFrame:
+    """The configuration, or ValueError with the number of problems and where they all are.
+
+    All problems are written to the table at ``report``, by default a new one in the
+    shared folder; the error quotes the first.
+    """
+    spark = problems.sparkSession
+    report = report or f"{ensure_checkpoint_dir(spark)}/config-problems/{uuid.uuid4().hex}"
+    problems.write.mode("overwrite").parquet(report)
+    written = spark.read.schema(problems.schema).parquet(report)
+    found = written.count()
     if found:
-        raise ValueError("; ".join(f"{r.problem}: {r.subject}" for r in found))
+        first = written.orderBy("problem", "subject").first()
+        raise ValueError(f"{found} problems, listed in {report}; the first is {first.problem}: {first.subject}")
     return config

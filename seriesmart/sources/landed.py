@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..operators.sets import union_all
 from ..operators.validate import failed_checks
@@ -26,7 +26,8 @@ def write_landed(long: DataFrame, path: str, per_series: bool = False) -> None:
     rows = long.withColumn("window", F.coalesce("window", F.lit(FULL_WINDOW)))
     folders = LANDING_KEYS if per_series else LANDING_KEYS[1:]
     # REBALANCE splits a heavy folder over several files.
-    laid_out = rows.hint("rebalance", *folders).sortWithinPartitions(*folders, "series_name")
+    order = [c for c in ("series_name", "observation_date") if c in rows.columns and c not in folders]
+    laid_out = rows.hint("rebalance", *folders).sortWithinPartitions(*folders, *order)
     laid_out.write.partitionBy(*folders).mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).option("ignoreNullFields", "false").json(path)
@@ -80,10 +81,17 @@ def catalog_union(catalogs: Sequence[DataFrame]) -> DataFrame:
     return union_all(catalogs, allow_missing=True)
 
 
-def artifact_manifest(landed: DataFrame, checked: DataFrame) -> DataFrame:
+def artifact_manifest(
+    landed: DataFrame,
+    checked: DataFrame,
+    requested: tuple[Column, Column] | None = None,
+    checksums: DataFrame | None = None,
+) -> DataFrame:
     """What each landed artifact holds, with its checks as JSON.
 
-    ``checked`` is validate.checks() output keyed by series_name.
+    ``checked`` is validate.checks() output keyed by series_name. ``requested`` adds the
+    window asked for, as expressions over the manifest's columns; ``checksums``, as
+    ``artifact_checksums`` gives them, adds the digest of the artifact's files.
     """
     held = landed.groupBy(*LANDING_KEYS).agg(
         F.min("observation_date").alias("first_observation"),
@@ -99,7 +107,13 @@ def artifact_manifest(landed: DataFrame, checked: DataFrame) -> DataFrame:
         F.concat_ws(", ", failed_checks()).alias("failed_checks"),
         F.to_json("checks").alias("quality"),
     )
-    return held.join(quality, "series_name", "left")
+    manifest = held.join(quality, "series_name", "left")
+    if requested is not None:
+        first, last = requested
+        manifest = manifest.withColumns({"requested_start_date": first, "requested_end_date": last})
+    if checksums is not None:
+        manifest = manifest.join(checksums, list(LANDING_KEYS), "left")
+    return manifest
 
 
 def file_checksums(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
@@ -113,6 +127,22 @@ def file_checksums(spark: SparkSession, path: str, pattern: str = "*.json") -> D
     return files.select("path", "length", F.sha2("content", 256).alias("sha256"))
 
 
+def artifact_checksums(spark: SparkSession, path: str, pattern: str = "*.json") -> DataFrame:
+    """(series_name, extraction_date, window, data_file_sha256) of files landed per series.
+
+    An artifact of several files has the digests of all, by file name.
+    """
+    def key(name: str) -> Column:
+        return F.url_decode(F.regexp_extract("path", rf"/{name}=([^/]+)/", 1))
+
+    files = file_checksums(spark, path, pattern).select(
+        key("series_name").alias("series_name"), F.to_date(key("extraction_date")).alias("extraction_date"),
+        key("window").alias("window"), F.struct("path", "sha256").alias("file"),
+    )
+    digests = F.transform(F.sort_array(F.collect_list("file")), lambda f: f["sha256"])
+    return files.groupBy(*LANDING_KEYS).agg(F.array_join(digests, ",").alias("data_file_sha256"))
+
+
 def write_run_summaries(summary: DataFrame, results: DataFrame, path: str) -> None:
     """Run summaries under run_date=, the per-series results beside them.
 

@@ -125,6 +125,28 @@ def test_gate_rejects_whole_series(rows):
     assert collected(validate.stage_counts(checked, loads=False), "loaded_rows") == [(0,), (0,)]
 
 
+def test_column_checks_are_part_of_the_gate(rows):
+    config = rows(CONFIG, *[(n, n, 1.0, True, True, None) for n in ("good", "renamed", "more", "absent")])
+    long = rows(
+        "series_name string, observation_date string, value string, came_in string",
+        ("good", "2026-01-01", "1", None), ("good", "2026-01-02", "2", "good"), ("renamed", "2026-01-01", "1", "other"),
+        ("renamed", "bad", "x", "other"), ("more", "2026-01-01", "1", "more"), ("more", "2026-01-01", "x", "b"), ("more", "bad", "x", "a"),
+    )
+    checked = validate.checks(validate.profile(long, config, START, END, delivered="came_in"))
+    got = {r.series_name: r for r in checked.collect()}
+    assert got["good"].passed and [c.name for c in got["good"].checks][:4] == [
+        "not_empty", "expected_column_present", "no_unexpected_columns", "valid_dates",
+    ]
+    assert [(c.name, c.passed, c.message) for c in got["renamed"].checks] == [
+        ("not_empty", True, "row_count=2"),
+        ("expected_column_present", False, "expected=renamed, actual=['other']"),
+        ("no_unexpected_columns", False, "unexpected_columns=['other']"),
+    ]
+    assert failed(got["more"]) == ["no_unexpected_columns"] and got["more"].row_count == 1
+    assert got["more"].checks[2].message == "unexpected_columns=['a', 'b']"
+    assert [c.name for c in got["absent"].checks] == ["not_empty"] and not got["absent"].passed
+
+
 def test_column_checks():
     assert [passed for _, passed, _ in validate.column_checks(["a"], "a")] == [True, True]
     assert [passed for _, passed, _ in validate.column_checks(["b"], "a")] == [False, False]
@@ -210,8 +232,10 @@ def test_configuration_problems(rows):
         ("missing series_code", "a"),
         ("missing start_date", "A"),
     ]
-    with pytest.raises(ValueError, match="duplicate series_code: A"):
+    with pytest.raises(ValueError, match="4 problems.*duplicate series_code: A") as refused:
         configuration.checked(dirty, configuration.config_problems(dirty))
+    listed = str(refused.value).split("listed in ")[1].split(";")[0]
+    assert dirty.sparkSession.read.parquet(listed).count() == 4
 
 
 def test_window_refuses_reversed_dates(rows):

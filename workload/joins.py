@@ -266,12 +266,14 @@ def _(r):
 
 @query(
     "set_01_union_all",
-    "SELECT series_code, frequency_code FROM catalog WHERE frequency_code <> 'WEEKLY'",
+    "SELECT series_code, frequency_code FROM catalog",
 )
 def _(r):
     slim = r.catalog.select("series_code", "frequency_code")
-    parts = [slim.filter(F.col("frequency_code") == f) for f in ("DAILY", "MONTHLY", "QUARTERLY", "ANNUAL")]
-    return sets.union_all(parts)
+    listed = ("DAILY", "MONTHLY", "QUARTERLY", "ANNUAL")
+    parts = [slim.filter(F.col("frequency_code") == f) for f in listed]
+    others = slim.filter(~F.coalesce(F.col("frequency_code").isin(*listed), F.lit(False)))
+    return sets.union_all([*parts, others])
 
 
 @query(

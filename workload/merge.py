@@ -213,6 +213,15 @@ def _(r):
     return runs.select("run_id", "source", "pipeline", "target_table", "status", "started_at")
 
 
+@query(
+    "mrg_12_migrated_rows",
+    f"SELECT * REPLACE (extracted_at AS ingested_at, {RUN_ID_SQL} AS ingestion_run_id) FROM raw_observations",
+)
+def _(r):
+    old = r.raw_observations.drop("ingested_at", "ingestion_run_id")
+    return ingest.migrate(old, r.spark.createDataFrame([], RUNS), "tpch", "observations", "raw.observations")[0]
+
+
 @query(
     "mrg_13_backfill_windows",
     """

@@ -106,10 +106,8 @@ class Relations:
     @cached_property
     def wide(self) -> DataFrame:
         """One row per day, one column per event type."""
-        cells = [
-            F.max(F.when(F.col("event_type") == t, F.col("value"))).alias(t) for t in EVENT_TYPES
-        ]
-        return self.table("events").groupBy(F.to_date("ts").alias("observation_date")).agg(*cells)
+        # The types that occur name the columns.
+        return self.table("events").groupBy(F.to_date("ts").alias("observation_date")).pivot("event_type").agg(F.max("value"))
 
     @cached_property
     def long_text(self) -> DataFrame:
@@ -133,15 +131,14 @@ class Relations:
 
     @cached_property
     def raw_series(self) -> DataFrame:
-        """Metadata of every supplier outside nation 24."""
+        """Metadata of every supplier; that of nation 24 under a code without observations."""
         s = F.col("s_suppkey")
         loaded = F.lit("2002-01-01 00:00:00").cast("timestamp")
         return (
             self.table("supplier")
-            .filter("s_nationkey <> 24")
             .withColumn("s", s)
             .select(
-                F.expr("concat('S', s)").alias("series_code"),
+                F.expr("concat(CASE WHEN s_nationkey = 24 THEN 'X' ELSE 'S' END, s)").alias("series_code"),
                 F.expr("concat('series ', s)").alias("series_name"),
                 F.expr("concat('Balance of ', s_name)").alias("description"),
                 F.expr("concat('nation ', s_nationkey)").alias("category"),
@@ -251,9 +248,9 @@ class Relations:
 
     @cached_property
     def catalog(self) -> DataFrame:
-        """Source catalog: nation 3 missing, nation 8 listed twice, nation 12 with another frequency."""
-        rows = self.table("supplier").filter("s_nationkey <> 3").selectExpr(
-            "concat('S', s_suppkey) AS series_code",
+        """Source catalog: nation 3 under other codes, nation 8 listed twice, nation 12 with another frequency."""
+        rows = self.table("supplier").selectExpr(
+            "concat(CASE WHEN s_nationkey = 3 THEN 'X' ELSE 'S' END, s_suppkey) AS series_code",
             f"CASE WHEN s_nationkey = 12 THEN 'WEEKLY' ELSE upper({FREQUENCY_SQL.replace('s %', 's_suppkey %')}) END AS frequency_code",
             "upper(s_name) AS spanish_title",
             "s_name AS english_title",
@@ -267,9 +264,9 @@ class Relations:
 
     @cached_property
     def curated(self) -> DataFrame:
-        """Curated metadata: nation 6 missing, nation 13 without category, nation 17 without unit."""
-        return self.table("supplier").filter("s_nationkey <> 6").selectExpr(
-            "concat('S', s_suppkey) AS series_code",
+        """Curated metadata: nation 6 under other codes, nation 13 without category, nation 17 without unit."""
+        return self.table("supplier").selectExpr(
+            "concat(CASE WHEN s_nationkey = 6 THEN 'Y' ELSE 'S' END, s_suppkey) AS series_code",
             "concat('series ', s_suppkey) AS series_name",
             "concat('Balance of ', s_name) AS description",
             "CASE WHEN s_nationkey = 13 THEN '' ELSE concat('nation ', s_nationkey) END AS category",
@@ -309,9 +306,9 @@ class Relations:
 
     @cached_property
     def runs(self) -> DataFrame:
-        """The audit table; the run of August 1998 was never recorded."""
-        return self.run_stats.filter("idx <> 1998 * 12 + 8").selectExpr(
-            "ingestion_run_id AS run_id",
+        """The audit table; the run of August 1998 was recorded under another id."""
+        return self.run_stats.selectExpr(
+            "CASE WHEN idx = 1998 * 12 + 8 THEN 'misnamed' ELSE ingestion_run_id END AS run_id",
             "'tpch' AS source",
             "timestampadd(HOUR, 2, t) AS started_at",
             "CASE WHEN status IN ('running', 'unknown') THEN CASE WHEN idx % 7 = 0 THEN t END "
@@ -418,6 +415,4 @@ class Relations:
         return self.obs.withColumn("value", F.when(k % 19 == 0, None).otherwise(F.col("value")))
 
 
-# Fixed values of the given tables.
-EVENT_TYPES = ("click", "error", "purchase", "signup", "view")
 FREQUENCY_SQL = "CASE s % 4 WHEN 0 THEN 'daily' WHEN 1 THEN 'monthly' WHEN 2 THEN 'quarterly' ELSE 'annual' END"

@@ -10,7 +10,6 @@ from seriesmart.functions import dates, text
 from seriesmart.operators import canonical, filters
 from seriesmart.operators.quality import with_frequency
 
-from .relations import EVENT_TYPES
 from .sql import query
 
 
@@ -57,15 +56,16 @@ def _(r):
 
 @query(
     "prj_03_unpivot_wide",
-    f"""
+    """
     SELECT d.observation_date, t.series_name, s.value
     FROM (SELECT DISTINCT CAST(ts AS DATE) AS observation_date FROM events) d
-    CROSS JOIN (SELECT unnest({list(EVENT_TYPES)}) AS series_name) t
+    CROSS JOIN (SELECT DISTINCT event_type AS series_name FROM events) t
     LEFT JOIN small_obs s ON s.series_code = t.series_name AND s.observation_date = d.observation_date
     """,
 )
 def _(r):
-    return canonical.unpivot_wide(r.wide, ["observation_date"], EVENT_TYPES)
+    wide = r.wide
+    return canonical.unpivot_wide(wide, ["observation_date"], [c for c in wide.columns if c != "observation_date"])
 
 
 # -- filters ------------------------------------------------------------------

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F, types as T
 from seriesmart.operators import audit, merge, validate
 from seriesmart.plans import marts
 from seriesmart.schemas import OBSERVATIONS, OBSERVATIONS_KEY
-from seriesmart.session import ensure_checkpoint_dir
+from seriesmart.session import ensure_checkpoint_dir, folder_names
 from seriesmart.sources import config, landed, tables
 
 from .aggregates import ERROR_SQL, OUTCOME_SQL, RUN_ROLLUP_SQL
@@ -22,10 +22,6 @@ from .merge import FACT_BUILD_SQL, MERGE_SQL
 from .sql import query
 
 
-# Fixed values of the given tables.
-CATALOG_FREQUENCIES = ("DAILY", "MONTHLY", "QUARTERLY", "ANNUAL", "WEEKLY")
-
-
 def fresh_folder(r) -> str:
     return f"{ensure_checkpoint_dir(r.spark)}/workload/{uuid.uuid4().hex}"
 
@@ -89,12 +85,12 @@ def _(r):
 
 @query("src_05_catalog_union", "SELECT series_code, frequency_code, english_title FROM catalog")
 def _(r):
-    """One landed catalog per frequency, united."""
+    """One landed catalog per frequency that occurs, united."""
     path = fresh_folder(r)
     slim = r.catalog.select("series_code", "frequency_code", "english_title")
-    for frequency in CATALOG_FREQUENCIES:
-        slim.filter(F.col("frequency_code") == frequency).write.parquet(f"{path}/{frequency}")
-    return landed.catalog_union([r.spark.read.parquet(f"{path}/{f}") for f in CATALOG_FREQUENCIES])
+    slim.withColumn("landed", F.col("frequency_code")).write.partitionBy("landed").parquet(path)
+    folders = [n for n in folder_names(r.spark, path) if n.startswith("landed=")]
+    return landed.catalog_union([r.spark.read.parquet(f"{path}/{n}") for n in folders])
 
 
 @query("src_06_series_config", "SELECT * FROM config WHERE coalesce(enabled, true)")
@@ -183,27 +179,69 @@ def _(r):
     return landed.artifact_manifest(rows, checked).drop("failed_checks", "quality")
 
 
-@query(
-    "snk_03_artifact_checksum",
-    "SELECT series_code AS series_name, count(*) AS row_count, true AS checksums_valid FROM small_obs GROUP BY 1",
-)
+# A landed file's lines as the writer writes them.
+FILE_SQL = """sha256(string_agg('{"observation_date":"' || strftime(observation_date, '%Y-%m-%d') || '","value":'
+        || coalesce(value::VARCHAR, 'null') || '}' || chr(10), '' ORDER BY observation_date))"""
+
+MANIFEST_SQL = f"""
+    artifacts AS (
+      SELECT series_code AS series_name, series_code AS code, min(observation_date) AS first_observation,
+        max(observation_date) AS last_observation, count(*) AS row_count, count(*) FILTER (value IS NULL) AS nulls,
+        count(*) FILTER (value < 50) AS below, count(*) FILTER (observation_date > DATE '2024-01-20') AS outside,
+        {FILE_SQL} AS data_file_sha256
+      FROM small_obs GROUP BY 1)
+    SELECT series_name, DATE '2024-02-01' AS extraction_date, 'full' AS "window", first_observation, last_observation, row_count, code AS series_code,
+      'daily' AS frequency, 'USD' AS unit, outside = 0 AND below = 0 AS quality_passed,
+      concat_ws(', ', CASE WHEN outside > 0 THEN 'dates_within_requested_range' END, CASE WHEN below > 0 THEN 'minimum_value' END) AS failed_checks,
+      '[' || array_to_string([
+        '{{"name":"not_empty","passed":true,"message":"row_count=' || row_count || '"}}',
+        '{{"name":"valid_dates","passed":true,"message":"invalid_date_count=0"}}',
+        '{{"name":"duplicate_dates","passed":true,"message":"duplicate_count=0"}}',
+        '{{"name":"dates_within_requested_range","passed":' || (outside = 0) || ',"message":"out_of_range_count=' || outside || '"}}',
+        '{{"name":"null_ratio","passed":true,"message":"null_ratio=' || printf('%.4f', nulls / row_count) || ', max_allowed=1.0000"}}',
+        '{{"name":"numeric_values","passed":true,"message":"non_numeric_count=0"}}',
+        '{{"name":"minimum_value","passed":' || (below = 0) || ',"message":"below_minimum_count=' || below || ', minimum=50.0"}}'], ',') || ']' AS quality,
+      DATE '2024-01-01' AS requested_start_date, DATE '2024-01-20' AS requested_end_date, data_file_sha256
+    FROM artifacts
+"""
+
+
+@query("snk_02_full_manifest", MANIFEST_SQL)
 def _(r):
+    """Every field: requested window, checks as JSON, digest of the landed file."""
     path = fresh_folder(r)
-    rows = r.small_obs.select(
+    rows = small_landed(r)
+    landed.write_landed(rows, path, per_series=True)
+    spans = F.lit("2024-01-01").cast("date"), F.lit("2024-01-20").cast("date")
+    known = rows.select("series_name").distinct().select(
+        "series_name", F.col("series_name").alias("series_code"), F.lit("daily").alias("frequency"), F.lit("USD").alias("unit"),
+        F.lit(50.0).alias("min_value"),
+    )
+    checked = validate.checks(validate.profile(rows, known, *spans))
+    held = rows.withColumn("window", F.coalesce("window", F.lit(landed.FULL_WINDOW)))
+    return landed.artifact_manifest(held, checked, spans, landed.artifact_checksums(r.spark, path))
+
+
+def small_landed(r):
+    return r.small_obs.select(
         F.col("series_code").alias("series_name"),
         F.to_date(F.lit("2024-02-01")).alias("extraction_date"),
         F.lit(None).cast("string").alias("window"),
         "observation_date",
         "value",
     )
-    landed.write_landed(rows, path, per_series=True)
-    sums = landed.file_checksums(r.spark, path).select(
-        F.regexp_extract("path", "series_name=([^/]+)/", 1).alias("series_name"),
-        F.col("sha256").rlike("^[0-9a-f]{64}$").alias("ok"),
-    )
-    valid = sums.groupBy("series_name").agg(F.bool_and("ok").alias("checksums_valid"))
+
+
+@query(
+    "snk_03_artifact_checksum",
+    f"SELECT series_code AS series_name, count(*) AS row_count, {FILE_SQL} AS data_file_sha256 FROM small_obs GROUP BY 1",
+)
+def _(r):
+    path = fresh_folder(r)
+    landed.write_landed(small_landed(r), path, per_series=True)
+    sums = landed.artifact_checksums(r.spark, path).select("series_name", "data_file_sha256")
     held = landed.read_landed(r.spark, path).groupBy("series_name").agg(F.count(F.lit(1)).alias("row_count"))
-    return held.join(valid, "series_name")
+    return held.join(sums, "series_name")
 
 
 @query(

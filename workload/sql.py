@@ -55,7 +55,7 @@ long_text AS (
     CASE WHEN l_partkey % 13 <> 0 AND l_partkey % 97 <> 0 AND l_partkey % 89 <> 0 THEN l_extendedprice END AS number
   FROM lineitem),
 raw_series AS (
-  SELECT 'S' || s_suppkey AS series_code, 'series ' || s_suppkey AS series_name,
+  SELECT CASE WHEN s_nationkey = 24 THEN 'X' ELSE 'S' END || s_suppkey AS series_code, 'series ' || s_suppkey AS series_name,
     'Balance of ' || s_name AS description, 'nation ' || s_nationkey AS category,
     {_FREQ.format(s='s_suppkey')} AS frequency, 'USD' AS unit,
     upper(s_name) AS source_title_es, s_name AS source_title_en,
@@ -63,7 +63,7 @@ raw_series AS (
     DATE '2001-12-31' AS last_observation_date, DATE '2001-12-31' AS source_updated_date,
     DATE '2002-01-01' AS extraction_date, TIMESTAMP '2002-01-01 00:00:00' AS extracted_at,
     'tpch' AS source, 'run-200111' AS ingestion_run_id
-  FROM supplier WHERE s_nationkey <> 24),
+  FROM supplier),
 series AS (
   SELECT series_code, series_name, description AS series_description, category, frequency, unit, source,
     source_title_es, source_title_en, first_observation_date, last_observation_date, source_updated_date, extracted_at
@@ -100,19 +100,19 @@ faulty_config AS (
     CASE WHEN s_nationkey <> 7 THEN DATE '1995-01-01' END AS start_date
   FROM supplier),
 catalog_once AS (
-  SELECT 'S' || s_suppkey AS series_code,
+  SELECT CASE WHEN s_nationkey = 3 THEN 'X' ELSE 'S' END || s_suppkey AS series_code,
     CASE WHEN s_nationkey = 12 THEN 'WEEKLY' ELSE upper({_FREQ.format(s='s_suppkey')}) END AS frequency_code,
     upper(s_name) AS spanish_title, s_name AS english_title,
     CASE WHEN s_nationkey = 14 THEN 'unknown' ELSE '1995-01-01' END AS first_observation,
     '2001-12-31 08:00:00' AS last_observation, '2001-12-31' AS updated_at, s_nationkey AS nation
-  FROM supplier WHERE s_nationkey <> 3),
+  FROM supplier),
 catalog AS (SELECT * FROM catalog_once UNION ALL SELECT * FROM catalog_once WHERE nation = 8),
 curated AS (
-  SELECT 'S' || s_suppkey AS series_code, 'series ' || s_suppkey AS series_name,
+  SELECT CASE WHEN s_nationkey = 6 THEN 'Y' ELSE 'S' END || s_suppkey AS series_code, 'series ' || s_suppkey AS series_name,
     'Balance of ' || s_name AS description,
     CASE WHEN s_nationkey = 13 THEN '' ELSE 'nation ' || s_nationkey END AS category,
     CASE WHEN s_nationkey <> 17 THEN 'USD' END AS unit
-  FROM supplier WHERE s_nationkey <> 6),
+  FROM supplier),
 bounds AS (
   SELECT 'S' || s_suppkey AS series_code,
     CASE s_suppkey % 4 WHEN 3 THEN NULL ELSE CAST(5000 + s_suppkey AS DOUBLE) END AS lo,
@@ -125,7 +125,8 @@ run_stats AS (
   FROM (SELECT ingestion_run_id, min(observation_date) AS d, count(*) AS n, count(value) AS nv
         FROM raw_observations GROUP BY 1)),
 runs AS (
-  SELECT ingestion_run_id AS run_id, 'tpch' AS source, t + INTERVAL 2 HOUR AS started_at,
+  SELECT CASE WHEN idx = 1998 * 12 + 8 THEN 'misnamed' ELSE ingestion_run_id END AS run_id, 'tpch' AS source,
+    t + INTERVAL 2 HOUR AS started_at,
     CASE WHEN status IN ('running', 'unknown') THEN CASE WHEN idx % 7 = 0 THEN t END
       WHEN idx % 33 = 0 THEN NULL ELSE t + to_hours(CAST(1 + idx % 7 AS INTEGER)) END AS completed_at,
     status, n AS extracted_rows, nv AS valid_rows,
@@ -138,7 +139,7 @@ runs AS (
     CAST(CASE status WHEN 'success' THEN 0 WHEN 'failed' THEN 75 WHEN 'crashed' THEN 1 END AS BIGINT) AS exit_code,
     CAST(CASE WHEN idx % 6 <> 0 THEN idx % 4 END AS BIGINT) AS rows_changed,
     'parent-' || year(d) || '-' || quarter(d) AS parent_run_id
-  FROM run_stats WHERE idx <> 1998 * 12 + 8),
+  FROM run_stats),
 result_stats AS (
   SELECT *, CASE WHEN idx % 3 = 0 THEN 9 ELSE (s * 7 + idx) % 10 END AS h
   FROM (SELECT ingestion_run_id, CAST(substring(series_code, 2) AS BIGINT) AS s, count(*) AS n,
