@@ -50,9 +50,12 @@ def _places(piece: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
-    """doc, n, line, key of every line with more than white space in rows with an id."""
+    """doc, version, n, line, key of every line with more than white space in rows with an id.
+
+    ``version`` is a hash of the row's text: it tells rows of one id apart."""
     cut = docs.where(F.col(id_col).isNotNull()).select(
-        F.col(id_col).cast("long").alias("doc"), F.posexplode(F.split(F.col(text), "\n")).alias("n", "line")
+        F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("version"),
+        F.posexplode(F.split(F.col(text), "\n")).alias("n", "line"),
     )
     return cut.where(~F.col("line").rlike(r"^\s*$")).withColumn(
         "key", F.xxhash64(words(F.col("line")))
@@ -139,12 +142,13 @@ def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
-    """doc, dropped (sorted line numbers from 0): the lines that are not the first of
-    their component, in the order of document id and line number."""
+    """doc, version, dropped (sorted line numbers from 0): the lines that are not the first
+    of their component, in the order of document id, text hash and line number."""
     lines = lines_of(docs, id_col, text)
-    occurrences = staged(lines.select("key", "doc", "n"), "lines")
+    place = ("doc", "version", "n")
+    occurrences = staged(lines.select("key", *place), "lines")
     first = occurrences.groupBy("key").agg(
-        F.min(F.struct("doc", "n")).alias("first"), F.count("*").alias("times")
+        F.min(F.struct(*place)).alias("first"), F.count("*").alias("times")
     )
     grouped = line_components(lines, percent).withColumnRenamed("id", "key")
     # Only lines that repeat or are linked can be dropped.
@@ -155,8 +159,8 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", p
     keepers = judged.groupBy("component").agg(F.min("first").alias("keeper"))
     decisions = staged(judged.join(keepers, "component").select("key", "keeper"), "decisions")
     return (
-        occurrences.join(decisions, "key").where("NOT (doc = keeper.doc AND n = keeper.n)")
-        .groupBy("doc").agg(F.sort_array(F.collect_set("n")).alias("dropped"))
+        occurrences.join(decisions, "key").where(F.struct(*place) != F.col("keeper"))
+        .groupBy("doc", "version").agg(F.sort_array(F.collect_set("n")).alias("dropped"))
     )
 
 
@@ -166,14 +170,16 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     ``n_lines`` counts the lines that are more than white space; ``dropped`` lists the
     numbers of those cut out. Blank lines are never dropped and link nothing. Null and
     empty texts stay as they are, with 0 lines; rows without an id keep their lines and
-    hold no other row's line. Rows of one id count as one document. Extra columns stay;
+    hold no other row's line. Rows of one id with different texts are documents of their
+    own; rows equal in id and text count as one, and are cut alike. Extra columns stay;
     where one is called n_lines or dropped, it is replaced.
     """
     dropped = staged(dropped_lines(docs, id_col, text, percent), "dropped")
     base = docs.drop("n_lines", "dropped")
     joined = base.join(
-        dropped.select(F.col("doc").alias("__doc"), "dropped"), F.col(id_col).cast("long") == F.col("__doc"), "left"
-    ).drop("__doc")
+        dropped.select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), "dropped"),
+        (F.col(id_col).cast("long") == F.col("__doc")) & (F.xxhash64(text) == F.col("__version")), "left",
+    ).drop("__doc", "__version")
     cut = F.split(F.col(text), "\n")
     kept = F.array_join(F.filter(cut, lambda x, i: ~F.array_contains(F.col("dropped"), i)), "\n")
     return joined.select(

@@ -389,6 +389,14 @@ def test_lines_of_odd_tables(docs):
     assert fuzzy_lines.dedup_lines(docs("a").limit(0)).count() == 0
 
 
+def test_texts_under_one_id_lose_no_line_that_stands_nowhere_else(docs):
+    rows = [(0, "this is the first shared line"), (1, "a line that nothing else holds"), (1, "this is the first shared line\nsecond")]
+    out = fuzzy_lines.dedup_lines(docs(*rows, rows[1])).collect()
+    assert sorted((r.doc_id, r.text) for r in out) == [
+        (0, rows[0][1]), (1, rows[1][1]), (1, rows[1][1]), (1, "second"),
+    ]
+
+
 def test_op10_on_whole_documents(spark):
     got = {r.doc_id: r.dropped for r in queries.QUERIES["op10_fuzzy_lines"](spark, FOLDER).collect()}
     assert got == brute_dropped(texts())
