@@ -35,6 +35,19 @@ def candidates(grams: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
         .withColumn("blocks", (F.ceil(F.col("f") / BLOCK)).cast("int")),
         "prefixes",
     )
+    return _meeting(marks, percent)
+
+
+def similar_prefixes(prefixes: DataFrame, percent: int) -> DataFrame:
+    """``candidates`` from prefixes that were cut before: (id, s, component, r, n), r from 1,
+    in any one order of elements."""
+    often = prefixes.groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
+    marks = prefixes.join(often, "s").withColumn("blocks", F.ceil(F.col("f") / BLOCK).cast("int"))
+    return _meeting(marks, percent)
+
+
+def _meeting(marks: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share an element and may be similar enough."""
     left = marks.select(
         F.col("id").alias("a"), "s", F.col("component").alias("ca"), F.col("n").alias("na"), F.col("r").alias("ra"),
         F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int").alias("block"),
