@@ -83,26 +83,31 @@ def _bands(signature: Column) -> Column:
 
 
 def _set(line: Column) -> Column:
-    shingle = lambda p: F.transform(_places(p), lambda i: F.xxhash64(F.substring(p, i, F.lit(WIDTH))))
-    return F.array_distinct(F.flatten(F.transform(_pieces(line), shingle)))
+    """The distinct shingles of a line: one pass of a pattern that looks ahead and moves on by a character."""
+    low = F.lower(F.trim(line))
+    found = F.regexp_extract_all(low, F.lit(rf"(?s)(?=(.{{{WIDTH}}}))."), F.lit(1))
+    return F.when(F.length(low) < WIDTH, F.array(low)).otherwise(F.array_distinct(found))
 
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+def verified(pairs: DataFrame, texts: DataFrame, percent: int, agreeing: int = AGREEING) -> DataFrame:
     """Pairs (a, b) of lines whose shingle sets are as similar as ``percent``.
 
     ``texts`` holds key, signature and line. Sets are made where they are compared, as
     they take eight times the room of their line. Pairs whose signatures agree in fewer
-    than ``AGREEING`` slots are left out before.
+    than ``agreeing`` slots are left out before.
     """
     a = texts.select(F.col("key").alias("a"), F.col("signature").alias("a_signature"), F.col("line").alias("a_line"))
     b = texts.select(F.col("key").alias("b"), F.col("signature").alias("b_signature"), F.col("line").alias("b_line"))
     same = [F.when(F.col("a_signature")[i] == F.col("b_signature")[i], 1).otherwise(0) for i in range(BANDS * ROWS)]
-    near = pairs.join(a, "a").join(b, "b").where(sum(same[1:], same[0]) >= AGREEING)
-    sets = near.select("a", "b", _set(F.col("a_line")).alias("a_set"), _set(F.col("b_line")).alias("b_set"))
-    common = sets.withColumn("common", F.size(F.array_intersect("a_set", "b_set")))
-    return common.where(
-        100 * F.col("common") >= percent * (F.size("a_set") + F.size("b_set") - F.col("common"))
-    ).select("a", "b")
+    near = pairs.join(a, "a").join(b, "b").where(sum(same[1:], same[0]) >= agreeing)
+
+    def similar(sets: Column) -> Column:
+        common = F.size(F.array_intersect(sets["a"], sets["b"]))
+        return (100 + percent) * common >= percent * (F.size(sets["a"]) + F.size(sets["b"]))
+
+    # The element of a one-element array is bound once; a plain expression would be made anew at each use.
+    both = F.array(F.struct(_set(F.col("a_line")).alias("a"), _set(F.col("b_line")).alias("b")))
+    return near.where(F.exists(both, similar)).select("a", "b")
 
 
 def _prefixes(lines: DataFrame, percent: int) -> DataFrame:
@@ -158,10 +163,10 @@ def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
         spans = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
         return labelled.join(spans.select("band"), "band", "left_semi")
 
-    def joined(more: DataFrame) -> DataFrame:
+    def joined(more: DataFrame, agreeing: int) -> DataFrame:
         """Components after the links among further pairs."""
         stars = grouped.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        return staged(components(stars.union(verified(more, texts, percent))), "components")
+        return staged(components(stars.union(verified(more, texts, percent, agreeing))), "components")
 
     # Their members against the largest line too.
     more, n = staged_count(
@@ -172,7 +177,7 @@ def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
     )
     drop_staged(pairs)
     if n:
-        grouped = joined(more)
+        grouped = joined(more, AGREEING)
     drop_staged(more)
     # What is left: every link between components among the lines of mixed buckets.
     rest, n = staged_count(mixed_buckets().select(F.col("key").alias("id"), "component").distinct(), "rest")
@@ -182,7 +187,7 @@ def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
         last, n = staged_count(similar_prefixes(prefixes, percent), "pairs")
         drop_staged(prefixes)
         if n:
-            grouped = joined(last)
+            grouped = joined(last, 0)  # exact
         drop_staged(last)
     drop_staged(rest)
     drop_staged(texts)
