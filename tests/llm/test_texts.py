@@ -332,39 +332,11 @@ def test_op8_finds_planted_passages(spark):
 # -- lines ---------------------------------------------------------------------
 
 
-def line_set(line):
-    """The 5-character strings at every position of a line."""
-    return frozenset(line[i : i + 5] for i in range(max(1, len(line) - 4)))
-
-
 def brute_dropped(known, percent=80):
-    places = defaultdict(list)
-    for i in sorted(known):
-        for n, line in enumerate((known[i] or "").split("\n")):
-            if line.strip():
-                places[line.strip(" ").lower()].append((i, n))
-    sets = {line: line_set(line) for line in places}
-    parent = {line: line for line in places}
-
-    def root(x):
-        while parent[x] != x:
-            x = parent[x]
-        return x
-
-    lines = list(places)
-    for n, a in enumerate(lines):
-        for b in lines[n + 1 :]:
-            common = len(sets[a] & sets[b])
-            if common and 100 * common >= percent * (len(sets[a]) + len(sets[b]) - common):
-                parent[root(a)] = root(b)
-    grouped = defaultdict(list)
-    for line in lines:
-        grouped[root(line)] += places[line]
-    out = defaultdict(list)
-    for found in grouped.values():
-        for i, n in sorted(found)[1:]:
-            out[i].append(n)
-    return {i: sorted(out[i]) for i in known}
+    """``dense_dropped`` of texts by id."""
+    ids = sorted(known)
+    dropped = dense_dropped([known[i] or "" for i in ids], percent)
+    return {i: dropped[k] for k, i in enumerate(ids)}
 
 
 def test_lines_match_brute_force(docs):
