@@ -1,9 +1,11 @@
 """URL filter: fixed rules first, then a path-template tree learnt for each host.
 
-The tree is grown level by level. At a node, a segment that holds a fair share of
-the node's pages stays as it is; all others are the wildcard ``*``. Sibling
-branches whose labelled shares do not differ by a two-proportion test are merged.
-A template is rejected if its smoothed share of blocked labels is high enough.
+The tree is grown level by level over a host's distinct paths. At a node, a segment
+that holds a fair share of the paths stays as it is where few values share the place
+or it stands out among many; all others are the wildcard ``*``. Kept siblings whose
+labelled shares do not differ by a two-proportion test grow on as one branch. All
+these are shares, so copies of the same urls change nothing. A template is rejected
+if its share of blocked labels, smoothed towards its siblings', is high enough.
 """
 
 from __future__ import annotations
@@ -12,9 +14,8 @@ import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
-from pyspark.sql.window import Window
 
-from .staging import staged
+from .staging import drop_staged, staged
 
 WILDCARD = "*"
 
@@ -59,99 +60,177 @@ def rule_of(host: Column, path: Column, rules: list[Rule]) -> Column:
     return found
 
 
+def _literal(segment: Column) -> Column:
+    """A segment as it stands in a template, where ``* { | }`` mean something else."""
+    for sign in "*{|}":
+        segment = F.replace(segment, F.lit(sign), F.lit(f"%{ord(sign):02X}"))
+    return segment
+
+
+def _merged(children: Column, z: float) -> Column:
+    """Tested children (share, segment, labels, blocked), lowest share first, as branches
+    (labels, blocked, segments): a child joins the pooled branch before it if their
+    shares do not differ at ``z``."""
+    none = F.array().cast("array<struct<labels:bigint,blocked:bigint,segments:array<string>>>")
+
+    def step(branches: Column, child: Column) -> Column:
+        last = F.get(branches, F.size(branches) - 1)
+        labels, blocked = last["labels"] + child["labels"], last["blocked"] + child["blocked"]
+        pooled = blocked / labels
+        error = F.sqrt(pooled * (1 - pooled) * (1 / last["labels"] + 1 / child["labels"]))
+        alike = F.abs(child["share"] - last["blocked"] / last["labels"]) <= z * error
+
+        def branch(n: Column, b: Column, segments: Column) -> Column:
+            return F.array(F.struct(n.alias("labels"), b.alias("blocked"), segments.alias("segments")))
+
+        own = branch(child["labels"], child["blocked"], F.array(child["segment"]))
+        joined = branch(labels, blocked, F.concat(last["segments"], F.array(child["segment"])))
+        before = F.slice(branches, 1, F.greatest(F.size(branches) - 1, F.lit(0)))
+        return F.when(F.coalesce(alike, F.lit(False)), F.concat(before, joined)).otherwise(F.concat(branches, own))
+
+    return F.aggregate(children, none, step)
+
+
+def _steps(now: DataFrame, least_share: float, variety: float, stands_out: float, least_labels: int, z: float) -> DataFrame:
+    """host, template, __segment, __step: what each kept segment of a node is called."""
+    counts = staged(
+        now.where("__segment IS NOT NULL").groupBy("host", "template", "__segment").agg(
+            F.count("*").alias("n"), F.count("blocked").alias("labels"),
+            F.coalesce(F.sum("blocked"), F.lit(0)).cast("long").alias("blocked"),
+        ),
+        "segments",
+    )
+    nodes = counts.groupBy("host", "template").agg(F.sum("n").alias("paths"), F.count("*").alias("values"))
+    n, paths, values = F.col("n"), F.col("paths"), F.col("values")
+    out = (values > 1) & (n * (values - 1) >= stands_out * (paths - n))
+    kept = counts.join(nodes, ["host", "template"]).where((n >= least_share * paths) & ((values < variety * paths) | out))
+    # At most 1 / least_share children of a node are left.
+    child = F.struct((F.col("blocked") / F.greatest("labels", F.lit(1))).alias("share"), F.col("__segment").alias("segment"), "labels", "blocked")
+    family = kept.groupBy("host", "template").agg(F.sort_array(F.collect_list(child)).alias("children"))
+    tested = _merged(F.filter("children", lambda c: c["labels"] >= least_labels), z)
+    alone = F.transform(F.filter("children", lambda c: c["labels"] < least_labels), lambda c: F.array(c["segment"]))
+    groups = F.concat(F.transform(tested, lambda b: F.array_sort(b["segments"])), alone)
+    named = family.select("host", "template", F.explode(groups).alias("group")).withColumn(
+        "__step", F.array_join(F.transform("group", _literal), "|")
+    )
+    step = F.when(F.size("group") > 1, F.concat(F.lit("{"), F.col("__step"), F.lit("}"))).otherwise(F.col("__step"))
+    named = staged(named.select("host", "template", F.explode("group").alias("__segment"), step.alias("__step")), "steps")
+    drop_staged(counts)
+    return named
+
+
 def templates(
-    paths: DataFrame, depth: int = 6, least_pages: int = 10, least_share: float = 0.02
+    paths: DataFrame,
+    depth: int = 6,
+    least_share: float = 0.05,
+    variety: float = 0.5,
+    stands_out: float = 4.0,
+    least_labels: int = 5,
+    z: float = 1.96,
 ) -> DataFrame:
-    """Adds ``template`` to rows of (host, path).
-
-    A path is cut at ``/``; segments beyond ``depth`` share one tail wildcard. Each
-    level counts the pages of (host, template so far, segment) and keeps a segment
-    with at least ``least_pages`` pages and ``least_share`` of its node's pages.
-    A host's pages are only ever counted (combined before the shuffle) and joined
-    with its few kept segments, so a large host is split like any skewed join.
+    """Adds ``template`` to distinct rows of (host, path, blocked 0/1/null).
+
+    A path is cut at ``/``; segments beyond ``depth`` share one tail wildcard ``**``.
+    Each level counts the paths of (host, template so far, segment). A segment is kept
+    if it holds ``least_share`` of its node's paths and either the node has fewer
+    different values than ``variety`` of its paths, or the segment holds ``stands_out``
+    times the paths of the node's other values on average. Kept siblings with
+    ``least_labels`` labels each are merged into ``{a|b}`` where their blocked shares do
+    not differ at ``z``: from the lowest share on, each is held against the branch pooled
+    so far. Paths are only counted (combined before the shuffle) and joined with the few
+    kept segments, so a large host is split like any skewed join.
     """
     grown = paths.withColumn("__segments", F.split(F.substring(F.col("path"), 2, 1 << 30), "/")).withColumn(
         "template", F.lit("")
     )
     deepest = grown.agg(F.max(F.size("__segments"))).first()[0] or 0
     for level in range(min(depth, deepest)):
-        segment = F.get(F.col("__segments"), F.lit(level))
-        now = grown.withColumn("__segment", segment)
-        counts = now.where("__segment IS NOT NULL").groupBy("host", "template", "__segment").agg(F.count("*").alias("__n"))
-        share = F.sum("__n").over(Window.partitionBy("host", "template"))
-        kept = (
-            counts.withColumn("__all", share)
-            .where((F.col("__n") >= least_pages) & (F.col("__n") >= least_share * F.col("__all")))
-            .select("host", "template", "__segment", F.lit(True).alias("__kept"))
-        )
-        kept = staged(kept, "segments")
-        grown = now.join(kept, ["host", "template", "__segment"], "left")
-        step = F.when(F.col("__kept"), F.col("__segment")).otherwise(F.lit(WILDCARD))
-        grown = grown.withColumn(
+        now = grown.withColumn("__segment", F.get(F.col("__segments"), F.lit(level)))
+        steps = _steps(now, least_share, variety, stands_out, least_labels, z)
+        step = F.coalesce("__step", F.lit(WILDCARD))
+        grown = now.join(steps, ["host", "template", "__segment"], "left").withColumn(
             "template",
             F.when(F.col("__segment").isNull(), F.col("template")).otherwise(F.concat(F.col("template"), F.lit("/"), step)),
-        ).drop("__segment", "__kept")
+        ).drop("__segment", "__step")
     tail = F.when(F.size("__segments") > depth, F.concat(F.col("template"), F.lit("/" + WILDCARD * 2)))
     return grown.withColumn("template", F.coalesce(tail, F.col("template"))).drop("__segments")
 
 
-def judged_templates(
-    labelled: DataFrame, threshold: float = 0.9, prior: float = 1.0, least_labels: int = 5, z: float = 1.96
-) -> DataFrame:
-    """host, template, branch, labels, blocked, purity, reject from rows of
+def judged_templates(labelled: DataFrame, threshold: float = 0.9, prior: float = 1.0) -> DataFrame:
+    """host, template, labels, blocked, expected, purity, reject from rows of
     (host, template, blocked 0/1/null).
 
-    Siblings are templates of one host that differ in their first segment only.
-    Starting from the lowest blocked share, a sibling joins the branch before it if
-    both have ``least_labels`` labels and their shares do not differ at ``z``.
-    Purity is ``(blocked + prior) / (labels + 2 * prior)`` of the branch; it is 0.5
-    without labels, and a template is rejected from ``threshold`` on.
+    ``purity`` is ``(blocked + 2 * prior * expected) / (labels + 2 * prior)``. What is
+    expected of a branch is the mean blocked share of its labelled siblings, each
+    counting once whatever its size, smoothed in the same way towards what is expected
+    of their parent; at a host's root that is 0.5. So a template without labels takes
+    what its siblings and its parent's siblings tell, and no label counts twice. A
+    template is rejected from ``threshold`` on.
     """
-    node = labelled.groupBy("host", "template").agg(
-        F.count("blocked").alias("labels"), F.coalesce(F.sum("blocked"), F.lit(0)).alias("blocked")
+    leaves = staged(
+        labelled.groupBy("host", "template").agg(
+            F.count("blocked").alias("labels"), F.coalesce(F.sum("blocked"), F.lit(0)).cast("long").alias("blocked")
+        ),
+        "leaves",
+    )
+    # A leaf's way: the inner nodes '/a', '/a/b', ... below the root, then the leaf itself.
+    parts = F.slice(F.split("template", "/"), 2, 1 << 30)
+    inner = F.transform(parts, lambda x, i: F.concat(F.lit("/"), F.array_join(F.slice(parts, 1, i + 1), "/")))
+    steps = F.concat(
+        F.transform(inner, lambda name: F.struct(F.regexp_replace(name, r"/[^/]*$", "").alias("parent"), name.alias("name"), F.lit(False).alias("leaf"))),
+        F.array(F.struct(F.col("template").alias("parent"), F.col("template").alias("name"), F.lit(True).alias("leaf"))),
     )
-    shape = F.regexp_replace("template", "^/[^/]*", "")
-    share = F.col("blocked") / F.greatest(F.col("labels"), F.lit(1))
-    node = node.withColumn("__shape", shape).withColumn("__share", share).withColumn(
-        "__tested", F.col("labels") >= least_labels
+    ways = leaves.select("host", "template", "labels", "blocked", F.posexplode(steps).alias("place", "step")).select(
+        "host", "template", "labels", "blocked", "place", "step.*"
+    )
+    branches = ways.groupBy("host", "parent", "name", "leaf").agg(F.sum("labels").alias("n"), F.sum("blocked").alias("b"))
+    branches = staged(branches.withColumn("share", F.when(F.col("n") > 0, F.col("b") / F.col("n"))), "branches")
+    families = branches.groupBy("host", "parent").agg(F.sum("share").alias("shares"), F.count("share").alias("known"))
+    others = branches.join(families, ["host", "parent"]).select(
+        "host", "name", "leaf",
+        (F.coalesce("shares", F.lit(0.0)) - F.coalesce("share", F.lit(0.0))).alias("shares"),
+        (F.col("known") - F.col("share").isNotNull().cast("long")).alias("known"),
+    )
+    seen = ways.join(others, ["host", "name", "leaf"]).groupBy("host", "template").agg(
+        F.first("labels").alias("labels"), F.first("blocked").alias("blocked"),
+        F.sort_array(F.collect_list(F.struct("place", "shares", "known"))).alias("way"),  # depth + 2 at most
+    )
+    expected = F.aggregate(
+        "way", F.lit(0.5), lambda up, x: (x["shares"] + 2 * prior * up) / (x["known"] + 2 * prior)
     )
-    # The number of templates of a host and shape is bounded by the kept shares, not by its pages.
-    order = Window.partitionBy("host", "__shape", "__tested").orderBy("__share", "template")
-    n1, n0 = F.col("labels"), F.lag("labels").over(order)
-    pooled = (F.col("blocked") + F.lag("blocked").over(order)) / (n1 + n0)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / n1 + 1 / n0))
-    gap = F.col("__share") - F.lag("__share").over(order)
-    opens = F.when(~F.col("__tested") | n0.isNull(), 1).when(gap <= z * error, 0).otherwise(1)
-    branches = node.withColumn("__opens", opens).withColumn("branch", F.sum("__opens").over(order))
-    group = Window.partitionBy("host", "__shape", "__tested", "branch")
-    labels, blocked = F.sum("labels").over(group), F.sum("blocked").over(group)
     return (
-        branches.withColumn("labels", labels).withColumn("blocked", blocked)
-        .withColumn("purity", (F.col("blocked") + prior) / (F.col("labels") + 2 * prior))
+        seen.withColumn("expected", expected)
+        .withColumn("purity", (F.col("blocked") + 2 * prior * F.col("expected")) / (F.col("labels") + 2 * prior))
         .withColumn("reject", F.col("purity") >= threshold)
-        .select("host", "template", "branch", "labels", "blocked", "purity", "reject")
+        .select("host", "template", "labels", "blocked", "expected", "purity", "reject")
     )
 
 
 def judge(pages: DataFrame, rules: list[Rule], id_col: str = "page_id", url: str = "url", **tree: float) -> DataFrame:
     """page_id, host, path, rule, verdict, template, labels, purity for every row.
 
-    A rule's verdict stands; the rows that rules judge are the labels from which
+    A rule's verdict stands; the paths that rules judge are the labels from which
     templates of the rest are judged. Null urls and urls without ``://`` have empty
-    host and path and are allowed. Repeated rows are judged, and counted, each.
-    Other columns are not read; an empty table gives an empty result.
+    host and path and are allowed. Repeated rows are judged each; the tree counts a
+    host's path once, however often it occurs. Other columns are not read; an empty
+    table gives an empty result.
     """
     source = pages.select(F.col(id_col).alias("page_id"), host_of(F.col(url)).alias("host"), path_of(F.col(url)).alias("path"))
     ruled = source.withColumn("__rule", rule_of(F.col("host"), F.col("path"), rules))
     rows = ruled.select(
         "page_id", "host", "path", F.col("__rule.text").alias("rule"), F.col("__rule.action").alias("action")
     )
-    grown = staged(templates(rows, **{k: v for k, v in tree.items() if k in ("depth", "least_pages", "least_share")}), "templates")
-    labelled = grown.withColumn("blocked", (F.col("action") == "block").cast("int"))
-    nodes = judged_templates(labelled, **{k: v for k, v in tree.items() if k in ("threshold", "prior", "least_labels", "z")})
-    nodes = staged(nodes, "nodes")
+    paths = rows.groupBy("host", "path").agg(F.first("action").alias("action")).select(
+        "host", "path", (F.col("action") == "block").cast("int").alias("blocked")
+    )
+    judging = {k: tree.pop(k) for k in ("threshold", "prior") if k in tree}
+    grown = staged(templates(staged(paths, "paths"), **tree), "templates")
+    nodes = staged(judged_templates(grown, **judging), "nodes")
     by_method = F.when(F.col("reject") & (F.col("host") != ""), "block").otherwise("allow")
-    return grown.join(nodes, ["host", "template"]).select(
-        "page_id", "host", "path", "rule", F.coalesce("action", by_method).alias("verdict"),
+    known = grown.drop("blocked").join(nodes, ["host", "template"]).select(
+        "host", "path", "template", "labels", "purity", by_method.alias("by_method")
+    )
+    return rows.join(known, ["host", "path"]).select(
+        "page_id", "host", "path", "rule", F.coalesce("action", "by_method").alias("verdict"),
         "template", F.col("labels").cast("long").alias("labels"), "purity",
     )

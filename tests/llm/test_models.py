@@ -191,13 +191,143 @@ def test_templates_generalise_and_are_judged_by_purity(spark):
     assert free == {("/good/*", "allow"), ("/bad/*", "block"), ("/*/*", "allow"), ("/bad/*/x", "block")}
 
 
-def test_similar_branches_merge(spark):
-    labelled = [("h", f"/{t}/*", int(i < n)) for t, n in (("a", 38), ("b", 39), ("c", 2)) for i in range(40)]
-    rows = url_templates.judged_templates(spark.createDataFrame(labelled, "host string, template string, blocked int")).collect()
-    by = {r.template: r for r in rows}
-    assert by["/a/*"].branch == by["/b/*"].branch != by["/c/*"].branch
-    assert by["/a/*"].labels == 80 and by["/a/*"].purity == pytest.approx(78 / 82) and by["/a/*"].reject
-    assert not by["/c/*"].reject
+def test_similar_branches_merge_and_grow_on(spark):
+    """Merging is by share against the pooled branch, at any depth; no branch without labels is merged."""
+    shares = (("a", 38), ("b", 39), ("c", 2), ("d", 0))
+    paths = [("h", f"/x/{t}/{i}/{end}", int(i < n) if t != "d" else None) for t, n in shares for i in range(40) for end in "uv"]
+    table = spark.createDataFrame(paths, "host string, path string, blocked int")
+    grown = url_templates.templates(table)
+    assert {r.template for r in grown.select("template").distinct().collect()} == {
+        f"/x/{x}/*/{y}" for x in ("{a|b}", "c", "d") for y in ("{u|v}" if x != "d" else "u", "v" if x == "d" else "{u|v}")
+    }
+    by = {r.template: r for r in url_templates.judged_templates(grown).collect()}
+    merged = by["/x/{a|b}/*/{u|v}"]
+    assert (merged.labels, merged.blocked, merged.reject) == (160, 154, True)
+    assert not by["/x/c/*/{u|v}"].reject and by["/x/d/*/u"].labels == 0
+    # Of two labelled siblings, one blocked and one not, nothing can be told.
+    assert by["/x/d/*/u"].purity == pytest.approx(0.5, abs=0.02)
+
+
+def test_unlabelled_branches_take_what_siblings_tell(spark):
+    blocked = [("h", f"/{i:02}/{j}", 1) for i in range(19) for j in range(4)] + [("h", f"/new/{j}", None) for j in range(4)]
+    table = spark.createDataFrame(blocked, "host string, path string, blocked int")
+    judged = url_templates.judged_templates(url_templates.templates(table)).where("labels = 0").collect()
+    assert [(r.template, r.reject) for r in judged] == [("/new/*", True)]
+    assert judged[0].purity == pytest.approx(20 / 21)
+
+
+def brute_templates(known):
+    """Template of each (host, path) of ``known``, which gives its label, one node at a time."""
+    out = {}
+
+    def escaped(x):
+        return "".join(f"%{ord(c):02X}" if c in "*{|}" else c for c in x)
+
+    def grow(host, level, name, group):
+        ends = [p for p, parts in group if len(parts) == level or level == 6]
+        for p in ends:
+            out[host, p] = name + ("/**" if len(dict(group)[p]) > 6 else "")
+        by = {}
+        for p, parts in group:
+            if level < 6 and len(parts) > level:
+                by.setdefault(parts[level], []).append((p, parts))
+        total, steps = sum(map(len, by.values())), {}
+        kept = []
+        for x, held in by.items():
+            others = (total - len(held)) / (len(by) - 1) if len(by) > 1 else None
+            if len(held) >= 0.05 * total and (len(by) < 0.5 * total or (others is not None and len(held) >= 4 * others)):
+                marks = [known[host, p] for p, _ in held if known[host, p] is not None]
+                kept.append((sum(marks) / max(len(marks), 1), x, len(marks), sum(marks)))
+        branches = []
+        for share, x, n, b in sorted(kept):
+            if n < 5:
+                steps[x] = escaped(x)
+                continue
+            if branches:
+                pn, pb, names = branches[-1]
+                pooled = (pb + b) / (pn + n)
+                if abs(share - pb / pn) <= 1.96 * (pooled * (1 - pooled) * (1 / pn + 1 / n)) ** 0.5:
+                    branches[-1] = (pn + n, pb + b, [*names, x])
+                    continue
+            branches.append((n, b, [x]))
+        for _, _, names in branches:
+            joined = "|".join(map(escaped, sorted(names)))
+            steps.update(dict.fromkeys(names, "{" + joined + "}" if len(names) > 1 else joined))
+        below = {}
+        for x, held in by.items():
+            below.setdefault(steps.get(x, "*"), []).extend(held)
+        for step, held in below.items():
+            grow(host, level + 1, f"{name}/{step}", held)
+
+    for host in {h for h, _ in known}:
+        grow(host, 0, "", [(p, p[1:].split("/")) for h, p in known if h == host])
+    return out
+
+
+def brute_purity(known, template):
+    """Purity of each (host, template), by walking down from the host's root."""
+    out = {}
+    for host in {h for h, _ in known}:
+        rows = [(template[k].split("/")[1:], known[k]) for k in known if k[0] == host]
+
+        def walk(prefix, rows, up):
+            ways = {}
+            for parts, mark in rows:
+                ways.setdefault(parts[len(prefix)] if len(parts) > len(prefix) else None, []).append((parts, mark))
+            shares = {}
+            for w, held in ways.items():
+                marks = [m for _, m in held if m is not None]
+                if marks:
+                    shares[w] = sum(marks) / len(marks)
+            for w, held in ways.items():
+                rest = [v for x, v in shares.items() if x != w]
+                expected = (sum(rest) + 2 * up) / (len(rest) + 2)
+                if w is not None:
+                    walk([*prefix, w], held, expected)
+                else:
+                    marks = [m for _, m in held if m is not None]
+                    out[host, "".join("/" + x for x in prefix)] = (sum(marks) + 2 * expected) / (len(marks) + 2)
+
+        walk([], rows, 0.5)
+    return out
+
+
+@pytest.mark.parametrize("folder", [FOLDER, LARGER])
+def test_op7_matches_brute_force_on_whole_pages(spark, folder):
+    urls = {i: u for i, u, _ in rows_of("pages", folder)}
+    known = {}
+    for u in urls.values():
+        rule = fitting_rule(*split_url(u))
+        known[split_url(u)] = None if rule is None else int(rule.action == "block")
+    template = brute_templates(known)
+    purity = brute_purity(known, template)
+    rows = queries.QUERIES["op7_url_templates"](spark, folder).collect()
+    assert len(rows) == len(urls)
+    for r in rows:
+        assert r.template == template[r.host, r.path]
+        assert r.purity == pytest.approx(purity[r.host, r.template])
+        if r.rule is None:
+            assert r.verdict == ("block" if purity[r.host, r.template] >= 0.9 and r.host else "allow")
+
+
+def test_op7_verdicts_do_not_change_with_copies(spark):
+    urls = [u for _, u, _ in rows_of("pages", LARGER)]
+    urls += [f"http://h.net/{part}/{i}" for part in ("es", "fr", "de", "x*{|}") for i in range(12)] + URLS
+    once = spark.createDataFrame([(i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    many = once.withColumn("copy", F.explode(F.sequence(F.lit(1), F.lit(10))))
+    pick = ("page_id", "template", "verdict", "labels", "purity")
+    seen = {tuple(r) for r in url_templates.judge(once, queries.URL_RULES).select(*pick).collect()}
+    again = [tuple(r) for r in url_templates.judge(many, queries.URL_RULES).select(*pick).collect()]
+    assert len(again) == 10 * len(urls) and set(again) == seen
+
+
+def test_op7_odd_paths(spark):
+    deep = "http://h.net/" + "/".join("abcdefgh")
+    rows = [(1, deep), (1, deep), (2, "http://h.net/" + "x" * 200_000), (3, "http://h.net//"), (4, "http://h.net")]
+    table = spark.createDataFrame(rows, "page_id long, url string").withColumn("path", F.lit(1)).withColumn("blocked", F.lit(1))
+    out = url_templates.judge(table, queries.URL_RULES).collect()
+    assert sorted(r.page_id for r in out) == [1, 1, 2, 3, 4] and {r.verdict for r in out} == {"allow"}
+    assert {r.template for r in out if r.page_id == 1} == {"/*/*/*/*/*/*/**"}
 
 
 # -- pipeline ------------------------------------------------------------------
