@@ -14,10 +14,13 @@ import string
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.window import Window
 
 from .staging import drop_staged, staged
 
 WILDCARD = "*"
+#: Parts of a node's different segments, which tasks look through before the node is put together.
+PARTS = 64
 
 
 @dataclass(frozen=True)
@@ -103,7 +106,10 @@ def _steps(now: DataFrame, least_share: float, variety: float, stands_out: float
     nodes = counts.groupBy("host", "template").agg(F.sum("n").alias("paths"), F.count("*").alias("values"))
     n, paths, values = F.col("n"), F.col("paths"), F.col("values")
     out = (values > 1) & (n * (values - 1) >= stands_out * (paths - n))
-    kept = counts.join(nodes, ["host", "template"]).where((n >= least_share * paths) & ((values < variety * paths) | out))
+    # What is short of its share of a part of the node is short of it in the node too.
+    part = Window.partitionBy("host", "template", F.pmod(F.xxhash64("__segment"), F.lit(PARTS)))
+    counts_left = counts.withColumn("part", F.sum("n").over(part)).where(n >= least_share * F.col("part")).drop("part")
+    kept = counts_left.join(nodes, ["host", "template"]).where((n >= least_share * paths) & ((values < variety * paths) | out))
     # At most 1 / least_share children of a node are left.
     child = F.struct((F.col("blocked") / F.greatest("labels", F.lit(1))).alias("share"), F.col("__segment").alias("segment"), "labels", "blocked")
     family = kept.groupBy("host", "template").agg(F.sort_array(F.collect_list(child)).alias("children"))
