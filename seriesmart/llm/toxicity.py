@@ -5,9 +5,10 @@ that tell the classes apart and gives the examples. Term statistics of the corpu
 the document frequencies in TF-IDF, are counted over every document.
 
 Examples stand in a block-max inverted index: postings are grouped into blocks of
-examples and each term keeps its largest weight in each block. A query adds these up
-to a bound per block, visits blocks from the highest bound down and stops when no
-block can still hold a nearer neighbour, so the neighbours found are exact.
+examples, one matrix each, and each term keeps its largest weight in each block. These
+give a bound per query and block. A batch of queries goes through its blocks together,
+each query's best block first, and leaves out blocks that can no longer hold a nearer
+neighbour, so the neighbours found are exact.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ from .staging import staged
 
 _WORD = re.compile(r"[^\W_]+")
 BLOCK = 64
+#: Queries searched together: a matrix of their cosines with all examples is held.
+TOGETHER = 256
 CACHED_QUERIES = 20_000
 CACHED_WORDS = 100_000
 # Lengths of word beginnings that are terms of their own.
@@ -91,9 +94,8 @@ class Index:
     weights: np.ndarray
     rate_without_terms: float
     prior: float
-    blocks: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    postings: dict[tuple[int, int], tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
-    block_count: int = 0
+    blocks: list[tuple[np.ndarray, np.ndarray]] = field(default_factory=list)
+    tops: np.ndarray = field(default_factory=lambda: np.zeros((0, 0)))
     curve: tuple[np.ndarray, np.ndarray] = (np.array([0.0, 1.0]), np.array([0.0, 1.0]))
 
     def vector(self, counts: Counter[int]) -> tuple[tuple[int, ...], np.ndarray]:
@@ -104,39 +106,71 @@ class Index:
         return (terms, w / norm) if norm else ((), w[:0])
 
     def fill(self, vectors: list[tuple[tuple[int, ...], np.ndarray]]) -> None:
-        """Group the vectors' postings by block and keep each term's largest weight there."""
-        held: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for row, (terms, w) in enumerate(vectors):
-            for t, x in zip(terms, w.tolist(), strict=True):
-                held.setdefault((t, row // BLOCK), []).append((row, x))
-        tops: dict[int, list[tuple[int, float]]] = {}
-        for (t, b), pairs in held.items():
-            self.postings[t, b] = (np.array([r % BLOCK for r, _ in pairs]), np.array([x for _, x in pairs]))
-            tops.setdefault(t, []).append((b, max(x for _, x in pairs)))
-        self.blocks = {t: (np.array([b for b, _ in top]), np.array([x for _, x in top])) for t, top in tops.items()}
-        self.block_count = -(-len(vectors) // BLOCK)
+        """Group the vectors' postings by block, as the block's terms and a matrix of
+        weights (terms by rows), and keep each term's largest weight in each block."""
+        self.blocks = []
+        self.tops = np.zeros((len(self.idf), -(-len(vectors) // BLOCK)))
+        for b in range(self.tops.shape[1]):
+            held = vectors[b * BLOCK : (b + 1) * BLOCK]
+            terms = np.unique(np.concatenate([np.array(t, np.int64) for t, _ in held]))
+            weights = np.zeros((len(terms), len(held)))
+            for row, (t, w) in enumerate(held):
+                weights[np.searchsorted(terms, np.array(t, np.int64)), row] = w
+            self.blocks.append((terms, weights))
+            self.tops[terms, b] = weights.max(axis=1, initial=0.0)
 
     def nearest(self, terms: tuple[int, ...], w: np.ndarray, k: int, without: int = -1) -> list[tuple[float, int]]:
         """The k rows of largest cosine above 0, nearest first, ties to the smaller row."""
-        bound = np.zeros(self.block_count)
-        for t, x in zip(terms, w, strict=True):
-            if t in self.blocks:
-                at, top = self.blocks[t]
-                bound[at] += x * top
-        found: list[tuple[float, int]] = []
-        for b in np.argsort(-bound, kind="stable"):
-            if bound[b] <= 0 or (len(found) == k and bound[b] < -found[-1][0] - 1e-12):
-                break
-            score = np.zeros(BLOCK)
-            for t, x in zip(terms, w, strict=True):
-                held = self.postings.get((t, int(b)))
-                if held:
-                    score[held[0]] += x * held[1]
-            rows = np.flatnonzero(score > 0)
-            # Cosines are rounded for ties: equal vectors are equally near whatever the order of sums.
-            found += [(-round(float(score[r]), 12), int(b) * BLOCK + int(r)) for r in rows if int(b) * BLOCK + r != without]
-            found = sorted(found)[:k]
-        return [(-s, r) for s, r in found]
+        return self.nearest_of([(terms, w)], k, [without])[0]
+
+    def nearest_of(
+        self, queries: list[tuple[tuple[int, ...], np.ndarray]], k: int, without: list[int] | None = None
+    ) -> list[list[tuple[float, int]]]:
+        """``nearest`` of many queries, ``TOGETHER`` at a time."""
+        found: list[list[tuple[float, int]]] = []
+        for at in range(0, len(queries), TOGETHER):
+            some = queries[at : at + TOGETHER]
+            found += self._nearest(some, k, without[at : at + TOGETHER] if without else [-1] * len(some))
+        return found
+
+    def _nearest(self, queries: list, k: int, without: list[int]) -> list[list[tuple[float, int]]]:
+        if not self.blocks:
+            return [[] for _ in queries]
+        dense = np.zeros((len(queries), len(self.idf)))
+        for i, (terms, w) in enumerate(queries):
+            dense[i, list(terms)] = w
+        bounds = dense @ self.tops
+        cosines = np.zeros((len(queries), len(self.blocks) * BLOCK))
+        best = np.zeros((len(queries), k))  # of each query the k largest cosines so far
+        left_out = np.array(without)
+
+        def visit(b: int, rows: np.ndarray) -> None:
+            terms, weights = self.blocks[b]
+            score = dense[np.ix_(rows, terms)] @ weights
+            here = np.flatnonzero(left_out[rows] // BLOCK == b)
+            score[here, left_out[rows[here]] % BLOCK] = 0.0
+            cosines[rows, b * BLOCK : b * BLOCK + score.shape[1]] = score
+            joined = np.concatenate([best[rows], score], axis=1)
+            best[rows] = np.partition(joined, joined.shape[1] - k, axis=1)[:, -k:]
+
+        first = bounds.argmax(axis=1)
+        for b in np.unique(first):
+            visit(int(b), np.flatnonzero((first == b) & (bounds[:, b] > 0)))
+        for b in np.argsort(-bounds.max(axis=0), kind="stable"):
+            # Cosines are rounded below; what a bound falls short by must be more than that.
+            open_ = (first != b) & (bounds[:, b] > 0) & (bounds[:, b] >= best.min(axis=1) - 1e-11)
+            if open_.any():
+                visit(int(b), np.flatnonzero(open_))
+
+        # Rounded for ties: equal vectors are equally near whatever the order of sums.
+        cosines = np.round(cosines, 12)
+        least = np.partition(cosines, cosines.shape[1] - k, axis=1)[:, -k] if cosines.shape[1] > k else np.zeros(len(queries))
+        out = []
+        for row, bound in zip(cosines, least, strict=True):
+            at = np.flatnonzero((row >= bound) & (row > 0))
+            at = at[np.lexsort((at, -row[at]))][:k]
+            out.append(list(zip(row[at].tolist(), at.tolist(), strict=True)))
+        return out
 
     def vote(self, near: list[tuple[float, int]]) -> float:
         """Share of the positive label among neighbours, each with its cosine squared and class weight."""
@@ -228,7 +262,8 @@ def learn(
     )
     vectors = [index.vector(c) for _, _, c in told]
     index.fill(vectors)
-    index.calibrate(np.array([index.vote(index.nearest(*v, limits.neighbours, without=i)) for i, v in enumerate(vectors)]))
+    near = index.nearest_of(vectors, limits.neighbours, list(range(len(vectors))))
+    index.calibrate(np.array([index.vote(n) for n in near]))
     return index
 
 
@@ -344,19 +379,18 @@ def annotate(docs: DataFrame, index: Index, neighbours: int = Limits.neighbours,
         known = Known(index.vocabulary)
         for whole in batches:
             for batch in parts(whole, text):
-                scores, evidence = [], []
-                for t in batch[text].to_pylist():
-                    counts = known.counts(t)
-                    key = tuple(sorted(counts.items()))
-                    if key not in cache:
-                        if len(cache) >= CACHED_QUERIES:
-                            cache.clear()
-                        near = index.nearest(*index.vector(counts), neighbours) if counts else []
-                        cache[key] = (index.score(near), [
-                            {"doc_id": index.ids[r], "label": int(index.labels[r]), "cosine": s} for s, r in near[:3]
-                        ])
-                    scores.append(cache[key][0])
-                    evidence.append(cache[key][1])
+                counts = [known.counts(t) for t in batch[text].to_pylist()]
+                keys = [tuple(sorted(c.items())) for c in counts]
+                if len(cache) + len(keys) > CACHED_QUERIES:
+                    cache.clear()
+                new = {key: c for key, c in zip(keys, counts, strict=True) if key not in cache}
+                # A text without terms has no vector and so no neighbours.
+                near = index.nearest_of([index.vector(c) for c in new.values()], neighbours)
+                for key, n in zip(new, near, strict=True):
+                    cache[key] = (index.score(n), [
+                        {"doc_id": index.ids[r], "label": int(index.labels[r]), "cosine": s} for s, r in n[:3]
+                    ])
+                scores, evidence = [cache[key][0] for key in keys], [cache[key][1] for key in keys]
                 yield pa.RecordBatch.from_arrays(
                     [*batch.columns, pa.array(scores, pa.float64()), pa.array(evidence, kind)],
                     [*batch.schema.names, "toxicity", "toxicity_evidence"],

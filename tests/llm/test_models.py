@@ -1,6 +1,7 @@
 """Toxicity, neighbours, urls and the pipeline against brute force, held-out labels and odd rows."""
 
 import random
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -60,6 +61,57 @@ def test_toxicity_of_held_out_documents(spark):
     assert sum(r.predicted and not labels[r.doc_id] for r in held) <= 0.02 * len(held)
 
 
+def test_op6_scores_match_brute_force_on_whole_documents(spark):
+    """Every score from all cosines with all examples, without bounds, blocks or caches."""
+    from seriesmart.llm.staging import ship
+
+    ship(spark)
+    docs, labels = (spark.read.parquet(f"{FOLDER}/{n}.parquet") for n in ("documents", "labels"))
+    index = toxicity.learn(docs, labels, ~queries.held_out())
+    size, every = len(index.vocabulary) + 1, []
+    for terms, weights in index.blocks:
+        for column in weights.T:
+            row = np.zeros(size)
+            row[terms] = column
+            every.append(row)
+    assert len(every) == len(index.ids) and np.linalg.norm(every, axis=1) == pytest.approx(1.0)
+    got = {r.doc_id: r.score for r in queries.QUERIES["op6_toxicity"](spark, FOLDER).collect()}
+    rows = rows_of("documents")
+    assert len(got) == len(rows)
+    for doc_id, text, *_ in rows:
+        vector, told = np.zeros(size), False
+        for word in re.findall(r"[^\W_]+", (text or "").lower()):
+            here = [t for t in {word, *(word[:n] + "*" for n in (4, 6) if len(word) > n)} if t in index.vocabulary]
+            told |= bool(here)
+            for t in here:
+                vector[index.vocabulary[t]] += 1
+            vector[-1] += not here
+        if not told:
+            assert got[doc_id] == pytest.approx(index.rate_without_terms)
+            continue
+        vector = np.where(vector > 0, 1 + np.log(np.maximum(vector, 1)), 0) * index.idf
+        cosines = np.round(np.array(every) @ (vector / np.linalg.norm(vector)), 12)
+        near = [r for r in np.lexsort((np.arange(len(every)), -cosines)) if cosines[r] > 0][: toxicity.Limits.neighbours]
+        if not near:
+            assert got[doc_id] == pytest.approx(index.rate_without_terms)
+            continue
+        w = cosines[near] ** 2 * index.weights[near]
+        vote = (w @ index.labels[near] + 0.05 * w.mean() * index.prior) / (w.sum() + 0.05 * w.mean())
+        assert got[doc_id] == pytest.approx(float(np.interp(vote, *index.curve)), abs=1e-9)
+
+
+def test_repeated_ids_and_equal_distances(spark, docs):
+    """Rows of one id are scored each by its own text; equally near examples are taken by place."""
+    table = docs((1, "vile brute"), (1, "calm day"), (1, "vile brute"), *((i, "vile brute") for i in range(2, 40)), *((i, "calm day") for i in range(40, 80)))
+    label = spark.createDataFrame([(i, int(i < 40)) for i in range(2, 80)], "doc_id long, toxic int")
+    index = toxicity.learn(table, label, limits=toxicity.Limits(least_evidence=0.5))
+    scored = toxicity.annotate(table, index).collect()
+    by = {}
+    for r in scored:
+        by.setdefault(r.text, set()).add(r.toxicity)
+    assert len(scored) == 81 and all(len(v) == 1 for v in by.values()) and max(by["vile brute"]) > max(by["calm day"])
+
+
 def test_toxicity_of_odd_rows(spark, docs):
     table = docs("you idiot there", None, "", "a calm day", "idiot " * 3000).withColumn("toxicity", F.lit("x"))
     label = "doc_id long, toxic int"
