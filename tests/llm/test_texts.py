@@ -168,6 +168,56 @@ def test_one_more_shard_takes_rows_only_into_itself(spark):
         sharding.shard_of(F.col("k"), [1.0, 0.0])
 
 
+def test_op3_on_odd_rows(spark, docs, tmp_path):
+    """Null and empty texts, repeated rows, a null id, clashing columns, and no rows at all."""
+    rows = [(1, None), (2, ""), (3, "é"), (3, "é"), (3, "other"), (None, "x"), (4, "é" * 50_000)]
+    table = docs(*rows).withColumn("shard", F.lit("taken")).withColumn("__tie", F.lit(7)).withColumn("slot", F.lit(-1))
+    table.write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.QUERIES["op3_rendezvous_shards"](spark, str(tmp_path)).collect()
+    seen = [(r.doc_id, r.size, r.text_crc32) for r in got]
+    expected = [(i, len((x or "").encode()) + 1, zlib.crc32((x or "").encode())) for i, x in rows]
+    assert sorted(seen, key=repr) == sorted(expected, key=repr)
+    assert len({(r.shard, r.grown_shard) for r in got if r.doc_id == 3}) == 1
+    assert all(r.grown_shard in (r.shard, 8) for r in got)
+    for shard in {r.shard for r in got}:
+        assert sorted(r.slot for r in got if r.shard == shard) == list(range(sum(r.shard == shard for r in got)))
+    table.limit(0).write.parquet(f"{tmp_path}/none/documents.parquet")
+    assert queries.QUERIES["op3_rendezvous_shards"](spark, f"{tmp_path}/none").count() == 0
+
+
+def test_op2_against_one_stream_on_whole_documents(spark, tmp_path):
+    """The query against one stream cut in order: every sequence once, with its documents, and records where slots say."""
+    from seriesmart.llm.staging import ship
+
+    ship(spark)
+    got = queries.QUERIES["op2_training_order"](spark, FOLDER).collect()
+    coding = training_order.rank_coder(public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    held = {i: np.frombuffer(coding.raw(x or ""), coding.kind).tolist() + [coding.end] for i, x in texts().items()}
+    total = sum(map(len, held.values()))
+    count = -(-total // 1024)
+    assert sorted(r.seq for r in got) == sorted(r.slot for r in got) == list(range(count))
+    assert sum(r.n_tokens for r in got) == total
+    # The documents' order in the stream is that in which sequences name them.
+    order = list(dict.fromkeys(i for r in sorted(got, key=lambda r: r.seq) for i in r.doc_ids))
+    assert sorted(order) == sorted(held)
+    stream = [(token, i) for i in order for token in held[i]]
+    slots = training_order.feistel(np.arange(count), count, 20_240_601).tolist()
+    stride = 1024 * coding.kind.itemsize + 2
+    for r in got:
+        cut = stream[r.seq * 1024 : (r.seq + 1) * 1024]
+        record = np.array([x for x, _ in cut] + [coding.end] * (1024 - len(cut)), coding.kind).tobytes()
+        assert r.slot == slots[r.seq] and r.shard == r.slot // 4096 and r.byte_offset == r.slot % 4096 * stride
+        assert r.doc_ids == list(dict.fromkeys(i for _, i in cut)) and r.ids_crc32 == zlib.crc32(record)
+
+
+def test_lines_of_rows_without_an_id_hold_none(docs):
+    """A row without an id keeps a line that a known row has, and takes it from none."""
+    line = "a line of quite some length that stands twice"
+    out = fuzzy_lines.dedup_lines(docs((None, line), (5, line), (6, line + "\nown words of the sixth row"))).collect()
+    by = {r.doc_id: (r.text, r.dropped) for r in out}
+    assert by == {None: (line, []), 5: (line, []), 6: ("own words of the sixth row", [0])}
+
+
 def test_op3_against_its_law(spark):
     rows = queries.QUERIES["op3_rendezvous_shards"](spark, FOLDER).collect()
     known = texts()
