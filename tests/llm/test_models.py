@@ -419,3 +419,27 @@ def test_pipeline_stages(spark):
     assert leaking <= gone and len(gone - leaking) <= 2
     assert set(kept["sentencepiece"]) == set(kept["decontamination"])
     assert all(r.round_trip and len(r.tokens) == r.n_tokens for r in kept["sentencepiece"].values())
+
+
+CLEAN = " ".join(f"plain{i}" for i in range(40))
+ROWS = [(0, CLEAN), (1, None), (2, ""), (3, " \n\t "), (4, "x" * 200_000), (5, " ".join(f"many{i}" for i in range(20_000))),
+        (6, " ".join(f"twice{i}" for i in range(40))), (6, " ".join(f"twice{i}" for i in range(40))), (None, None), (None, "nobody's words are kept too")]
+
+
+@pytest.mark.parametrize("name,stage", corpus_pipeline.STAGES)
+def test_stages_on_odd_rows(spark, docs, name, stage):
+    """Nulls, empty and very long texts, repeated rows, no rows, and columns with the names of results."""
+    table = docs(*ROWS)
+    for c in ("toxicity", "dropped", "n_lines", "contaminated", "matched", "tokens", "decoded", "key"):
+        table = table.withColumn(c, F.lit("taken"))
+    before = [tuple(r) for r in table.select(*corpus_pipeline.COLUMNS).collect()]
+    out = stage(spark, table, FOLDER)
+    if name == "sentencepiece":
+        rows = out.collect()
+        assert len(rows) == len(ROWS) and all(r.n_tokens == len(r.tokens) >= 1 for r in rows)
+    else:
+        assert out.columns == list(corpus_pipeline.COLUMNS)
+        kept = [tuple(r) for r in out.collect()]
+        # Rows equal in id and text are one document: they stay, or go, together.
+        assert sorted(kept, key=repr) == sorted(before, key=repr)
+    assert stage(spark, table.limit(0), FOLDER).count() == 0
