@@ -37,7 +37,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the smallest id, of each group of near duplicates."""
+    """One document, that of the smallest id, of each group of near duplicates.
+
+    Null texts and texts without words are like nothing and stay, as do rows without an
+    id. Rows of one id stay or go together. No rows give no rows.
+    """
     ship(spark)
     judged = minhash_docs.near_duplicates(docs)
     gone = staged(judged.where("NOT kept").select("doc_id").distinct(), "near-duplicates")
@@ -51,7 +55,11 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every kept text, and whether decoding them gives the text again."""
+    """Token ids of every kept text, and whether decoding them gives the text again.
+
+    Null and empty texts have the end id alone; repeated rows are encoded each. Other
+    columns than those of documents are not read. No rows give no rows.
+    """
     ship(spark)
     model = vocabulary("piece_bpe_32k.model")
     encoded = piece_bpe.encode(docs.select(*COLUMNS), model)
