@@ -115,6 +115,8 @@ SELECT doc_id, size, text_crc32, law, shard, row_number() OVER (PARTITION BY sha
 FROM sharded""",
 )
 def op3_rendezvous_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards and slots of every row, repeated ones too; null ids are one key, null texts
+    empty ones. Other columns are not read; an empty table gives no rows."""
     docs = table(spark, sf_dir, "documents")
     text = F.coalesce("text", F.lit(""))
     sharded = docs.select(
