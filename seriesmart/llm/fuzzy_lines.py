@@ -1,113 +1,229 @@
-"""Line de-duplication by MinHash over character shingles, DataFrame functions only.
+"""Line de-duplication by MinHash over character shingles.
 
 A line's shingles are the strings of ``WIDTH`` characters at every position of the
-lower-cased line; a shorter line is one shingle. Equal lines meet by a 64-bit hash
-of their words, and only distinct lines are cut into shingles.
-
-The signature, 24 minima in 8 bands of 3, is one aggregate over exploded shingles:
-minima of the shingle hash exclusive-or a constant each. Members of a band bucket are
-compared with the bucket's smallest line, later with its largest; pairs whose signatures agree are verified by
-exact Jaccard similarity of their shingle sets. Lines of buckets that hold several
-components even then go through an exact prefix join. Linked lines form components,
-of which the first line stays.
+lower-cased line; a shorter line is one shingle. Equal lines meet by a 64-bit hash.
+
+1. One pass in Arrow tasks signs every line: ``SLOTS`` minima in bands of ``ROWS``, and a
+   sketch of one bit a slot. No text goes through a shuffle here.
+2. (band, line) rows are sorted by ranges, so a hot band is spread over tasks. Lines of
+   one band whose sketches agree propose one partner each; lines that agree with none of
+   another component leave. Proposed pairs are verified on full shingle sets, over
+   several turns with other partners.
+3. Lines that agree with one of another component even then go through an exact prefix
+   join. Linked lines form components, of which the first line stays.
+
+DataFrame functions alone could not keep to the budget with whole results; README has
+the figures.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from .minhash_docs import band_keys
+from .piece_bpe import parts
 from .prefix_join import similar_prefixes
 from .shingles import mixed
-from .staging import components, drop_staged, staged, staged_count
+from .staging import components, drop_staged, ship, staged, staged_count
 
 WIDTH = 5
 #: Characters of a line that are cut at a time: finding a character takes time by its place.
 PIECE = 256
-BANDS, ROWS = 8, 3
+BANDS, ROWS = 15, 5
+SLOTS = BANDS * ROWS
+#: Bits in which two sketches of 64 may differ. At a similarity of 0.8, 6.4 do on average,
+#: and more than this with 3e-6.
+APART = 19
 #: Shingles whose numbers of lines are broadcast, at 16 bytes each.
 FREQUENT = 65_536
-#: Slots of 24 in which the signatures of a pair must agree before its sets are compared.
-#: At a similarity of 0.8, 19.2 do on average, and fewer than this with 4e-6.
-AGREEING = 10
-
-
-def _constants(n: int) -> list[int]:
-    """Fixed 32-bit constants, spread by the hash of their number."""
-    return [int(x) for x in mixed(np.arange(1, n + 1, dtype=np.uint64)).astype(np.uint32).view(np.int32)]
-
-
-def words(line: Column) -> Column:
-    """Lower-cased pieces between single spaces."""
-    return F.split(F.lower(F.trim(line)), " ")
-
-
-def _pieces(line: Column) -> Column:
-    """The lower-cased line in pieces that share ``WIDTH - 1`` characters, so that every
-    shingle lies in just one of them."""
-    cut = F.split(F.regexp_replace(F.lower(F.trim(line)), rf"(?s)(.{{{PIECE}}})(?=.)", "$1\n"), "\n")
-    joined = F.transform(cut, lambda x, i: F.concat(x, F.coalesce(F.substring(F.get(cut, i + 1), 1, WIDTH - 1), F.lit(""))))
-    return F.filter(joined, lambda x, i: (i == 0) | (F.length(x) >= WIDTH))
-
-
-def _places(piece: Column) -> Column:
-    return F.sequence(F.lit(1), F.greatest(F.length(piece) - (WIDTH - 1), F.lit(1)))
+#: Lines of one band that meet in a task; a band of more is cut into blocks.
+BLOCK = 1_024
+#: Turns in which lines of a band propose partners before the exact join.
+TURNS = 4
+#: Bytes of lines that are signed at a time, and lines a task remembers as signed.
+PART, SEEN = 1 << 18, 200_000
+#: Stands for what a line lacks in length: no valid text holds it.
+PAD = "\ud800"
+
+_POWERS = mixed(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
+_FACTORS = (mixed(np.arange(100, 100 + SLOTS, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
+
+
+def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the shingles of lower-cased lines, one behind the other, and how
+    many each line has."""
+    padded = [x if len(x) >= WIDTH else x.ljust(WIDTH, PAD) for x in lines]
+    lengths = np.fromiter(map(len, padded), np.int64, len(padded))
+    codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    count = len(codes) - WIDTH + 1
+    rolled = codes[:count] * _POWERS[0]
+    for k in range(1, WIDTH):
+        rolled += codes[k : count + k] * _POWERS[k]
+    inside, ends = np.ones(len(codes), bool), np.cumsum(lengths)
+    for k in range(1, WIDTH):
+        inside[ends - k] = False
+    return mixed(rolled[inside[:count]]), lengths - (WIDTH - 1)
+
+
+def minima(lines: list[str]) -> np.ndarray:
+    """``SLOTS`` 32-bit minima of each line."""
+    hashes, counts = shingle_hashes(lines)
+    short, starts = (hashes >> np.uint64(32)).astype(np.uint32), np.cumsum(counts) - counts
+    out, turned = np.empty((len(lines), SLOTS), np.uint32), np.empty_like(short)
+    for i, factor in enumerate(_FACTORS):
+        np.multiply(short, factor, out=turned)
+        out[:, i] = np.minimum.reduceat(turned, starts)
+    return out
 
 
 def lines_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     """doc, version, n, line, key of every line with more than white space in rows with an id.
 
-    ``version`` is a hash of the row's text: it tells rows of one id apart."""
+    ``line`` is lower-cased and without spaces at its ends. ``version`` is a hash of the
+    row's text: it tells rows of one id apart."""
     cut = docs.where(F.col(id_col).isNotNull()).select(
         F.col(id_col).cast("long").alias("doc"), F.xxhash64(text).alias("version"),
         F.posexplode(F.split(F.col(text), "\n")).alias("n", "line"),
     )
-    return cut.where(~F.col("line").rlike(r"^\s*$")).withColumn(
-        "key", F.xxhash64(words(F.col("line")))
+    lowered = cut.where(~F.col("line").rlike(r"^\s*$")).withColumn("line", F.lower(F.trim("line")))
+    return lowered.withColumn("key", F.xxhash64("line"))
+
+
+def signed(lines: DataFrame) -> DataFrame:
+    """doc, version, n, key of every line; sketch and bands where its task meets the line first."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set[int] = set()
+        for whole in batches:
+            for batch in parts(whole, "line", PART):
+                keys = batch["key"].to_numpy()
+                firsts = np.sort(np.unique(keys, return_index=True)[1])
+                fresh = np.array([i for i in firsts.tolist() if int(keys[i]) not in seen], np.int64)
+                if len(seen) > SEEN:
+                    seen.clear()
+                seen.update(keys[fresh].tolist())
+                has, sketch, bands = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64), np.empty(0, np.int64)
+                if len(fresh):
+                    has[fresh] = True
+                    values = minima(batch["line"].take(pa.array(fresh)).to_pylist())
+                    sketch[fresh] = np.packbits((values[:, :64] >> np.uint32(7)) & np.uint32(1) > 0, axis=1).view(np.int64)[:, 0]
+                    bands = band_keys(values.astype(np.uint64), ROWS).reshape(-1)
+                offsets = np.concatenate([[0], np.cumsum(has)]).astype(np.int32) * BANDS
+                yield pa.RecordBatch.from_arrays(
+                    [batch["doc"], batch["version"], batch["n"], batch["key"], pa.array(sketch),
+                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands))],
+                    ["doc", "version", "n", "key", "sketch", "bands"],
+                )
+
+    return lines.select("doc", "version", "n", "key", "line").mapInArrow(
+        run, "doc long, version long, n int, key long, sketch long, bands array<long>"
     )
 
 
-def signatures(lines: DataFrame) -> DataFrame:
-    """key and its signature (array of minima), one row per distinct line."""
-    shingled = (
-        lines.select("key", F.explode(_pieces(F.col("line"))).alias("piece"))
-        .select("key", "piece", F.explode(_places(F.col("piece"))).alias("at"))
-        .select("key", F.hash(F.substring(F.col("piece"), F.col("at"), F.lit(WIDTH))).alias("h"))
-    )
-    minima = [F.min(F.col("h").bitwiseXOR(F.lit(c))).alias(f"m{i}") for i, c in enumerate(_constants(BANDS * ROWS))]
-    return shingled.groupBy("key").agg(*minima).select("key", F.array(*[f"m{i}" for i in range(BANDS * ROWS)]).alias("signature"))
+def meetings(members: DataFrame, turn: int) -> DataFrame:
+    """Of (band, key, sketch, component): the lines that agree with one of another component
+    in their band, with such a ``partner``; another turn picks another one.
 
+    Rows are dealt out by ranges of (band, key) and met in blocks. Lines of a band that
+    lies in several blocks or ranges all stay, with ``edge`` set.
+    """
+    width = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+
+    def met(rows: np.ndarray, edges: np.ndarray) -> pa.RecordBatch:
+        band, key, sketch, component = rows
+        partner, found = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
+        sizes = np.diff(np.concatenate([starts, [len(band)]]))
+        edge = np.repeat(np.isin(band[starts], edges) | (sizes > BLOCK), sizes)
+        two = starts[sizes == 2]
+        apart = np.bitwise_count((sketch[two] ^ sketch[two + 1]).view(np.uint64))
+        two = two[(apart <= APART) & (component[two] != component[two + 1])]
+        for here, there in ((two, two + 1), (two + 1, two)):
+            found[here], partner[here] = True, key[there]
+        many = sizes > 2
+        for start, size in zip(starts[many].tolist(), sizes[many].tolist(), strict=True):
+            for at in range(start, start + size, BLOCK):
+                block = slice(at, min(at + BLOCK, start + size))
+                bits, label = sketch[block].view(np.uint64), component[block]
+                agree = (np.bitwise_count(bits[:, None] ^ bits[None, :]) <= APART) & (label[:, None] != label[None, :])
+                shift = turn * len(bits) // TURNS
+                pick = (np.roll(agree, -shift, 1).argmax(1) + shift) % len(bits)
+                found[block], partner[block] = agree.any(1), key[block][pick]
+        stay = found | edge
+        return pa.RecordBatch.from_arrays(
+            [pa.array(band[stay]), pa.array(key[stay]), pa.array(sketch[stay]), pa.array(component[stay]),
+             pa.array(partner[stay], mask=~found[stay]), pa.array(edge[stay])],
+            ["band", "key", "sketch", "component", "partner", "edge"],
+        )
 
-def _bands(signature: Column) -> Column:
-    return F.array(*[F.xxhash64(F.lit(b), *[signature[b * ROWS + r] for r in range(ROWS)]) for b in range(BANDS)])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, edges = np.empty((4, 0), np.int64), []
+        for batch in batches:
+            rows = np.stack([batch[c].to_numpy() for c in ("band", "key", "sketch", "component")])
+            if not rows.shape[1]:
+                continue
+            held = np.concatenate([held, rows], 1)
+            again = (held[0, 1:] == held[0, :-1]) & (held[1, 1:] == held[1, :-1])
+            held = held[:, np.concatenate([[True], ~again])]
+            edges = edges or [held[0, 0]]
+            whole = int(np.searchsorted(held[0], held[0, -1]))  # the last band may go on
+            if whole:
+                yield met(held[:, :whole], np.array(edges))
+                held, edges = held[:, whole:], edges[-1:]
+            if held.shape[1] >= 8 * BLOCK:
+                edges.append(held[0, 0])
+                yield met(held[:, :-1], np.array(edges))
+                held = held[:, -1:]
+        if held.shape[1]:
+            yield met(held, np.array([*edges, held[0, -1]]))
 
+    return (
+        members.select("band", "key", "sketch", "component")
+        .repartitionByRange(width, "band", "key").sortWithinPartitions("band", "key")
+        .mapInArrow(run, "band long, key long, sketch long, component long, partner long, edge boolean")
+    )
 
-def _set(line: Column) -> Column:
-    """The distinct shingles of a line: one pass of a pattern that looks ahead and moves on by a character."""
-    low = F.lower(F.trim(line))
-    found = F.regexp_extract_all(low, F.lit(rf"(?s)(?=(.{{{WIDTH}}}))."), F.lit(1))
-    return F.when(F.length(low) < WIDTH, F.array(low)).otherwise(F.array_distinct(found))
 
+def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of lines whose shingle sets are as similar as ``percent``; ``texts``
+    holds key and line."""
+    a = texts.select(F.col("key").alias("a"), F.col("line").alias("a_line"))
+    b = texts.select(F.col("key").alias("b"), F.col("line").alias("b_line"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for batch in parts(whole, "b_line", 1 << 20):
+                firsts, seconds = batch["a"].to_pylist(), batch["b"].to_pylist()
+                lines = dict(zip(firsts, batch["a_line"].to_pylist(), strict=True))
+                lines.update(zip(seconds, batch["b_line"].to_pylist(), strict=True))
+                hashes, counts = shingle_hashes(list(lines.values()))
+                sets = dict(zip(lines, map(np.unique, np.split(hashes, np.cumsum(counts)[:-1])), strict=True))
+                keep = []
+                for x, y in zip(firsts, seconds, strict=True):
+                    one, other = sets[x], sets[y]
+                    both = np.sort(np.concatenate([one, other]), kind="stable")
+                    common = int((both[1:] == both[:-1]).sum())
+                    keep.append((100 + percent) * common >= percent * len(both))
+                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    joined = pairs.join(b, "b").join(a, "a").select("a", "b", "a_line", "b_line")
+    return joined.mapInArrow(run, "a long, b long")
 
-def verified(pairs: DataFrame, texts: DataFrame, percent: int, agreeing: int = AGREEING) -> DataFrame:
-    """Pairs (a, b) of lines whose shingle sets are as similar as ``percent``.
 
-    ``texts`` holds key, signature and line. Sets are made where they are compared, as
-    they take eight times the room of their line. Pairs whose signatures agree in fewer
-    than ``agreeing`` slots are left out before.
-    """
-    a = texts.select(F.col("key").alias("a"), F.col("signature").alias("a_signature"), F.col("line").alias("a_line"))
-    b = texts.select(F.col("key").alias("b"), F.col("signature").alias("b_signature"), F.col("line").alias("b_line"))
-    same = [F.when(F.col("a_signature")[i] == F.col("b_signature")[i], 1).otherwise(0) for i in range(BANDS * ROWS)]
-    near = pairs.join(a, "a").join(b, "b").where(sum(same[1:], same[0]) >= agreeing)
+def _pieces(line: Column) -> Column:
+    """The line in pieces that share ``WIDTH - 1`` characters, so that every shingle lies in
+    just one of them."""
+    cut = F.split(F.regexp_replace(line, rf"(?s)(.{{{PIECE}}})(?=.)", "$1\n"), "\n")
+    joined = F.transform(cut, lambda x, i: F.concat(x, F.coalesce(F.substring(F.get(cut, i + 1), 1, WIDTH - 1), F.lit(""))))
+    return F.filter(joined, lambda x, i: (i == 0) | (F.length(x) >= WIDTH))
 
-    def similar(sets: Column) -> Column:
-        common = F.size(F.array_intersect(sets["a"], sets["b"]))
-        return (100 + percent) * common >= percent * (F.size(sets["a"]) + F.size(sets["b"]))
 
-    # The element of a one-element array is bound once; a plain expression would be made anew at each use.
-    both = F.array(F.struct(_set(F.col("a_line")).alias("a"), _set(F.col("b_line")).alias("b")))
-    return near.where(F.exists(both, similar)).select("a", "b")
+def _places(piece: Column) -> Column:
+    return F.sequence(F.lit(1), F.greatest(F.length(piece) - (WIDTH - 1), F.lit(1)))
 
 
 def _prefixes(lines: DataFrame, percent: int) -> DataFrame:
@@ -138,60 +254,80 @@ def _prefixes(lines: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def line_components(lines: DataFrame, percent: int = 80) -> DataFrame:
-    """id, component for every distinct line (by key) that is linked to another one."""
-    distinct = staged(lines.select("key", "line").dropDuplicates(["key"]), "distinct")
-    signed = staged(signatures(distinct), "signatures")
-    banded = signed.select("key", F.explode(_bands(F.col("signature"))).alias("band"))
-    buckets = staged(
-        banded.groupBy("band").agg(F.min("key").alias("low"), F.max("key").alias("high")).where("low != high"), "buckets"
-    )
-    held = staged(banded.join(buckets, "band"), "members")
-    drop_staged(buckets)
-    # Only lines in a bucket with another one are needed further.
-    texts = staged(distinct.join(held.select("key").distinct(), "key", "left_semi").join(signed, "key"), "texts")
-    drop_staged(distinct)
-    drop_staged(signed)
-    pairs = staged(held.where("key != low").select(F.col("low").alias("a"), F.col("key").alias("b")).distinct(), "pairs")
-    grouped = staged(components(verified(pairs, texts, percent)), "components")
-
-    def mixed_buckets() -> DataFrame:
-        """Members of buckets that hold several components, with their component."""
-        labelled = held.join(grouped.withColumnRenamed("id", "key"), "key", "left").withColumn(
+def line_components(occurrences: DataFrame, lines: DataFrame, percent: int = 80) -> DataFrame:
+    """id, component for every distinct line (by key) that is linked to another one.
+
+    ``occurrences`` comes from ``signed`` and is read more than once; ``lines`` holds key
+    and line.
+    """
+    members = occurrences.select("key", "sketch", F.explode("bands").alias("band")).withColumn("component", F.col("key"))
+    texts = grouped = None
+    tried: list[DataFrame] = []
+
+    def labelled(rows: DataFrame) -> DataFrame:
+        if grouped is None:
+            return rows
+        return rows.drop("component").join(grouped.withColumnRenamed("id", "key"), "key", "left").withColumn(
             "component", F.coalesce("component", "key")
         )
-        spans = labelled.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
-        return labelled.join(spans.select("band"), "band", "left_semi")
 
-    def joined(more: DataFrame, agreeing: int) -> DataFrame:
-        """Components after the links among further pairs."""
+    def grown(links: DataFrame) -> DataFrame:
+        """Components after further links."""
+        if grouped is None:
+            return staged(components(links), "components")
         stars = grouped.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        return staged(components(stars.union(verified(more, texts, percent, agreeing))), "components")
-
-    # Their members against the largest line too.
-    more, n = staged_count(
-        mixed_buckets().where("key != high")
-        .select(F.col("high").alias("a"), F.col("key").alias("b")).distinct()
-        .join(pairs.select(F.col("a").alias("b"), F.col("b").alias("a")), ["a", "b"], "left_anti"),
-        "pairs",
+        return staged(components(stars.union(links)), "components")
+
+    for turn in range(TURNS + 1):
+        met = staged(meetings(labelled(members), turn), "met")
+        if turn:
+            drop_staged(members)
+        members = met.select("band", "key", "sketch", "component")
+        # A band that lies in several blocks has one hub more, its smallest line.
+        edges = met.where("edge")
+        hubs = edges.groupBy("band").agg(
+            F.min(F.struct("key", "sketch", "component")).alias("hub"),
+            F.min("component").alias("c0"), F.max("component").alias("c1"),
+        ).where("c0 != c1")
+        astray = edges.join(hubs, "band")
+        proposed = met.where("partner IS NOT NULL").select("key", "partner").union(
+            astray.where("component != hub.component").where(f"bit_count(sketch ^ hub.sketch) <= {APART}").selectExpr("key", "hub.key AS partner")
+        ).select(F.least("key", "partner").alias("a"), F.greatest("key", "partner").alias("b")).distinct()
+        for before in tried:
+            proposed = proposed.join(before, ["a", "b"], "left_anti")
+        pairs, n = staged_count(proposed, "pairs")
+        if not n or turn == TURNS:
+            drop_staged(pairs)
+            break
+        tried.append(pairs)
+        if texts is None:
+            # Only lines that agree with another one are needed by their text.
+            texts = staged(lines.join(met.select("key").distinct(), "key", "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
+        links, n = staged_count(verified(pairs, texts, percent), "links")
+        if n:
+            grouped = grown(links)
+    # What is left: every link between components among the lines that still agree with another one.
+    rest, n = staged_count(
+        met.where("partner IS NOT NULL").select(F.col("key").alias("id"), "component")
+        .union(astray.select(F.col("key").alias("id"), "component")).distinct(),
+        "rest",
     )
-    drop_staged(pairs)
-    if n:
-        grouped = joined(more, AGREEING)
-    drop_staged(more)
-    # What is left: every link between components among the lines of mixed buckets.
-    rest, n = staged_count(mixed_buckets().select(F.col("key").alias("id"), "component").distinct(), "rest")
-    drop_staged(held)
     if n:
+        if texts is None:
+            texts = staged(lines.join(rest.select(F.col("id").alias("key")), "key", "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
         prefixes = staged(_prefixes(texts.join(rest.withColumnRenamed("id", "key"), "key"), percent), "prefixes")
-        last, n = staged_count(similar_prefixes(prefixes, percent), "pairs")
+        last = similar_prefixes(prefixes, percent)
+        for before in tried:
+            last = last.join(before, ["a", "b"], "left_anti")
+        last = staged(last, "pairs")
         drop_staged(prefixes)
-        if n:
-            grouped = joined(last, 0)  # exact
+        links, n = staged_count(verified(last, texts, percent), "links")
         drop_staged(last)
-    drop_staged(rest)
-    drop_staged(texts)
-    return grouped
+        if n:
+            grouped = grown(links)
+    for spent in [met, rest, *tried, *([] if texts is None else [texts])]:
+        drop_staged(spent)
+    return grouped if grouped is not None else rest.sparkSession.createDataFrame([], "id long, component long")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
@@ -199,11 +335,12 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", p
     of their component, in the order of document id, text hash and line number."""
     lines = lines_of(docs, id_col, text)
     place = ("doc", "version", "n")
-    occurrences = staged(lines.select("key", *place), "lines")
+    ship(docs.sparkSession)
+    occurrences = staged(signed(lines), "lines")
     first = occurrences.groupBy("key").agg(
         F.min(F.struct(*place)).alias("first"), F.count("*").alias("times")
     )
-    grouped = line_components(lines, percent).withColumnRenamed("id", "key")
+    grouped = line_components(occurrences, lines, percent).withColumnRenamed("id", "key")
     # Only lines that repeat or are linked can be dropped.
     judged = staged(
         first.join(grouped, "key", "left").where("times > 1 OR component IS NOT NULL")
