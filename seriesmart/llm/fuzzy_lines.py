@@ -5,12 +5,13 @@ lower-cased line; a shorter line is one shingle. Equal lines meet by a 64-bit ha
 
 1. One pass in Arrow tasks signs every line: ``SLOTS`` minima in bands of ``ROWS``, and a
    sketch of one bit a slot. No text goes through a shuffle here.
-2. (band, line) rows are sorted by ranges, so a hot band is spread over tasks. Lines of
-   one band whose sketches agree propose one partner each; lines that agree with none of
-   another component leave. Proposed pairs are verified on full shingle sets, over
-   several turns with other partners.
-3. Lines that agree with one of another component even then go through an exact prefix
-   join. Linked lines form components, of which the first line stays.
+2. (band, line) rows are sorted by ranges, so a hot band is spread over tasks. A line
+   names lines of its band whose sketches agree with its own; such pairs are verified on
+   full shingle sets. A line that has named all it agrees with is settled in this band,
+   others name further ones in the next turn.
+3. Lines that are not settled after the last turn, in bands of several components, go
+   through an exact prefix join. Linked lines form components, of which the first line
+   stays.
 
 DataFrame functions alone could not keep to the budget with whole results; README has
 the figures.
@@ -42,8 +43,9 @@ APART = 19
 FREQUENT = 65_536
 #: Lines of one band that meet in a task; a band of more is cut into blocks.
 BLOCK = 1_024
-#: Turns in which lines of a band propose partners before the exact join.
-TURNS = 4
+#: Turns in which lines of a band name partners before the exact join, and how many partners
+#: a line may name in each but the first; a line of more is crowded and goes on to the next.
+TURNS, FEW = 4, 8
 #: Bytes of lines that are signed at a time, and lines a task remembers as signed.
 PART, SEEN = 1 << 18, 200_000
 #: Stands for what a line lacks in length: no valid text holds it.
@@ -125,39 +127,47 @@ def signed(lines: DataFrame) -> DataFrame:
 
 
 def meetings(members: DataFrame, turn: int) -> DataFrame:
-    """Of (band, key, sketch, component): the lines that agree with one of another component
-    in their band, with such a ``partner``; another turn picks another one.
+    """Of (band, key, sketch, component): the lines that agree with some of another component
+    in their band, with ``partners`` to be compared with.
 
-    Rows are dealt out by ranges of (band, key) and met in blocks. Lines of a band that
-    lies in several blocks or ranges all stay, with ``edge`` set.
+    A line with more of them than the turn names keeps ``crowded`` set and names one,
+    another one each turn. Rows are dealt out by ranges of (band, key) and met in blocks;
+    lines of a band that lies in several blocks or ranges all stay, with ``edge`` set.
     """
     width = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
+    named = FEW if turn else 1
 
     def met(rows: np.ndarray, edges: np.ndarray) -> pa.RecordBatch:
         band, key, sketch, component = rows
-        partner, found = np.zeros(len(key), np.int64), np.zeros(len(key), bool)
         starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
         sizes = np.diff(np.concatenate([starts, [len(band)]]))
         edge = np.repeat(np.isin(band[starts], edges) | (sizes > BLOCK), sizes)
+        crowded = np.zeros(len(key), bool)
         two = starts[sizes == 2]
         apart = np.bitwise_count((sketch[two] ^ sketch[two + 1]).view(np.uint64))
         two = two[(apart <= APART) & (component[two] != component[two + 1])]
-        for here, there in ((two, two + 1), (two + 1, two)):
-            found[here], partner[here] = True, key[there]
-        many = sizes > 2
-        for start, size in zip(starts[many].tolist(), sizes[many].tolist(), strict=True):
+        who, whom = [two, two + 1], [two + 1, two]
+        for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
             for at in range(start, start + size, BLOCK):
                 block = slice(at, min(at + BLOCK, start + size))
                 bits, label = sketch[block].view(np.uint64), component[block]
                 agree = (np.bitwise_count(bits[:, None] ^ bits[None, :]) <= APART) & (label[:, None] != label[None, :])
+                many = agree.sum(1) > named
+                crowded[block] = many
                 shift = turn * len(bits) // TURNS
-                pick = (np.roll(agree, -shift, 1).argmax(1) + shift) % len(bits)
-                found[block], partner[block] = agree.any(1), key[block][pick]
-        stay = found | edge
+                pick = (np.roll(agree[many], -shift, 1).argmax(1) + shift) % len(bits)
+                one, other = np.nonzero(agree & ~many[:, None])
+                who += [one + at, np.flatnonzero(many) + at]
+                whom += [other + at, pick + at]
+        one, other = np.concatenate(who), np.concatenate(whom)
+        order = np.argsort(one, kind="stable")
+        times = np.bincount(one, minlength=len(key))
+        stay = (times > 0) | edge
+        offsets = np.concatenate([[0], np.cumsum(times[stay])]).astype(np.int32)
         return pa.RecordBatch.from_arrays(
-            [pa.array(band[stay]), pa.array(key[stay]), pa.array(sketch[stay]), pa.array(component[stay]),
-             pa.array(partner[stay], mask=~found[stay]), pa.array(edge[stay])],
-            ["band", "key", "sketch", "component", "partner", "edge"],
+            [pa.array(x[stay]) for x in (band, key, sketch, component)]
+            + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[other[order]])), pa.array(crowded[stay]), pa.array(edge[stay])],
+            ["band", "key", "sketch", "component", "partners", "crowded", "edge"],
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -184,7 +194,7 @@ def meetings(members: DataFrame, turn: int) -> DataFrame:
     return (
         members.select("band", "key", "sketch", "component")
         .repartitionByRange(width, "band", "key").sortWithinPartitions("band", "key")
-        .mapInArrow(run, "band long, key long, sketch long, component long, partner long, edge boolean")
+        .mapInArrow(run, "band long, key long, sketch long, component long, partners array<long>, crowded boolean, edge boolean")
     )
 
 
@@ -260,74 +270,80 @@ def line_components(occurrences: DataFrame, lines: DataFrame, percent: int = 80)
     ``occurrences`` comes from ``signed`` and is read more than once; ``lines`` holds key
     and line.
     """
-    members = occurrences.select("key", "sketch", F.explode("bands").alias("band")).withColumn("component", F.col("key"))
+    members = occurrences.select("key", "sketch", F.explode("bands").alias("band"))
     texts = grouped = None
     tried: list[DataFrame] = []
 
     def labelled(rows: DataFrame) -> DataFrame:
+        """``rows`` with their present components."""
         if grouped is None:
-            return rows
+            return rows.withColumn("component", F.col("key"))
         return rows.drop("component").join(grouped.withColumnRenamed("id", "key"), "key", "left").withColumn(
             "component", F.coalesce("component", "key")
         )
 
-    def grown(links: DataFrame) -> DataFrame:
-        """Components after further links."""
+    def mixed_bands(rows: DataFrame) -> DataFrame:
+        """Bands of several components, each with its smallest line."""
+        return rows.groupBy("band").agg(
+            F.min(F.struct("key", "sketch", "component")).alias("hub"),
+            F.min("component").alias("c0"), F.max("component").alias("c1"),
+        ).where("c0 != c1")
+
+    def linked(pairs: DataFrame) -> DataFrame | None:
+        """Components after the links among further pairs."""
+        links, n = staged_count(verified(pairs, texts, percent), "links")
+        if not n:
+            return grouped
         if grouped is None:
             return staged(components(links), "components")
         stars = grouped.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
         return staged(components(stars.union(links)), "components")
 
-    for turn in range(TURNS + 1):
+    def untried(pairs: DataFrame) -> DataFrame:
+        for before in tried:
+            pairs = pairs.join(before, ["a", "b"], "left_anti")
+        return pairs
+
+    for turn in range(TURNS):
         met = staged(meetings(labelled(members), turn), "met")
         if turn:
             drop_staged(members)
-        members = met.select("band", "key", "sketch", "component")
         # A band that lies in several blocks has one hub more, its smallest line.
         edges = met.where("edge")
-        hubs = edges.groupBy("band").agg(
-            F.min(F.struct("key", "sketch", "component")).alias("hub"),
-            F.min("component").alias("c0"), F.max("component").alias("c1"),
-        ).where("c0 != c1")
-        astray = edges.join(hubs, "band")
-        proposed = met.where("partner IS NOT NULL").select("key", "partner").union(
-            astray.where("component != hub.component").where(f"bit_count(sketch ^ hub.sketch) <= {APART}").selectExpr("key", "hub.key AS partner")
-        ).select(F.least("key", "partner").alias("a"), F.greatest("key", "partner").alias("b")).distinct()
-        for before in tried:
-            proposed = proposed.join(before, ["a", "b"], "left_anti")
-        pairs, n = staged_count(proposed, "pairs")
-        if not n or turn == TURNS:
-            drop_staged(pairs)
-            break
+        astray = edges.join(mixed_bands(edges), "band").where(
+            f"component != hub.component AND bit_count(sketch ^ hub.sketch) <= {APART}"
+        )
+        proposed = met.select("key", F.explode("partners").alias("partner")).union(astray.selectExpr("key", "hub.key"))
+        pairs, n = staged_count(
+            untried(proposed.select(F.least("key", "partner").alias("a"), F.greatest("key", "partner").alias("b")).distinct()), "pairs"
+        )
         tried.append(pairs)
         if texts is None:
             # Only lines that agree with another one are needed by their text.
-            texts = staged(lines.join(met.select("key").distinct(), "key", "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
-        links, n = staged_count(verified(pairs, texts, percent), "links")
-        if n:
-            grouped = grown(links)
-    # What is left: every link between components among the lines that still agree with another one.
+            wanted = lines.join(met.select("key").distinct(), "key", "left_semi")
+            texts = staged(wanted.select("key", "line").dropDuplicates(["key"]), "texts")
+        # Lines that named all they agree with are settled in this band.
+        members = met.where("crowded OR edge").select("band", "key", "sketch")
+        if not n:
+            break
+        grouped = linked(pairs)
+    # What is left: every link between components among the lines that are not settled.
+    open_members = labelled(members)
     rest, n = staged_count(
-        met.where("partner IS NOT NULL").select(F.col("key").alias("id"), "component")
-        .union(astray.select(F.col("key").alias("id"), "component")).distinct(),
+        open_members.join(mixed_bands(open_members).select("band"), "band", "left_semi")
+        .select(F.col("key").alias("id"), "component").distinct(),
         "rest",
     )
+    drop_staged(met)
     if n:
-        if texts is None:
-            texts = staged(lines.join(rest.select(F.col("id").alias("key")), "key", "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
         prefixes = staged(_prefixes(texts.join(rest.withColumnRenamed("id", "key"), "key"), percent), "prefixes")
-        last = similar_prefixes(prefixes, percent)
-        for before in tried:
-            last = last.join(before, ["a", "b"], "left_anti")
-        last = staged(last, "pairs")
+        last = staged(untried(similar_prefixes(prefixes, percent)), "pairs")
         drop_staged(prefixes)
-        links, n = staged_count(verified(last, texts, percent), "links")
+        grouped = linked(last)
         drop_staged(last)
-        if n:
-            grouped = grown(links)
-    for spent in [met, rest, *tried, *([] if texts is None else [texts])]:
+    for spent in (rest, texts, *tried):
         drop_staged(spent)
-    return grouped if grouped is not None else rest.sparkSession.createDataFrame([], "id long, component long")
+    return grouped if grouped is not None else lines.sparkSession.createDataFrame([], "id long, component long")
 
 
 def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", percent: int = 80) -> DataFrame:
