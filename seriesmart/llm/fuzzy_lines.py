@@ -45,7 +45,7 @@ FREQUENT = 65_536
 BLOCK = 1_024
 #: Turns in which lines of a band name partners before the exact join, and how many partners
 #: a line may name in each but the first; a line of more is crowded and goes on to the next.
-TURNS, FEW = 4, 8
+TURNS, FEW = 4, 32
 #: Bytes of lines that are signed at a time, and lines a task remembers as signed.
 PART, SEEN = 1 << 18, 200_000
 #: Stands for what a line lacks in length: no valid text holds it.
@@ -319,9 +319,11 @@ def line_components(occurrences: DataFrame, lines: DataFrame, percent: int = 80)
         )
         tried.append(pairs)
         if texts is None:
-            # Only lines that agree with another one are needed by their text.
-            wanted = lines.join(met.select("key").distinct(), "key", "left_semi")
-            texts = staged(wanted.select("key", "line").dropDuplicates(["key"]), "texts")
+            # Only lines that agree with another one are needed by their text. Their keys are
+            # written first: with a known size they may be broadcast, and no text is shuffled to find them.
+            wanted = staged(met.select("key").distinct(), "wanted")
+            texts = staged(lines.join(wanted, "key", "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
+            drop_staged(wanted)
         # Lines that named all they agree with are settled in this band.
         members = met.where("crowded OR edge").select("band", "key", "sketch")
         if not n:
