@@ -63,6 +63,13 @@ def test_null_ratio(rows, series_config):
     assert row.checks[4].message == "null_ratio=0.5000, max_allowed=0.2500"
 
 
+@pytest.mark.parametrize("nulls, total", [(1, 32), (3, 32), (17, 160), (1, 3)])
+def test_null_ratio_is_written_as_python_writes_it(rows, series_config, nulls, total):
+    values = [(f"2026-{1 + i // 28:02d}-{1 + i % 28:02d}", None if i < nulls else "100") for i in range(total)]
+    row = validated(rows, series_config, *values)
+    assert row.checks[4].message == f"null_ratio={nulls / total:.4f}, max_allowed=0.2500"
+
+
 def test_non_numeric(rows, series_config):
     row = validated(rows, series_config, ("2026-01-01", "100"), ("2026-01-02", "invalid"), ("2026-01-03", "102"))
     assert failed(row) == ["numeric_values"] and row.non_numeric_count == 1
