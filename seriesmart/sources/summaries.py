@@ -40,9 +40,9 @@ def merge(
     day: str = "observation_date", **options,
 ) -> dict[str, int]:
     """``tables.merge_into_path``, and the summaries after it; returns its counts."""
-    with staged(tables.keyed(source, [*keys, day])) as batch:
-        mark = _announced(spark, path, batch, day)
-        counts = tables.merge_into_path(spark, path, batch, keys, day=day, **options)
+    with staged(tables.with_month(source, keys, day)) as batch:
+        mark = _announced(spark, path, batch)
+        counts = tables.merge_batch(spark, path, batch, keys, **options)
         if not counts["rows_changed"]:
             remove_folder(spark, mark)
         settle(spark, path, summaries)
@@ -54,19 +54,19 @@ def delete(
     day: str = "observation_date", **options,
 ) -> int:
     """``tables.delete_from_path``, and the summaries after it; returns the rows deleted."""
-    with staged(doomed.select(*keys)) as gone:
-        mark = _announced(spark, path, gone, day)
-        deleted = tables.delete_from_path(spark, path, gone, keys, day=day, **options)
+    with staged(doomed.select(*keys).withColumn(MONTH, tables.month_of(day))) as gone:
+        mark = _announced(spark, path, gone)
+        deleted = tables.delete_batch(spark, path, gone, keys, **options)
         if not deleted:
             remove_folder(spark, mark)
         settle(spark, path, summaries)
     return deleted
 
 
-def _announced(spark: SparkSession, path: str, batch: DataFrame, day: str) -> str:
+def _announced(spark: SparkSession, path: str, batch: DataFrame) -> str:
     """Write down the months a batch is about to touch; where that was written."""
     mark = f"{_home(path)}/{PENDING}{uuid.uuid4().hex}"
-    batch.select(tables.month_of(day).alias(MONTH)).distinct().coalesce(1).write.parquet(mark)
+    batch.select(MONTH).distinct().coalesce(1).write.parquet(mark)
     return mark
 
 

@@ -366,6 +366,28 @@ def test_first_merge_creates_the_table_and_an_emptied_one_is_filled(spark, rows,
     assert collected(tables.stored(spark, path), "observation_date") == [(D1,), (D3,)]
 
 
+def test_months_new_to_the_table_are_not_compared(spark, rows, tmp_path, monkeypatch):
+    path, compared = str(tmp_path / "new"), []
+    real = tables.merge_plan
+    monkeypatch.setattr(tables, "merge_plan", lambda t, s, *a, **o: compared.append(collected(s, "observation_date")) or real(t, s, *a, **o))
+    assert tables.merge_into_path(spark, path, rows(SCHEMA, ("a", D1, 1.0, "r1")), KEYS)["inserted"] == 1
+    assert compared == []
+    news = rows(SCHEMA, ("a", D1, 2.0, "r2"), ("b", D3, 3.0, "r2"))
+    counts = tables.merge_into_path(spark, path, news, KEYS)
+    assert counts == {"inserted": 1, "updated": 1, "deleted": 0, "rows_changed": 2}
+    assert compared == [[(D1,)]]
+    assert collected(tables.stored(spark, path), "observation_date", "value") == [(D1, 2.0), (D3, 3.0)]
+
+
+def test_a_repeated_key_of_a_new_month_leaves_the_table_as_it_was(spark, rows, tmp_path):
+    path = str(tmp_path / "new")
+    tables.merge_into_path(spark, path, rows(SCHEMA, ("a", D1, 1.0, "r1")), KEYS)
+    twice = rows(SCHEMA, ("a", D1, 2.0, "r2"), ("b", D3, 3.0, "r2"), ("b", D3, 4.0, "r2"))
+    with pytest.raises(Exception, match="duplicate merge key"):
+        tables.merge_into_path(spark, path, twice, KEYS)
+    assert collected(tables.stored(spark, path), "observation_date", "value") == [(D1, 1.0)]
+
+
 @pytest.mark.parametrize("row", [("a", None, 1.0, "r"), (None, D1, 1.0, "r")])
 def test_a_null_key_fails(spark, rows, tmp_path, row):
     with pytest.raises(Exception, match="NULL in merge key"):

@@ -138,3 +138,11 @@ def test_refused_rows_and_emptied_tables(spark, rows, config, tmp_path):
     assert summaries.read(spark, path, kept["edges"]).count() == 0
     summaries.delete(spark, path, one, KEYS, listed)
     assert not any("=" in n for n in folder_names(spark, f"{path}_summaries/profile"))
+
+
+def test_dates_of_a_month_are_counted_in_one_pass(rows, config):
+    days = [date(2020, 3, 1), date(2020, 3, 31), date(2020, 3, 31), date(2020, 4, 15)]
+    held = rows(SCHEMA, *[("A", d, 1.0, "daily", None) for d in days]).withColumn(tables.MONTH, tables.month_of("observation_date"))
+    built = monthly.profile_partials(config)(held)
+    assert collected(built, tables.MONTH, "row_count", "dates") == [("2020-03", 3, 2), ("2020-04", 1, 1)]
+    assert "distinct" not in built._jdf.queryExecution().executedPlan().toString()
