@@ -106,6 +106,18 @@ def test_typed_values_count_nan_as_null(rows, series_config):
     assert (row.null_count, row.non_numeric_count, row.below_minimum_count) == (2, 0, 0)
 
 
+def test_dates_are_profiled_without_grouping_by_date(rows, series_config):
+    days = [date(2025, 12, 31), date(2026, 1, 1), date(2026, 1, 1), date(2026, 1, 31), date(2026, 2, 1), None, None]
+    typed = rows("series_name string, observation_date date, value double", *[("test_series", d, float(i)) for i, d in enumerate(days)])
+    text = typed.select("series_name", F.col("observation_date").cast("string"), F.col("value").cast("string"))
+    found = validate.profile(typed, series_config, START, END)
+    assert collected(found) == collected(validate.profile(text, series_config, START, END))
+    assert found.head().duplicate_date_count == 2
+    assert "(distinct" not in found._jdf.queryExecution().executedPlan().toString()
+    unreadable = typed.filter("observation_date IS NULL")
+    assert validate.profile(unreadable, series_config, START, END).head().out_of_range_count == 2
+
+
 def test_settings_default(rows):
     config = rows(CONFIG, ("test_series", "TEST", None, None, None, None))
     row = validated(rows, config, ("2026-01-01", None))

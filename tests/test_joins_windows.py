@@ -154,6 +154,19 @@ def test_split_shift_equals_plain_window(spark, forward):
     assert collected(got) == sorted(expected, key=repr)
 
 
+def test_rows_are_sorted_once_for_window_and_join(spark, rows):
+    data = rows("k string, d date, v double", *[(f"k{i % 7}", date(2020, 1, 1) + timedelta(days=i), float(i)) for i in range(60)])
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        found = windows.shifted(data, ["k"], "d", {"v": "previous"})
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Sort [_part" not in plan
+        assert found.filter("previous = v - 7").count() == 53
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
 def test_percent_change_flags_and_passes(rows):
     observations = rows(
         "series_code string, observation_date date, value double",
