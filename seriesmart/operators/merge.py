@@ -59,13 +59,15 @@ def merge_plan(
     update: str = "changed",
     retained: DataFrame | None = None,
     checked: bool = True,
+    absent: str = KEEP,
 ) -> DataFrame:
     """Rows of the merged table with their ``_action``.
 
     update="changed" rewrites a matched row only if a column other than keys
     and audit columns differs, and then all its columns; "always" rewrites every
     matched row. With ``retained`` (a frame of keys), target rows absent from
-    the source are deleted unless retained; an empty source deletes nothing.
+    the source are deleted unless retained; an empty source deletes nothing. Without,
+    ``absent`` is their action; DELETE makes the table the source, even an empty one.
     """
     keys = list(keys)
     if update not in ("changed", "always"):
@@ -78,7 +80,7 @@ def merge_plan(
 
     tracked = [c for c in columns if c not in keys and c not in audit_columns]
     update_when = F.lit(True) if update == "always" else changed(tracked)
-    unmatched = F.lit(KEEP)
+    unmatched = F.lit(absent)
     if retained is not None:
         kept = retained.select(*keys).distinct().withColumn("_retained", F.lit(True))
         pairs = lookup_join(pairs, kept, keys)

@@ -310,6 +310,19 @@ def test_stored_fact_build_equals_full_refresh(spark, rows, dim, tmp_path):
     assert marts.build_fact_table(spark, path, after, dim, dates)["rows_changed"] == 0
 
 
+def test_a_build_without_a_mark_compares_once(spark, rows, dim, tmp_path, monkeypatch):
+    path = str(tmp_path / "fact")
+    before = staged(rows, ("a", D1, 1.0, T1, "r1"), ("a", D3, 2.0, T1, "r1"), ("b", D1, 3.0, T1, "r1"), ("b", D2, 5.0, T1, "r1"))
+    after = staged(rows, ("a", D1, 1.5, T2, "r2"), ("a", D3, None, T2, "r2"), ("b", D1, 3.0, T1, "r1"))
+    tables.write_observations(marts.full_fact(before, dim, marts.dim_date(before)), path, cluster="series_key")
+    broken_off(monkeypatch, "delete_from_path", lambda calls: True)
+    dates = marts.dim_date(before)
+    counts = marts.build_fact_table(spark, path, after, dim, dates)
+    assert counts == {"inserted": 0, "updated": 1, "deleted": 2, "rows_changed": 3}
+    assert collected(tables.stored(spark, path).drop(tables.MONTH)) == collected(marts.full_fact(after, dim, dates))
+    assert not (tmp_path / f"fact/observation_month={D3:%Y-%m}").exists()
+
+
 def test_recent_retractions_and_dropped_series_leave_the_fact(spark, rows, dim, tmp_path):
     path = str(tmp_path / "fact")
     before = staged(rows, ("a", D1, 1.0, T1, "r1"), ("a", D3, 2.0, T1, "r1"), ("b", D1, 3.0, T1, "r1"))
