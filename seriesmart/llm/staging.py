@@ -5,6 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
@@ -13,6 +15,9 @@ from pyspark.sql.window import Window
 from ..session import ensure_checkpoint_dir, remove_folder
 
 
+#: Bytes of rows that a Python worker gets at a time; Spark's default is 64 MB, of which
+#: both sides hold several copies.
+ARROW_BYTES = 4 << 20
 _SHIPPED: set[str] = set()
 
 
@@ -35,14 +40,29 @@ def shared_path(spark: SparkSession, name: str) -> str:
     return f"{ensure_checkpoint_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-def staged(df: DataFrame, name: str) -> DataFrame:
+@contextmanager
+def settings(spark: SparkSession, **conf: str) -> Iterator[None]:
+    """Session settings, their dots written ``__``, that hold for the jobs run inside."""
+    names = {k.replace("__", "."): v for k, v in conf.items()}
+    before = {k: spark.conf.get(k, None) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def staged(df: DataFrame, name: str, codec: str = "snappy") -> DataFrame:
     """The frame written once to the shared folder and read back.
 
     Cuts the lineage and gives the optimizer a known size; a lost executor costs
     a rerun of its tasks only, because the files are not on its disk.
     """
     path = shared_path(df.sparkSession, name)
-    df.write.parquet(path)
+    with settings(df.sparkSession, spark__sql__execution__arrow__maxBytesPerBatch=str(ARROW_BYTES)):
+        df.write.parquet(path, compression=codec)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -14,7 +14,6 @@ Layout below the target path: ``shard=N/part-*.txt`` with records of
 from __future__ import annotations
 
 import base64
-import re
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -26,19 +25,18 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from .piece_bpe import parts
 from .shingles import mixed
-from .staging import staged
+from .staging import settings, staged
 
 CLOSING = "\r\n"
-CACHED_CHUNKS = 120_000
 ROUNDS = 6
+#: Turns in which shards are written. The pieces of one turn's shards are shuffled at a time,
+#: so that disk holds the ids twice and a part of them, not three times.
+TURNS = 2
 
 
 class RankCoder:
-    """Byte-level BPE ids as raw little-endian bytes, words cached.
-
-    A word with the space before it is cut alike wherever it stands, unless white
-    space touches that space on both sides; such texts are encoded whole.
-    """
+    """Byte-level BPE ids as raw little-endian bytes. Texts are encoded whole: most words of
+    a corpus are rare, and looking each up in a cache takes longer."""
 
     def __init__(self, ranks_path: str, pattern: str):
         with open(ranks_path, "rb") as file:
@@ -46,39 +44,18 @@ class RankCoder:
         self.coding = tiktoken.Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
         self.end = max(ranks.values()) + 1
         self.kind = np.dtype("<u2") if self.end < 1 << 16 else np.dtype("<u4")
-        self.words = _Words(self)
 
     def raw(self, text: str) -> bytes:
         return np.array(self.coding.encode_ordinary(text), self.kind).tobytes()
 
     def encode(self, text: str | None) -> bytes:
         """Ids of a whole text and the end id; a null text gives the end id alone."""
-        end = np.array([self.end], self.kind).tobytes()
-        if not text:
-            return end
-        if text[0].isspace() or text[-1].isspace() or re.search(r"\s \s", text):
-            return self.raw(text) + end
-        first, *rest = text.split(" ")
-        return self.raw(first) + b"".join(map(self.words.__getitem__, rest)) + end
-
-
-class _Words(dict):
-    def __init__(self, coder: RankCoder):
-        super().__init__()
-        self.coder = coder
-
-    def __missing__(self, word: str) -> bytes:
-        if len(self) >= CACHED_CHUNKS:
-            self.clear()
-        raw = self.coder.raw(" " + word)
-        if len(word) <= 40:
-            self[word] = raw
-        return raw
+        return (self.raw(text) if text else b"") + self.end.to_bytes(self.kind.itemsize, "little")
 
 
 @lru_cache(maxsize=2)
 def rank_coder(ranks_path: str, pattern: str) -> RankCoder:
-    """One coder a Python worker; its cache is bounded."""
+    """One coder a Python worker."""
     return RankCoder(ranks_path, pattern)
 
 
@@ -160,12 +137,13 @@ def materialise(
     Null and empty texts put only their end id into the stream; rows without an id
     are written too. The last sequence is filled with end ids. An empty table
     writes no shard. Other columns are not read. Texts, and so pieces, are spread by
-    sequence: neither a long text nor a hot id meets in one task.
+    sequence: neither a long text nor a hot id meets in one task. Shards are written in
+    ``TURNS`` turns, the manifest last: without it the shards are not whole.
     """
     spark = docs.sparkSession
     coder = rank_coder(ranks_path, pattern)
     width = coder.kind.itemsize
-    stream = staged(token_stream(docs, ranks_path, pattern, id_col, text), "tokens")
+    stream = staged(token_stream(docs, ranks_path, pattern, id_col, text), "tokens", "zstd")
     # One row per input partition: sums on the driver stay small at any size of the table.
     totals = {r["part"]: r["n"] for r in stream.groupBy("part").agg(F.sum("n").alias("n")).collect()}
     offsets, at = [], 0
@@ -183,27 +161,32 @@ def materialise(
     finish = F.least(F.col("first") + F.col("n"), (F.col("seq") + 1) * seq_len)
     pieces = (
         placed.withColumn("seq", F.explode(span))
-        .select(
-            "doc_id", "seq",
-            (begin - F.col("seq") * seq_len).cast("int").alias("place"),
-            (finish - begin).cast("int").alias("n"),
-            F.substring(F.col("ids"), ((begin - F.col("first")) * width + 1).cast("int"), ((finish - begin) * width).cast("int")).alias("ids"),
-        )
         .withColumn("slot", permuted(F.col("seq"), count, key))
         .withColumn("shard", F.floor(F.col("slot") / rows_per_shard))
+        .withColumn("place", (begin - F.col("seq") * seq_len).cast("int"))
+        .withColumn("n", (finish - begin).cast("int"))
     )
+    offset = (F.col("seq") * seq_len + F.col("place") - F.col("first")) * width + 1
     filler = bytes(np.array([coder.end], coder.kind).tobytes() * seq_len)
     shards = -(-count // rows_per_shard)
-    gathered = pieces.repartitionByRange(shards, "shard").groupBy("shard", "slot").agg(
-        F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("held")  # at most seq_len pieces
-    )
     body = F.expr("aggregate(held, cast('' AS binary), (acc, x) -> acc || x.ids)")
     record = F.substring(F.concat(body, F.lit(filler)), 1, seq_len * width).cast("string")
-    (
-        gathered.select("shard", "slot", record.alias("value"))
-        .sortWithinPartitions("shard", "slot").select("shard", "value")
-        .write.partitionBy("shard").option("lineSep", CLOSING).text(path)
-    )
+    turns = min(TURNS, shards)
+    # Else the files of a turn's shuffle stay until the driver collects garbage.
+    with settings(spark, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        for turn in range(turns):
+            mine = pieces.where(F.col("shard") % turns == turn).select(
+                "shard", "slot", "place", F.substring(F.col("ids"), offset.cast("int"), F.col("n") * width).alias("ids")
+            )
+            gathered = mine.repartition(-(-shards // turns), "shard").groupBy("shard", "slot").agg(
+                F.sort_array(F.collect_list(F.struct("place", "ids"))).alias("held")  # at most seq_len pieces
+            )
+            (
+                gathered.select("shard", "slot", record.alias("value"))
+                .sortWithinPartitions("shard", "slot").select("shard", "value")
+                .write.mode("append" if turn else "errorifexists")
+                .partitionBy("shard").option("lineSep", CLOSING).text(path)
+            )
     manifest = [(seq_len, width, seq_len * width + len(CLOSING), rows_per_shard, count, at, key, coder.end)]
     spark.createDataFrame(
         manifest, "seq_len int, width int, stride int, rows_per_shard int, sequences long, tokens long, key long, end_id int"

@@ -37,6 +37,15 @@ def random_texts(n, seed):
 # -- SentencePiece -------------------------------------------------------------
 
 
+def test_ids_and_text_come_from_one_pass(spark, docs):
+    table = docs(*ODD, *random_texts(50, 3)).withColumn("tokens", F.lit("taken"))
+    both = piece_bpe.encode(table, MODEL, decoded="decoded")
+    assert both.columns == [*table.columns, "_tokens", "decoded"]
+    assert both._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    apart = piece_bpe.decode(piece_bpe.encode(table, MODEL), MODEL, "_tokens")
+    assert sorted(map(tuple, both.collect()), key=repr) == sorted(map(tuple, apart.collect()), key=repr)
+
+
 def test_pieces_match_the_library():
     mine, library = piece_bpe.PieceBpe(MODEL), sentencepiece.SentencePieceProcessor(model_file=MODEL)
     for text in [*random_texts(4000, 1), *texts().values(), *[t or "" for t in ODD]]:
@@ -153,6 +162,24 @@ def test_shards_hold_the_stream_in_training_order(spark, docs, tmp_path):
     assert empty.count() == 0
 
 
+def test_shards_are_written_in_turns_from_small_files(spark, docs, tmp_path):
+    """Staged ids are packed tightly; each turn shuffles a part of them and leaves no setting behind."""
+    from pathlib import Path
+
+    import pyarrow.parquet as pq
+
+    shared = Path(spark.sparkContext.getCheckpointDir().removeprefix("file:"))
+    before, setting = set(shared.rglob("tokens-*/*.parquet")), dict(spark.conf.getAll)
+    args = (public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    places = training_order.materialise(docs(*random_texts(300, 8)), str(tmp_path / "shards"), *args, seq_len=16, rows_per_shard=9)
+    fresh = set(shared.rglob("tokens-*/*.parquet")) - before
+    assert {pq.read_metadata(f).row_group(0).column(1).compression for f in fresh if pq.read_metadata(f).num_rows} == {"ZSTD"}
+    written = training_order.read_slots(spark, str(tmp_path / "shards"))
+    assert written.count() == places.select("slot").distinct().count() > 9 * training_order.TURNS
+    assert len(list((tmp_path / "shards").glob("shard=*/part-*"))) == places.select("shard").distinct().count()
+    assert dict(spark.conf.getAll) == setting
+
+
 # -- sharding ------------------------------------------------------------------
 
 
@@ -313,6 +340,26 @@ def test_links_between_documents_that_are_no_hub(docs, seed, rate, copies):
     assert len(set(expected.tolist())) > 20
 
 
+def test_finer_buckets_bring_sizes_along(spark, docs, monkeypatch):
+    """Pairs of the finer turns are not joined with a table of sizes, and sizes that differ keep apart."""
+    long = [f"w{i}" for i in range(60)]
+    rows = {i: " ".join([*long[: 60 - i % 7], *(f"own{i}x{k}" for k in range(14))]) for i in range(40)}
+    rows[100] = " ".join(long[:20])
+    asked = []
+    plain = minhash_docs.staged
+
+    def spied(df, name, *more):
+        if name == "pairs":
+            asked.append(df._jdf.queryExecution().analyzed().toString())
+        return plain(df, name, *more)
+
+    monkeypatch.setattr(minhash_docs, "staged", spied)
+    got = {r.doc_id: r.component_id for r in minhash_docs.near_duplicates(docs(*rows.items())).collect()}
+    _, roots = brute_components(rows)
+    assert got == roots
+    assert len(asked) > 1 and all("a_n" not in plan for plan in asked[1:])
+
+
 def test_near_duplicates_of_odd_tables(docs):
     out = minhash_docs.near_duplicates(docs((None, "a b"), (3, "a b"), (3, "a b"), (None, "a b"))).collect()
     assert sorted((r.doc_id is None, r.component_id, r.kept) for r in out if r.doc_id) == [(False, 3, True)] * 2
