@@ -142,15 +142,15 @@ def verified(pairs: DataFrame, texts: DataFrame, size: int, percent: int) -> Dat
 
 
 def finer_keys(banded: DataFrame, shifts: tuple[int, ...]) -> DataFrame:
-    """id, component and one key for each pair of bands (i, i + shift): documents that
-    agree in twice as many slots."""
+    """One ``key`` in place of ``bands`` for each pair of bands (i, i + shift): documents that
+    share it agree in twice as many slots."""
 
     def shifted(d: int) -> Column:
         other = lambda i: F.get(F.col("bands"), (i + d) % F.size("bands"))
         return F.transform("bands", lambda key, i: F.xxhash64(key, other(i), i, F.lit(d)))
 
     pairs = [shifted(d) for d in shifts]
-    return banded.select("id", "component", F.explode(F.array_distinct(F.flatten(F.array(*pairs)))).alias("key"))
+    return banded.withColumn("key", F.explode(F.array_distinct(F.flatten(F.array(*pairs))))).drop("bands")
 
 
 def shingle_rows(texts: DataFrame, size: int) -> DataFrame:
@@ -235,7 +235,11 @@ def near_duplicates(
 
     # Buckets of more than one component: their members meet in finer buckets.
     open_members = staged(in_mixed_buckets(held.select("key", "id")).select("id").distinct(), "open")
-    open_bands = staged(heads.join(open_members, "id", "left_semi").select("id", "bands").distinct(), "open-bands")
+    open_heads = heads.join(open_members, "id", "left_semi").select("id", "n_shingles", "bands")
+    # Sizes come along with the members, so that no pair is joined with them: the smallest
+    # and the largest, where rows of one id differ.
+    spans = open_heads.groupBy("id").agg(F.min("n_shingles").alias("low"), F.max("n_shingles").alias("high"))
+    open_bands = staged(open_heads.select("id", "bands").distinct().join(spans, "id"), "open-bands")
     shifts = list(range(1, slots // rows // 2 + 1))
     idle = 0
     for turn in range(0, len(shifts), 2):
@@ -245,12 +249,13 @@ def near_duplicates(
         pick = F.min_by if turn % 4 == 0 else F.max_by
         hubs = fine.groupBy("key").agg(
             F.min("component").alias("c0"), F.max("component").alias("c1"),
-            pick("id", "component").alias("a"), (F.min if turn % 4 == 0 else F.max)("component").alias("hub_component"),
-        ).where("c0 != c1").select("key", "a", "hub_component")
-        pairs = fine.join(hubs, "key").where("component != hub_component").select(
-            F.least("a", "id").alias("a"), F.greatest("a", "id").alias("b")
-        ).distinct()
-        fresh = staged(near_in_size(pairs).join(tried, ["a", "b"], "left_anti"), "pairs")
+            pick(F.struct("id", "low", "high"), "component").alias("hub"),
+            (F.min if turn % 4 == 0 else F.max)("component").alias("hub_component"),
+        ).where("c0 != c1").select("key", "hub", "hub_component")
+        pairs = fine.join(hubs, "key").where("component != hub_component").where(
+            (100 * F.col("high") >= percent * F.col("hub.low")) & (100 * F.col("hub.high") >= percent * F.col("low"))
+        ).select(F.least("hub.id", "id").alias("a"), F.greatest("hub.id", "id").alias("b")).distinct()
+        fresh = staged(pairs.join(tried, ["a", "b"], "left_anti"), "pairs")
         more, n = staged_count(verified(fresh, texts, size, percent), "links")
         tried = staged(tried.union(fresh), "tried")
         idle = 0 if n else idle + 1
