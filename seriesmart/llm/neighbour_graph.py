@@ -6,8 +6,10 @@ component that brings all to equal length, so that near vectors are near both wa
 The graph is built by iterative joins. In each round a node's neighbours, and a
 bounded sample of the nodes that have it as a neighbour, meet: every pair of them
 with a fresh member is compared, for neighbours of neighbours are likely neighbours.
-Nodes are dealt into blocks of bounded size; a block's task gets its nodes' lists and
-each vector named in them once. What a task finds is cut to the best per node before
+Nodes are dealt into blocks; a block's task gets its nodes' lists and each vector named
+in them once. Blocks are as large as the vectors they name allow (``block_count``): where
+a block names nearly every vector, more blocks would only send all vectors more often.
+What a task finds is cut to the best per node before
 it is shuffled, and merged into the nodes' lists. A round's lists are written to the
 shared folder; rounds end when few lists change.
 
@@ -17,6 +19,8 @@ yet expanded, one join with the graph and the vectors a round, until none is lef
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -24,11 +28,29 @@ from pyspark.sql.window import Window
 
 from .staging import drop_staged, staged, staged_count
 
-BLOCK_NODES = 8192
+#: Nodes of a block and queries of a block: as many where each names vectors of its own,
+#: and as many at most.
+BLOCK_NODES, MOST_NODES = 8192, 32_768
+BLOCK_QUERIES, MOST_QUERIES = 512, 4096
+#: Blocks that smaller tables are dealt into, to keep as many tasks busy.
+TASKS = 4
 GROUP_NODES = 512
 LISTED = "block int, node long, ids array<long>, scores array<float>, fresh array<boolean>"
 
 
+def block_count(members: int, nodes: int, named: int, least: int, most: int) -> int:
+    """Blocks for ``members``, each of which names up to ``named`` of the ``nodes``.
+
+    A task may hold the ``least * named`` vectors that ``least`` members name at most. A
+    block of n members chosen by hash names about ``nodes * (1 - exp(-n * named / nodes))``
+    different ones, fewer where they name the same; it gets as many members, up to
+    ``most``, as that allows. So the vectors that all blocks get grow with the table.
+    """
+    held = least * named
+    size = most if nodes <= held else min(most, max(least, int(-math.log1p(-held / nodes) * nodes / named)))
+    return max(1, -(-members // size), min(TASKS, -(-members // least)))
+
+
 def valid_vectors(table: DataFrame, id_col: str, vector: str) -> DataFrame:
     """id, v (doubles): rows with an id whose vector is not null or zero, has only finite
     components and as many as the most frequent length (the smaller of equals)."""
@@ -194,7 +216,7 @@ def build_graph(
     entries are new, or after ``rounds``.
     """
     nodes, count = staged_count(nodes.select("node", F.col("x").cast("array<float>").alias("x")), "nodes")
-    blocks = max(1, -(-count // BLOCK_NODES))
+    blocks = block_count(count, count, k + 2 * sample, BLOCK_NODES, MOST_NODES)
     block = F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int")
     crowd = max(1, -(-count // (GROUP_NODES // 2)))
     seeds = F.explode(F.array(*[F.pmod(F.xxhash64(F.col("node"), F.lit(g)), F.lit(crowd)) * groups + g for g in range(groups)]))
@@ -296,12 +318,13 @@ def search(
     back = edges.withColumn("r", F.row_number().over(nearest)).where(F.col("r") <= sample).select(
         F.col("other").alias("node"), F.col("node").alias("other")
     )
-    both = staged(
+    both, listing = staged_count(
         edges.select("node", "other").union(back).groupBy("node").agg(F.collect_set("other").alias("ids")), "graph"
     )
+    longest = both.agg(F.max(F.size("ids"))).first()[0] or 1
     doors = [r["node"] for r in nodes.select("node").orderBy(F.xxhash64("node"), "node").limit(entries).collect()]
     count = queries.count()
-    blocks = max(1, -(-count // 512))
+    blocks = block_count(count, listing, expand * longest, BLOCK_QUERIES, MOST_QUERIES)
     opening = F.array_distinct(F.filter(F.concat(F.array("start"), F.array(*[F.lit(d) for d in doors]).cast("array<long>")), lambda n: n.isNotNull()))
     state = staged(
         queries.select(

@@ -158,6 +158,20 @@ def test_recall_against_brute_force(spark):
     assert np.mean(recall) >= 0.9
 
 
+@pytest.mark.parametrize("named,least,most,share", [(64, 8192, 32_768, 1), (2240, 512, 4096, 20)])
+def test_vectors_sent_to_blocks_grow_with_the_table(named, least, most, share):
+    """Five times the nodes: about five times the vectors, in tasks that hold no more than before."""
+    sent = {}
+    for nodes in (10_260, 51_300, 256_500, 1_282_500, 6_412_500, 32_062_500):
+        members = nodes // share
+        blocks = neighbour_graph.block_count(members, nodes, named, least, most)
+        held = nodes * -np.expm1(-members / blocks * named / nodes)
+        assert held <= 1.001 * least * named and blocks >= min(neighbour_graph.TASKS, members // least)
+        sent[nodes] = blocks * held / nodes
+    assert sent[51_300] <= 4 and max(sent.values()) < 1.05 * named / share
+    assert neighbour_graph.block_count(0, 0, 1, 512, 4096) == 1
+
+
 def test_best_keeps_the_largest_of_different_others():
     node, other, score = np.array([1, 1, 1, 2, 1]), np.array([5, 6, 5, 7, 4]), np.array([0.1, 0.3, 0.2, 0.9, 0.3])
     a, b, s = neighbour_graph.best(node, other, score, 2)
