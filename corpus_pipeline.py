@@ -62,8 +62,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     ship(spark)
     model = vocabulary("piece_bpe_32k.model")
-    encoded = piece_bpe.encode(docs.select(*COLUMNS), model)
-    return piece_bpe.decode(encoded, model).select(
+    return piece_bpe.encode(docs.select(*COLUMNS), model, decoded="decoded").select(
         "doc_id", "lang", "source", "tokens",
         F.size("tokens").cast("long").alias("n_tokens"),
         (F.coalesce("text", F.lit("")) == F.col("decoded")).alias("round_trip"),

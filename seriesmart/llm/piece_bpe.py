@@ -264,16 +264,22 @@ def decoder(model_path: str) -> Decoder:
 
 
 def encode(
-    docs: DataFrame, model_path: str, text: str = "text", tokens: str = "tokens", eos: bool = True
+    docs: DataFrame, model_path: str, text: str = "text", tokens: str = "tokens", eos: bool = True,
+    decoded: str | None = None,
 ) -> DataFrame:
-    """Adds ``tokens`` (array of int), the ids of each whole ``text``.
+    """Adds ``tokens`` (array of int), the ids of each whole ``text``; with ``decoded`` also
+    a column of that name, what ``decode`` makes of the ids.
 
-    Null and empty texts give the end id alone (or no id). All columns stay; if
-    ``tokens`` is taken, underscores are put in front of the new name. Rows stay
+    Null and empty texts give the end id alone (or no id). All columns stay; if a
+    name is taken, underscores are put in front of the new one. Rows stay
     where they are: no shuffle, and memory is one Arrow batch and bounded caches.
+    Decoding in the same pass takes one Python worker a task instead of two.
     """
     name = fresh_name(tokens, docs.columns)
     schema = T.StructType([*docs.schema.fields, T.StructField(name, T.ArrayType(T.IntegerType(), False))])
+    if decoded:
+        schema = schema.add(fresh_name(decoded, schema.names), T.StringType())
+    names = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = coder(model_path)
@@ -281,7 +287,8 @@ def encode(
         for whole in batches:
             for batch in parts(whole, text):
                 ids = pa.array((model.encode(x, eos) for x in batch[text].to_pylist()), kind)
-                yield pa.RecordBatch.from_arrays([*batch.columns, ids], [*batch.schema.names, name])
+                more = [ids, pa.array((model.decode(x) for x in _lists(ids)), pa.string())] if decoded else [ids]
+                yield pa.RecordBatch.from_arrays([*batch.columns, *more], names)
         model.chunks.forget()  # the worker lives on and may do other work
 
     return docs.mapInArrow(run, schema)
