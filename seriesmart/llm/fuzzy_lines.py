@@ -1,85 +1,41 @@
-"""Line de-duplication by MinHash over character shingles.
+"""Line de-duplication by MinHash over character shingles, in DataFrame functions.
 
 A line's shingles are the strings of ``WIDTH`` characters at every position of the
 lower-cased line; a shorter line is one shingle. Equal lines meet by a 64-bit hash.
 
-1. One pass in Arrow tasks signs every line: ``SLOTS`` minima in bands of ``ROWS``, and a
-   sketch of one bit a slot. No text goes through a shuffle here.
-2. (band, line) rows are sorted by ranges, so a hot band is spread over tasks. A line
-   names lines of its band whose sketches agree with its own; such pairs are verified on
-   full shingle sets. A line that has named all it agrees with is settled in this band,
-   others name further ones in the next turn.
-3. Lines that are not settled after the last turn, in bands of several components, go
-   through an exact prefix join. Linked lines form components, of which the first line
-   stays.
-
-DataFrame functions alone could not keep to the budget with whole results; README has
-the figures.
+1. Distinct lines are cut into shingles, whose hashes fall into ``BINS`` bins. ``SLOTS``
+   minima of each bin give its bands, of ``ROWS`` minima each, and four bits of every
+   minimum a sketch. The text goes through one shuffle, by line, and its shingles
+   stay in the task that holds the line.
+2. Lines of a band meet the smallest and the largest of them; pairs whose sketches agree are
+   verified on full shingle sets. Linked lines form components.
+3. In bands that still hold several components lines meet a few of another component, at
+   random. Where several are left after that, every line meets every one of another
+   component, in blocks. The first line of a component stays.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
-import numpy as np
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
-
-from .minhash_docs import band_keys
-from .piece_bpe import parts
-from .prefix_join import similar_prefixes
-from .shingles import mixed
-from .staging import components, drop_staged, ship, staged, staged_count
+from .staging import components, drop_staged, settings, staged, staged_count
 
 WIDTH = 5
-#: Characters of a line that are cut at a time: finding a character takes time by its place.
-PIECE = 256
-BANDS, ROWS = 15, 5
-SLOTS = BANDS * ROWS
-#: Bits in which two sketches of 64 may differ. At a similarity of 0.8, 6.4 do on average,
-#: and more than this with 3e-6.
-APART = 19
-#: Shingles whose numbers of lines are broadcast, at 16 bytes each.
-FREQUENT = 65_536
+BINS, SLOTS, ROWS = 4, 16, 5
+#: Minima of each band of a bin; every one is used, four of them twice.
+BANDS = ((0, 1, 2, 3, 4), (5, 6, 7, 8, 9), (10, 11, 12, 13, 14), (15, 0, 5, 10, 1))
+#: Minima of ``BINS * SLOTS`` whose four bits may differ. At a similarity of 0.8, 12 do on
+#: average, and more than this with 1e-4.
+APART = 24
 #: Lines of one band that meet in a task; a band of more is cut into blocks.
 BLOCK = 1_024
-#: Turns in which lines of a band name partners before the exact join, and how many partners
-#: a line may name in each but the first; a line of more is crowded and goes on to the next.
-TURNS, FEW = 4, 32
-#: Bytes of lines that are signed at a time, and lines a task remembers as signed.
-PART, SEEN = 1 << 18, 200_000
-#: Stands for what a line lacks in length: no valid text holds it.
-PAD = "\ud800"
-
-_POWERS = mixed(np.arange(1, WIDTH + 1, dtype=np.uint64)) | np.uint64(1)
-_FACTORS = (mixed(np.arange(100, 100 + SLOTS, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32) | np.uint32(1)
-
-
-def shingle_hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hashes of the shingles of lower-cased lines, one behind the other, and how
-    many each line has."""
-    padded = [x if len(x) >= WIDTH else x.ljust(WIDTH, PAD) for x in lines]
-    lengths = np.fromiter(map(len, padded), np.int64, len(padded))
-    codes = np.frombuffer("".join(padded).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-    count = len(codes) - WIDTH + 1
-    rolled = codes[:count] * _POWERS[0]
-    for k in range(1, WIDTH):
-        rolled += codes[k : count + k] * _POWERS[k]
-    inside, ends = np.ones(len(codes), bool), np.cumsum(lengths)
-    for k in range(1, WIDTH):
-        inside[ends - k] = False
-    return mixed(rolled[inside[:count]]), lengths - (WIDTH - 1)
-
-
-def minima(lines: list[str]) -> np.ndarray:
-    """``SLOTS`` 32-bit minima of each line."""
-    hashes, counts = shingle_hashes(lines)
-    short, starts = (hashes >> np.uint64(32)).astype(np.uint32), np.cumsum(counts) - counts
-    out, turned = np.empty((len(lines), SLOTS), np.uint32), np.empty_like(short)
-    for i, factor in enumerate(_FACTORS):
-        np.multiply(short, factor, out=turned)
-        out[:, i] = np.minimum.reduceat(turned, starts)
-    return out
+#: Places, in a random order of its band, at which a line meets others in the second turn.
+BESIDE = (1, 2, 3, 5, 8)
+#: Tasks in which lines are signed, as a multiple of the session's shuffle partitions.
+TASKS = 3
+
+#: Minima are taken of hashes turned by these: every constant asks for the hash nearest to it.
+_TURNS = [((i * 0x9E3779B97F4A7C15 + 0x1234567) & (2**64 - 1)) - 2**63 for i in range(1, SLOTS + 1)]
 
 
 def lines_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
@@ -95,107 +51,79 @@ def lines_of(docs: DataFrame, id_col: str, text: str) -> DataFrame:
     return lowered.withColumn("key", F.xxhash64("line"))
 
 
-def signed(lines: DataFrame) -> DataFrame:
-    """doc, version, n, key of every line; sketch and bands where its task meets the line first."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[int] = set()
-        for whole in batches:
-            for batch in parts(whole, "line", PART):
-                keys = batch["key"].to_numpy()
-                firsts = np.sort(np.unique(keys, return_index=True)[1])
-                fresh = np.array([i for i in firsts.tolist() if int(keys[i]) not in seen], np.int64)
-                if len(seen) > SEEN:
-                    seen.clear()
-                seen.update(keys[fresh].tolist())
-                has, sketch, bands = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64), np.empty(0, np.int64)
-                if len(fresh):
-                    has[fresh] = True
-                    values = minima(batch["line"].take(pa.array(fresh)).to_pylist())
-                    sketch[fresh] = np.packbits((values[:, :64] >> np.uint32(7)) & np.uint32(1) > 0, axis=1).view(np.int64)[:, 0]
-                    bands = band_keys(values.astype(np.uint64), ROWS).reshape(-1)
-                offsets = np.concatenate([[0], np.cumsum(has)]).astype(np.int32) * BANDS
-                yield pa.RecordBatch.from_arrays(
-                    [batch["doc"], batch["version"], batch["n"], batch["key"], pa.array(sketch),
-                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(bands))],
-                    ["doc", "version", "n", "key", "sketch", "bands"],
-                )
-
-    return lines.select("doc", "version", "n", "key", "line").mapInArrow(
-        run, "doc long, version long, n int, key long, sketch long, bands array<long>"
+def _places(line: Column) -> tuple[Column, Column, Column]:
+    """UTF-16 of a line, UTF-32 where it holds characters of two units (else null), and how
+    many shingles it has. Bytes are cut in time that does not depend on their place."""
+    narrow = F.encode(line, "UTF-16BE")
+    wide = F.when(F.octet_length(narrow) != 2 * F.char_length(line), F.encode(line, "UTF-32"))
+    length = F.coalesce(F.octet_length(wide).cast("long") * F.lit(2), F.octet_length(narrow).cast("long") * F.lit(4))
+    return narrow, wide, F.greatest(F.shiftright(length, 3).cast("int") - (WIDTH - 1), F.lit(1))
+
+
+def _shingle(narrow: Column, wide: Column, at: Column) -> Column:
+    """Hash of the shingle at a place from 0: of its UTF-16, or of its UTF-32 if that has other
+    than 16 bits somewhere, so that equal shingles have equal hashes in all lines."""
+    unit = F.substring(wide, at * 4 + 1, F.lit(4 * WIDTH))
+    high = F.concat(*[F.substring(unit, F.lit(4 * k + 1), F.lit(2)) for k in range(WIDTH)])
+    low = F.concat(*[F.substring(unit, F.lit(4 * k + 3), F.lit(2)) for k in range(WIDTH)])
+    zeros = F.substring(F.lit(bytes(2 * WIDTH)), F.lit(1), F.octet_length(high))
+    return F.xxhash64(
+        F.when(wide.isNull(), F.substring(narrow, at * 2 + 1, F.lit(2 * WIDTH))).when(high == zeros, low).otherwise(unit)
     )
 
 
-def meetings(members: DataFrame, turn: int) -> DataFrame:
-    """Of (band, key, sketch, component): the lines that agree with some of another component
-    in their band, with ``partners`` to be compared with.
+def shingle_set(line: Column) -> Column:
+    """Hashes of a line's distinct shingles."""
+    narrow, wide, n = _places(line)
+    # The bytes are made once, and not for every place: lambdas take them from an array of one.
+    plain = F.transform(F.array(narrow), lambda x: F.transform(
+        F.sequence(F.lit(1), 2 * n - 1, F.lit(2)), lambda at: F.xxhash64(F.substring(x, at, F.lit(2 * WIDTH)))
+    ))
+    other = F.transform(F.array(wide), lambda x: F.transform(
+        F.sequence(F.lit(0), n - 1), lambda at: _shingle(F.lit(None).cast("binary"), x, at)
+    ))
+    return F.array_distinct(F.get(F.when(wide.isNull(), plain).otherwise(other), F.lit(0)))
 
-    A line with more of them than the turn names keeps ``crowded`` set and names one,
-    another one each turn. Rows are dealt out by ranges of (band, key) and met in blocks;
-    lines of a band that lies in several blocks or ranges all stay, with ``edge`` set.
-    """
-    width = max(int(members.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2)
-    named = FEW if turn else 1
-
-    def met(rows: np.ndarray, edges: np.ndarray) -> pa.RecordBatch:
-        band, key, sketch, component = rows
-        starts = np.flatnonzero(np.concatenate([[True], band[1:] != band[:-1]]))
-        sizes = np.diff(np.concatenate([starts, [len(band)]]))
-        edge = np.repeat(np.isin(band[starts], edges) | (sizes > BLOCK), sizes)
-        crowded = np.zeros(len(key), bool)
-        two = starts[sizes == 2]
-        apart = np.bitwise_count((sketch[two] ^ sketch[two + 1]).view(np.uint64))
-        two = two[(apart <= APART) & (component[two] != component[two + 1])]
-        who, whom = [two, two + 1], [two + 1, two]
-        for start, size in zip(starts[sizes > 2].tolist(), sizes[sizes > 2].tolist(), strict=True):
-            for at in range(start, start + size, BLOCK):
-                block = slice(at, min(at + BLOCK, start + size))
-                bits, label = sketch[block].view(np.uint64), component[block]
-                agree = (np.bitwise_count(bits[:, None] ^ bits[None, :]) <= APART) & (label[:, None] != label[None, :])
-                many = agree.sum(1) > named
-                crowded[block] = many
-                shift = turn * len(bits) // TURNS
-                pick = (np.roll(agree[many], -shift, 1).argmax(1) + shift) % len(bits)
-                one, other = np.nonzero(agree & ~many[:, None])
-                who += [one + at, np.flatnonzero(many) + at]
-                whom += [other + at, pick + at]
-        one, other = np.concatenate(who), np.concatenate(whom)
-        order = np.argsort(one, kind="stable")
-        times = np.bincount(one, minlength=len(key))
-        stay = (times > 0) | edge
-        offsets = np.concatenate([[0], np.cumsum(times[stay])]).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(x[stay]) for x in (band, key, sketch, component)]
-            + [pa.ListArray.from_arrays(pa.array(offsets), pa.array(key[other[order]])), pa.array(crowded[stay]), pa.array(edge[stay])],
-            ["band", "key", "sketch", "component", "partners", "crowded", "edge"],
-        )
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, edges = np.empty((4, 0), np.int64), []
-        for batch in batches:
-            rows = np.stack([batch[c].to_numpy() for c in ("band", "key", "sketch", "component")])
-            if not rows.shape[1]:
-                continue
-            held = np.concatenate([held, rows], 1)
-            again = (held[0, 1:] == held[0, :-1]) & (held[1, 1:] == held[1, :-1])
-            held = held[:, np.concatenate([[True], ~again])]
-            edges = edges or [held[0, 0]]
-            whole = int(np.searchsorted(held[0], held[0, -1]))  # the last band may go on
-            if whole:
-                yield met(held[:, :whole], np.array(edges))
-                held, edges = held[:, whole:], edges[-1:]
-            if held.shape[1] >= 8 * BLOCK:
-                edges.append(held[0, 0])
-                yield met(held[:, :-1], np.array(edges))
-                held = held[:, -1:]
-        if held.shape[1]:
-            yield met(held, np.array([*edges, held[0, -1]]))
 
-    return (
-        members.select("band", "key", "sketch", "component")
-        .repartitionByRange(width, "band", "key").sortWithinPartitions("band", "key")
-        .mapInArrow(run, "band long, key long, sketch long, component long, partners array<long>, crowded boolean, edge boolean")
+def signed(lines: DataFrame) -> DataFrame:
+    """key, sketch (a long for each bin), bands of every distinct line."""
+    # Text is grouped by key before it is shuffled: a frequent line is sent once a task.
+    distinct = lines.groupBy("key").agg(F.first("line").alias("line"))
+    narrow, wide, n = _places(F.col("line"))
+    shingles = distinct.select("key", narrow.alias("narrow"), wide.alias("wide"), n.alias("n")).select(
+        "key", "narrow", "wide", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("at")
+    ).select("key", _shingle(F.col("narrow"), F.col("wide"), F.col("at")).alias("s"))
+    minima = shingles.withColumn("bin", F.col("s").bitwiseAND(F.lit(BINS - 1))).groupBy("key", "bin").agg(
+        *[F.min(F.col("s").bitwiseXOR(F.lit(turn))).alias(f"m{i}") for i, turn in enumerate(_TURNS)]
+    )
+    bits = [F.shiftleft(F.shiftright(f"m{i}", 8).bitwiseAND(F.lit(15)), 4 * i) for i in range(SLOTS)]
+    sketch = bits[0]
+    for more in bits[1:]:
+        sketch = sketch.bitwiseOR(more)
+    bands = minima.select(
+        "key", "bin", sketch.alias("sketch"),
+        *[F.xxhash64("bin", F.lit(k), *[f"m{i}" for i in used]).alias(f"b{k}") for k, used in enumerate(BANDS)],
     )
+    # One row a bin and line; a bin without shingles has none, and null here.
+    by_bin = bands.groupBy("key").agg(*[
+        F.max(F.when(F.col("bin") == i, F.col(c))).alias(f"{c}_{i}")
+        for i in range(BINS) for c in ("sketch", *[f"b{k}" for k in range(len(BANDS))])
+    ])
+    return by_bin.select(
+        "key", F.array(*[F.coalesce(f"sketch_{i}", F.lit(0).cast("long")) for i in range(BINS)]).alias("sketch"),
+        F.array_compact(F.array(*[f"b{k}_{i}" for i in range(BINS) for k in range(len(BANDS))])).alias("bands"),
+    )
+
+
+def _agree(a: str, b: str) -> Column:
+    """Whether at most ``APART`` of two sketches' minima differ."""
+    differ = "0x1111111111111111"
+    parts = []
+    for i in range(BINS):
+        x = f"({a}[{i}] ^ {b}[{i}])"
+        y = f"({x} | shiftrightunsigned({x}, 1) | shiftrightunsigned({x}, 2) | shiftrightunsigned({x}, 3))"
+        parts.append(f"bit_count({y} & {int(differ, 16)}L)")
+    return F.expr(f"{' + '.join(parts)} <= {APART}")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
@@ -203,147 +131,103 @@ def verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     holds key and line."""
     a = texts.select(F.col("key").alias("a"), F.col("line").alias("a_line"))
     b = texts.select(F.col("key").alias("b"), F.col("line").alias("b_line"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for whole in batches:
-            for batch in parts(whole, "b_line", 1 << 20):
-                firsts, seconds = batch["a"].to_pylist(), batch["b"].to_pylist()
-                lines = dict(zip(firsts, batch["a_line"].to_pylist(), strict=True))
-                lines.update(zip(seconds, batch["b_line"].to_pylist(), strict=True))
-                hashes, counts = shingle_hashes(list(lines.values()))
-                sets = dict(zip(lines, map(np.unique, np.split(hashes, np.cumsum(counts)[:-1])), strict=True))
-                keep = []
-                for x, y in zip(firsts, seconds, strict=True):
-                    one, other = sets[x], sets[y]
-                    both = np.sort(np.concatenate([one, other]), kind="stable")
-                    common = int((both[1:] == both[:-1]).sum())
-                    keep.append((100 + percent) * common >= percent * len(both))
-                yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    joined = pairs.join(b, "b").join(a, "a").select("a", "b", "a_line", "b_line")
-    return joined.mapInArrow(run, "a long, b long")
-
-
-def _pieces(line: Column) -> Column:
-    """The line in pieces that share ``WIDTH - 1`` characters, so that every shingle lies in
-    just one of them."""
-    cut = F.split(F.regexp_replace(line, rf"(?s)(.{{{PIECE}}})(?=.)", "$1\n"), "\n")
-    joined = F.transform(cut, lambda x, i: F.concat(x, F.coalesce(F.substring(F.get(cut, i + 1), 1, WIDTH - 1), F.lit(""))))
-    return F.filter(joined, lambda x, i: (i == 0) | (F.length(x) >= WIDTH))
+    sets = F.struct(shingle_set(F.col("a_line")).alias("one"), shingle_set(F.col("b_line")).alias("other"))
+    # A generated row holds its sets: a filter on plain columns would work them out once more each time it names them.
+    joined = pairs.join(b, "b").join(a, "a").select("a", "b", F.explode(F.array(sets)).alias("x"))
+    common = F.size(F.array_intersect("x.one", "x.other")).cast("long")
+    return joined.where((100 + percent) * common >= percent * (F.size("x.one").cast("long") + F.size("x.other"))).select("a", "b")
 
 
-def _places(piece: Column) -> Column:
-    return F.sequence(F.lit(1), F.greatest(F.length(piece) - (WIDTH - 1), F.lit(1)))
-
-
-def _prefixes(lines: DataFrame, percent: int) -> DataFrame:
-    """id, s, component, r, n: the first shingles of each line's set of n, numbered from 1.
-
-    The order of shingles puts those that few lines hold first: the ``FREQUENT`` most
-    frequent ones come last, by their number of lines, all others by hash. Any fixed
-    order gives the same pairs. A line's shingles stay in the task that holds the line.
-    """
-    def shingles(rows: DataFrame) -> DataFrame:
-        return (
-            rows.withColumn("piece", F.explode(_pieces(F.col("line"))))
-            .withColumn("at", F.explode(_places(F.col("piece"))))
-            .withColumn("s", F.xxhash64(F.substring(F.col("piece"), F.col("at"), F.lit(WIDTH))))
-        )
-
-    counts = shingles(lines.select("line")).groupBy("s").agg(F.count("*").alias("f")).where("f > 1")
-    frequent = staged(counts.orderBy(F.desc("f"), "s").limit(FREQUENT), "frequent")
-    held = shingles(lines.select("key", "component", "line").repartition("key")).select("key", "component", "s")
-    ordered = held.join(F.broadcast(frequent), "s", "left").groupBy("key").agg(
-        F.first("component").alias("component"), F.sort_array(F.collect_set(F.struct(F.coalesce("f", F.lit(0)).alias("f"), "s"))).alias("set")
-    )
-    n = F.size("set")
-    # n * percent is an integer: no rounding decides where a prefix ends.
-    first = F.slice("set", 1, n - F.expr(f"(size(set) * {percent} + 99) div 100").cast("int") + 1)
-    return ordered.select(F.col("key").alias("id"), "component", n.alias("n"), F.posexplode(first).alias("r", "e")).select(
-        "id", F.col("e.s").alias("s"), "component", (F.col("r") + 1).alias("r"), "n"
-    )
-
-
-def line_components(occurrences: DataFrame, lines: DataFrame, percent: int = 80) -> DataFrame:
+def line_components(signatures: DataFrame, lines: DataFrame, percent: int = 80) -> DataFrame:
     """id, component for every distinct line (by key) that is linked to another one.
 
-    ``occurrences`` comes from ``signed`` and is read more than once; ``lines`` holds key
+    ``signatures`` comes from ``signed`` and is read more than once; ``lines`` holds key
     and line.
     """
-    members = occurrences.select("key", "sketch", F.explode("bands").alias("band"))
-    texts = grouped = None
-    tried: list[DataFrame] = []
+    own = Window.partitionBy("band")
+    members = staged(
+        signatures.select("key", F.explode("bands").alias("band")).select(
+            "band", "key", F.min("key").over(own).alias("low"), F.max("key").over(own).alias("high"), F.count("*").over(own).alias("c")
+        ).where("c > 1"),
+        "members",
+    )
+    wanted = staged(members.select("key").distinct(), "wanted")
+    known = staged(signatures.select("key", "sketch").join(wanted, "key", "left_semi"), "sketches")
+    # The keys are written first: with a known size they may be broadcast, and no text is shuffled.
+    texts = staged(lines.join(wanted, "key", "left_semi").groupBy("key").agg(F.first("line").alias("line")), "texts")
+    drop_staged(wanted)
+
+    def sketches(c: str) -> DataFrame:
+        return known.select(F.col("key").alias(c), F.col("sketch").alias(f"{c}_sketch"))
 
     def labelled(rows: DataFrame) -> DataFrame:
-        """``rows`` with their present components."""
+        """Rows of bands that hold several components, with their components."""
         if grouped is None:
-            return rows.withColumn("component", F.col("key"))
-        return rows.drop("component").join(grouped.withColumnRenamed("id", "key"), "key", "left").withColumn(
-            "component", F.coalesce("component", "key")
-        )
-
-    def mixed_bands(rows: DataFrame) -> DataFrame:
-        """Bands of several components, each with its smallest line."""
-        return rows.groupBy("band").agg(
-            F.min(F.struct("key", "sketch", "component")).alias("hub"),
-            F.min("component").alias("c0"), F.max("component").alias("c1"),
-        ).where("c0 != c1")
+            named = rows.withColumn("component", F.col("key"))
+        else:
+            named = rows.join(grouped.withColumnRenamed("id", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
+        several = named.groupBy("band").agg(F.min("component").alias("c0"), F.max("component").alias("c1")).where("c0 != c1")
+        return named.join(several.select("band"), "band", "left_semi")
 
     def linked(pairs: DataFrame) -> DataFrame | None:
         """Components after the links among further pairs."""
         links, n = staged_count(verified(pairs, texts, percent), "links")
         if not n:
             return grouped
-        if grouped is None:
-            return staged(components(links), "components")
-        stars = grouped.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b"))
-        return staged(components(stars.union(links)), "components")
+        if grouped is not None:
+            links = links.union(grouped.where("id != component").select(F.col("id").alias("a"), F.col("component").alias("b")))
+        return staged(components(links), "components")
 
     def untried(pairs: DataFrame) -> DataFrame:
         for before in tried:
             pairs = pairs.join(before, ["a", "b"], "left_anti")
-        return pairs
-
-    for turn in range(TURNS):
-        met = staged(meetings(labelled(members), turn), "met")
-        if turn:
-            drop_staged(members)
-        # A band that lies in several blocks has one hub more, its smallest line.
-        edges = met.where("edge")
-        astray = edges.join(mixed_bands(edges), "band").where(
-            f"component != hub.component AND bit_count(sketch ^ hub.sketch) <= {APART}"
-        )
-        proposed = met.select("key", F.explode("partners").alias("partner")).union(astray.selectExpr("key", "hub.key"))
-        pairs, n = staged_count(
-            untried(proposed.select(F.least("key", "partner").alias("a"), F.greatest("key", "partner").alias("b")).distinct()), "pairs"
-        )
-        tried.append(pairs)
-        if texts is None:
-            # Only lines that agree with another one are needed by their text. Their keys are
-            # written first: with a known size they may be broadcast, and no text is shuffled to find them.
-            wanted = staged(met.select("key").distinct(), "wanted")
-            texts = staged(lines.join(wanted, "key", "left_semi").select("key", "line").dropDuplicates(["key"]), "texts")
-            drop_staged(wanted)
-        # Lines that named all they agree with are settled in this band.
-        members = met.where("crowded OR edge").select("band", "key", "sketch")
-        if not n:
-            break
-        grouped = linked(pairs)
-    # What is left: every link between components among the lines that are not settled.
-    open_members = labelled(members)
-    rest, n = staged_count(
-        open_members.join(mixed_bands(open_members).select("band"), "band", "left_semi")
-        .select(F.col("key").alias("id"), "component").distinct(),
+        return staged(pairs, "pairs")
+
+    def compared(proposed: DataFrame) -> DataFrame | None:
+        """Components after the links among the proposed pairs whose sketches agree."""
+        pairs = proposed.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a != b").distinct()
+        tried.append(untried(
+            pairs.join(sketches("a"), "a").join(sketches("b"), "b").where(_agree("a_sketch", "b_sketch")).select("a", "b")
+        ))
+        return linked(tried[-1])
+
+    grouped, tried = None, []
+    grouped = compared(members.select(F.col("low").alias("a"), F.col("key").alias("b")).union(
+        members.where("c > 2").select(F.col("key").alias("a"), F.col("high").alias("b"))
+    ))
+    # Where several components are left, lines meet others at random: most of a family join up.
+    members_left = labelled(members.where("c > 2").select("band", "key", "c"))
+    order = Window.partitionBy("band").orderBy(F.xxhash64("key", "band"))
+    beside = members_left.withColumns({
+        f"near{k}": F.lag(F.struct("key", "component"), k).over(order) for k in BESIDE
+    }).select("key", "component", F.explode(F.array(*[f"near{k}" for k in BESIDE])).alias("near")).where(
+        "component != near.component"
+    ).select(F.col("key").alias("a"), F.col("near.key").alias("b"))
+    grouped = compared(beside)
+    # What is left: every pair of lines of different components.
+    bands = signatures.select("key", "sketch", "bands")
+    rest = staged(
+        labelled(members.where("c > 2").select("band", "key", "c")).join(bands, "key")
+        .withColumn("blocks", F.ceil(F.col("c") / BLOCK).cast("int")),
         "rest",
     )
-    drop_staged(met)
-    if n:
-        prefixes = staged(_prefixes(texts.join(rest.withColumnRenamed("id", "key"), "key"), percent), "prefixes")
-        last = staged(untried(similar_prefixes(prefixes, percent)), "pairs")
-        drop_staged(prefixes)
-        grouped = linked(last)
-        drop_staged(last)
-    for spent in (rest, texts, *tried):
+    left = rest.select(
+        "band", F.pmod(F.xxhash64("key"), F.col("blocks")).cast("int").alias("block"),
+        F.col("key").alias("a"), F.col("component").alias("ca"), F.col("sketch").alias("a_sketch"), F.col("bands").alias("a_bands"),
+    )
+    right = rest.select(
+        "band", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"),
+        F.col("key").alias("b"), F.col("component").alias("cb"), F.col("sketch").alias("b_sketch"), F.col("bands").alias("b_bands"),
+    )
+    # Lines meet once: in the first band that they share. If that has no other line, they have met before.
+    met = left.join(
+        right.withColumnRenamed("band", "b_band").withColumnRenamed("block", "b_block"),
+        F.expr("band = b_band AND block = b_block AND a < b AND ca != cb") & _agree("a_sketch", "b_sketch")
+        & (F.array_min(F.array_intersect("a_bands", "b_bands")) == F.col("band")),
+    ).select("a", "b")
+    tried.append(untried(met))
+    grouped = linked(tried[-1])
+    for spent in (members, known, texts, rest, *tried):
         drop_staged(spent)
     return grouped if grouped is not None else lines.sparkSession.createDataFrame([], "id long, component long")
 
@@ -353,12 +237,17 @@ def dropped_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", p
     of their component, in the order of document id, text hash and line number."""
     lines = lines_of(docs, id_col, text)
     place = ("doc", "version", "n")
-    ship(docs.sparkSession)
-    occurrences = staged(signed(lines), "lines")
+    occurrences = staged(lines.select(*place, "key"), "lines")
     first = occurrences.groupBy("key").agg(
         F.min(F.struct(*place)).alias("first"), F.count("*").alias("times")
     )
-    grouped = line_components(occurrences, lines, percent).withColumnRenamed("id", "key")
+    spark = docs.sparkSession
+    # Few lines a task: its minima lie in a small table.
+    width = TASKS * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    with settings(spark, spark__sql__shuffle__partitions=str(width), spark__sql__adaptive__coalescePartitions__enabled="false"):
+        signatures = staged(signed(lines.select("key", "line")), "signatures")
+    grouped = line_components(signatures, lines.select("key", "line"), percent).withColumnRenamed("id", "key")
+    drop_staged(signatures)
     # Only lines that repeat or are linked can be dropped.
     judged = staged(
         first.join(grouped, "key", "left").where("times > 1 OR component IS NOT NULL")
@@ -382,7 +271,8 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text: str = "text", per
     own; rows equal in id and text count as one, and are cut alike. Extra columns stay;
     where one is called n_lines or dropped, it is replaced.
     """
-    dropped = staged(dropped_lines(docs, id_col, text, percent), "dropped")
+    with settings(docs.sparkSession, spark__sql__classic__shuffleDependency__fileCleanup__enabled="true"):
+        dropped = staged(dropped_lines(docs, id_col, text, percent), "dropped")
     base = docs.drop("n_lines", "dropped")
     joined = base.join(
         dropped.select(F.col("doc").alias("__doc"), F.col("version").alias("__version"), "dropped"),

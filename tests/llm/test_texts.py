@@ -11,7 +11,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tiktoken
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, functions as F
 from tokenizers import Tokenizer, models, pre_tokenizers
 
 from seriesmart.llm import (
@@ -529,3 +529,45 @@ def test_lines_of_whole_documents_against_dense_shingles(docs):
     rows = [t or "" for _, t in sorted(texts().items())]
     got = {r.doc_id: r.dropped for r in fuzzy_lines.dedup_lines(docs(*rows)).collect()}
     assert got == dense_dropped(rows)
+
+
+def test_lines_take_no_python_worker(docs, monkeypatch):
+    def refused(*_):
+        raise AssertionError("DataFrame functions only")
+
+    for name in ("mapInArrow", "mapInPandas"):
+        monkeypatch.setattr(DataFrame, name, refused)
+    rows = ["one line that two documents share", "one line that two documents share!\nand one more", "another"]
+    got = {r.doc_id: r.dropped for r in fuzzy_lines.dedup_lines(docs(*rows)).collect()}
+    assert got == dense_dropped(rows) == {0: [], 1: [0], 2: []}
+
+
+def test_shingles_of_wide_characters(docs):
+    rng = random.Random(22)
+    known = ["", "ab", "abcde", "a😀", "😀" * 7, "﻿abcdef", "😀﻿abcdef", "abcdef" * 50 + "😀" + "abcdeg" * 9, "不梦é" * 4,
+             *("".join(rng.choice("ab﻿不😀") for _ in range(rng.randint(0, 40))) for _ in range(60))]
+    rows = docs(*known).select("doc_id", fuzzy_lines.shingle_set(F.col("text")).alias("s")).collect()
+    expected = [{t[i : i + 5] for i in range(max(1, len(t) - 4))} for t in known]
+    held = {r.doc_id: set(r.s) for r in rows}
+    for i, r in held.items():
+        assert len(r) == len(expected[i])
+        for j, other in held.items():
+            assert len(r & other) == len(expected[i] & expected[j])
+
+
+def test_family_of_near_copies_is_joined_by_few_pairs(docs, monkeypatch):
+    rng = random.Random(23)
+    base = [f"word{rng.randrange(4000)}" for _ in range(40)]
+    rows = [" ".join(f"x{rng.randrange(10**7)}" if rng.random() < 0.04 else w for w in base) for _ in range(600)]
+    seen, verified = [], fuzzy_lines.verified
+
+    def counting(pairs, *rest):
+        seen.append(pairs.count())
+        return verified(pairs, *rest)
+
+    monkeypatch.setattr(fuzzy_lines, "verified", counting)
+    got = {r.doc_id: r.dropped for r in fuzzy_lines.dedup_lines(docs(*rows)).collect()}
+    # A line with one link, at 0.8, is found with 99.7 %.
+    expected = dense_dropped(rows)
+    assert sum(got[i] != expected[i] for i in got) <= 2
+    assert sum(seen) < 40 * len(rows)
